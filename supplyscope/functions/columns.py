@@ -15,7 +15,7 @@ __all__ = [
     "col_or", "dec_round", "dec_bround", "money_mul", "season_of",
     "week_monday", "strip_lower", "severity_rank", "truncate_text",
     "pct_text", "millions", "stock_status", "status_code", "hash_id",
-    "supply_days", "nonempty", "money_text", "int_text", "SEVERITY_RANK",
+    "supply_days", "nonempty", "money_text", "int_text", "dec_text", "SEVERITY_RANK",
 ]
 
 # Severity order used for sorting and escalation tests.
@@ -130,4 +130,9 @@ def int_text(c) -> Column:
     return F.round(col_or(c).cast("decimal(38,6)"), 0).cast("bigint").cast("string")
 
 
+def dec_text(c, n: int) -> Column:
+    """Fixed ``n``-dp text, half-up rounded through DECIMAL (no separators)."""
+    return F.round(col_or(c).cast("decimal(38,6)"), n).cast("string")
+
+
 DEC_002 = Decimal("0.02")
