@@ -114,7 +114,7 @@ def train_delivery_forest(encoded: DataFrame, num_trees: int = 100, max_depth: i
     train = class_weights(vec.transform(data.where("is_test = 0")), "late_delivery_risk")
     rf = RandomForestClassifier(labelCol="late_delivery_risk", featuresCol="features",
                                 weightCol="weight", numTrees=num_trees, maxDepth=max_depth,
-                                featureSubsetStrategy="sqrt", seed=seed)
+                                featureSubsetStrategy="sqrt", seed=seed, cacheNodeIds=True)
     return rf.fit(train), data
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from supplyscope.operators import clean, encode, features, sampling, tables
+from supplyscope.plans.context import run_for
 from supplyscope.plans.registry import register
 from supplyscope.plans.sqlparts import (DIRTY, FEAT, INVENTORY, ITEMS, SEQ, SEQ_TEXT, WEEKLY,
                                         with_)
@@ -26,19 +27,19 @@ INV_COLS = ["product_name", "total_sold", "total_orders", "avg_per_order", "prod
 
 
 def items(spark: SparkSession, d: str) -> DataFrame:
-    return src.order_items(spark, d)
+    return run_for(spark, d).items
 
 
 def feats(spark: SparkSession, d: str) -> DataFrame:
-    return features.featurize(items(spark, d))
+    return run_for(spark, d).feats
 
 
 def inventory(spark: SparkSession, d: str) -> DataFrame:
-    return tables.build_inventory(items(spark, d))
+    return run_for(spark, d).inventory
 
 
 def weekly(spark: SparkSession, d: str) -> DataFrame:
-    return tables.weekly_demand(feats(spark, d))
+    return run_for(spark, d).weekly
 
 
 # ---------------------------------------------------------------- scans
@@ -413,3 +414,54 @@ def q_smp3(spark, d):
     """SMP3: hash split, counted per class and side."""
     s = sampling.train_test_split(items(spark, d))
     return s.groupBy("late_delivery_risk", "is_test").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------------- CSV sources
+
+def _csv_folder(spark, name: str) -> str:
+    import uuid
+    from supplyscope.session import output_root
+    return output_root(spark, f"csv/{name}-{uuid.uuid4().hex[:12]}")
+
+
+RAW_CSV_COLS = ["order_id", "order_date", "ship_date", "product_name", "category", "department",
+                "market", "order_region", "customer_segment", "quantity", "discount_rate", "sales",
+                "product_price", "profit", "shipping_mode", "days_scheduled", "days_real",
+                "order_status", "delivery_status", "late_delivery_risk"]
+
+
+@register("src1_order_csv", with_(DIRTY) + """
+SELECT CAST(order_id AS VARCHAR) AS order_id, order_date, ship_date, product_name, category, department, market,
+       order_region, customer_segment, quantity, discount_rate, sales, product_price, profit, shipping_mode,
+       days_scheduled, days_real, order_status, delivery_status, late_delivery_risk
+FROM dirty""")
+def q_src1(spark, d):
+    """SRC1: the dirty order lines written as a Latin-1 CSV with the raw
+    headers, read back by ``read_order_csv`` (text, renamed)."""
+    inv = {v: k for k, v in src.RAW_TO_ENGINE.items()}
+    raw = dirty(spark, d).select(*[F.col(c).cast("string").alias(inv[c]) for c in RAW_CSV_COLS])
+    path = _csv_folder(spark, "orders")
+    raw.write.option("header", True).option("encoding", "ISO-8859-1").csv(path)
+    return src.read_order_csv(spark, path).select(*RAW_CSV_COLS)
+
+
+@register("src2_access_log_csv", with_(BROWSE_SQL) + """
+SELECT category, browse_count FROM cat_b""")
+def q_src2(spark, d):
+    """SRC2 + AGG4: browse log as CSV, read with the fixed schema, counted."""
+    log_ = src.browse_log(spark, d).select(
+        F.lit(None).cast("string").alias("Product"), "Category", F.lit(None).cast("string").alias("Date"),
+        F.lit(None).cast("string").alias("Month"), F.lit(None).cast("string").alias("Hour"), "Department",
+        F.lit(None).cast("string").alias("ip"), F.lit(None).cast("string").alias("url"))
+    path = _csv_folder(spark, "access")
+    log_.write.option("header", True).option("encoding", "ISO-8859-1").option("ignoreLeadingWhiteSpace", False) \
+        .option("ignoreTrailingWhiteSpace", False).csv(path)
+    back = src.read_access_log(spark, path)
+    return tables.browse_signals(back, "Category", "category").select("category", "browse_count")
+
+
+@register("src2_missing_access_log", "SELECT CAST(NULL AS VARCHAR) AS category, CAST(0 AS BIGINT) AS browse_count WHERE false")
+def q_src2_missing(spark, d):
+    """SRC2: an absent log file gives an empty frame, not an error."""
+    back = src.read_access_log(spark, d.rstrip("/") + "/no_such_access_log.csv")
+    return tables.browse_signals(back, "Category", "category").select("category", "browse_count")

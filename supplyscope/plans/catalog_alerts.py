@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from supplyscope.operators import alerts, conflicts, tables
 from supplyscope.plans.catalog import feats, inventory, weekly
 from supplyscope.plans.catalog_models import all_preds
+from supplyscope.plans.context import run_for
 from supplyscope.plans.registry import register
 from supplyscope.plans.sqlparts import with_
 from supplyscope.plans.sqlparts_alerts import ALERT_ID, ALERTS, RUN_TS
@@ -32,17 +33,16 @@ def demand(spark, d):
 
 
 def agent_alerts(spark, d):
-    """SET5: the agents' frames united."""
-    return (fraud(spark, d).unionByName(delivery(spark, d)).unionByName(inventory_a(spark, d))
-            .unionByName(demand(spark, d)))
+    """SET5: the agents' frames united (checkpointed once per run)."""
+    return run_for(spark, d).agent_alerts
 
 
 def conflict_alerts(spark, d):
-    return conflicts.resolve_conflicts(agent_alerts(spark, d), RUN_TS)
+    return run_for(spark, d).conflict_alerts
 
 
 def all_alerts(spark, d):
-    return agent_alerts(spark, d).unionByName(conflict_alerts(spark, d))
+    return run_for(spark, d).all_alerts
 
 
 @register("top1_fraud_orders", with_(ALERTS) + """
@@ -117,4 +117,6 @@ def q_agg19(spark, d):
 
 @register("set5_agent_alerts", with_(ALERTS) + f"\nSELECT {A_COLS} FROM agent_alerts")
 def q_set5(spark, d):
-    return agent_alerts(spark, d)
+    """SET5: the four agents' alerts united (unmaterialised plan)."""
+    return (fraud(spark, d).unionByName(delivery(spark, d)).unionByName(inventory_a(spark, d))
+            .unionByName(demand(spark, d)))

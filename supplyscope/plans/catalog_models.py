@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from supplyscope.operators import encode, models, tables
 from supplyscope.plans.catalog import feats, inventory, weekly
+from supplyscope.plans.context import run_for
 from supplyscope.plans.registry import register
 from supplyscope.plans.sqlparts import with_
 from supplyscope.plans.sqlparts_alerts import PREDS, RUN_TS
@@ -14,20 +15,19 @@ PRED_COLS = "id, created_at, prediction_type, product_name, order_id, predicted_
 
 
 def delivery_preds(spark, d):
-    return models.delivery_predictions(models.delivery_rule_scores(feats(spark, d)), RUN_TS)
+    return run_for(spark, d).delivery_preds
 
 
 def inventory_preds(spark, d):
-    return models.inventory_rule_predictions(inventory(spark, d), RUN_TS)
+    return run_for(spark, d).inventory_preds
 
 
 def demand_preds(spark, d):
-    return models.demand_predictions(models.linear_forecast(weekly(spark, d)), RUN_TS)
+    return run_for(spark, d).demand_preds
 
 
 def all_preds(spark, d):
-    return delivery_preds(spark, d).unionByName(inventory_preds(spark, d)).unionByName(
-        demand_preds(spark, d))
+    return run_for(spark, d).preds
 
 
 @register("agg21_late_rate_by_mode", with_(PREDS) + """
@@ -102,20 +102,14 @@ def q_forest(spark, d):
     """MLD1 + MLD2 + SMP3: random forest (100 trees, depth 10, balanced
     weights) on the hash-split training side, scored on all lines, top
     5000 late scores as predictions."""
-    f = feats(spark, d)
-    enc, _ = encode.label_encode(f, ["shipping_mode", "market", "customer_segment", "department"])
-    model, _ = models.train_delivery_forest(enc)
-    scored = models.score_delivery(model, enc)
-    return models.delivery_predictions(scored, RUN_TS)
+    run = run_for(spark, d)
+    return models.delivery_predictions(models.score_delivery(run.forest, run.encoded), RUN_TS)
 
 
 @register("mld3_win6_feature_importance")
 def q_importance(spark, d):
     """MLD3 + WIN6: ranked importances of the delivery forest."""
-    f = feats(spark, d)
-    enc, _ = encode.label_encode(f, ["shipping_mode", "market", "customer_segment", "department"])
-    model, _ = models.train_delivery_forest(enc, num_trees=100, max_depth=10)
-    return models.feature_importances(spark, model)
+    return models.feature_importances(spark, run_for(spark, d).forest)
 
 
 @register("mld4_seasonal_forecast")

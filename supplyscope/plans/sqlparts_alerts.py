@@ -211,3 +211,47 @@ agent_alerts AS (
   SELECT {ALERT_ID} AS id, '{RUN_TS}' AS created_at, agent, severity, category, product_name, order_id,
          message, recommendation, 0 AS is_resolved, action, direction
   FROM agent_alerts0)"""
+
+CONFLICTS = ALERTS + f""",
+oa AS (SELECT * FROM agent_alerts WHERE is_resolved = 0 AND category <> 'conflict'),
+pa AS (SELECT *, coalesce(direction, CASE WHEN starts_with(lower(message), 'demand decline') THEN 'decline' END) AS dir
+       FROM oa WHERE product_name IS NOT NULL AND product_name <> ''),
+pg AS (SELECT product_name,
+              bool_or(category = 'inventory') AS has_inv, bool_or(category = 'demand') AS has_dem,
+              bool_or(category = 'delivery') AS has_del, bool_or(category = 'fraud') AS has_fraud,
+              first(severity ORDER BY created_at DESC, id ASC) FILTER (WHERE category = 'inventory') AS inv_sev,
+              first(dir ORDER BY created_at DESC, id ASC) FILTER (WHERE category = 'demand') AS dem_dir
+       FROM pa GROUP BY product_name),
+c6 AS (SELECT product_name, CAST(NULL AS BIGINT) AS order_id,
+              CASE WHEN coalesce(inv_sev, 'HIGH') IN ('HIGH', 'CRITICAL') THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
+              CASE WHEN coalesce(inv_sev, 'HIGH') IN ('HIGH', 'CRITICAL') THEN
+                'Conflict for ''' || product_name || ''': the inventory agent raised a ' || coalesce(inv_sev, 'HIGH')
+                || ' restock alert while the demand agent expects demand to fall. Resolution: reorder lead time plus 7 days only, not the usual 30-day cover.'
+              ELSE 'Conflict for ''' || product_name || ''': stock is low but demand is falling; deferring the reorder is safer.' END AS message,
+              CASE WHEN coalesce(inv_sev, 'HIGH') IN ('HIGH', 'CRITICAL') THEN
+                'Partial reorder for ''' || product_name || ''': 7 days of supply; review demand again in 2 weeks.'
+              ELSE 'Defer the reorder for ''' || product_name || ''': watch for 2 weeks; reorder if demand steadies or stock turns critical.' END AS recommendation,
+              CASE WHEN coalesce(inv_sev, 'HIGH') IN ('HIGH', 'CRITICAL') THEN 'partial_reorder' ELSE 'defer' END AS action
+       FROM pg WHERE has_inv AND has_dem AND dem_dir = 'decline'),
+c7 AS (SELECT product_name, CAST(NULL AS BIGINT) AS order_id, 'HIGH' AS severity,
+              'Compound risk for ''' || product_name || ''': late delivery and stock shortage are both flagged; if both happen the order cannot be filled.' AS message,
+              'Escalate ''' || product_name || ''': speed up shipping and restock at once; tell warehouse and operations.' AS recommendation,
+              'compound' AS action
+       FROM pg WHERE has_del AND has_inv AND NOT has_fraud),
+og AS (SELECT order_id, list_distinct(list(category)) AS cats,
+              array_to_string(list_sort(list_distinct(list(category) FILTER (WHERE category <> 'fraud'))), ', ') AS other_cats,
+              array_to_string(list_sort(list_distinct(list(agent) FILTER (WHERE category <> 'fraud'))), ', ') AS other_agents
+       FROM oa WHERE order_id IS NOT NULL GROUP BY order_id),
+c8 AS (SELECT CAST(NULL AS VARCHAR) AS product_name, order_id, 'CRITICAL' AS severity,
+              'Escalation for order #' || CAST(order_id AS VARCHAR) || ': flagged by FraudAgent and by ' || other_agents
+              || ' (' || other_cats || '); independent signals point to a high-risk order.' AS message,
+              'Block order #' || CAST(order_id AS VARCHAR) || ': suspend now; release only after fraud and operations sign off.' AS recommendation,
+              'block' AS action
+       FROM og WHERE list_contains(cats, 'fraud') AND len(cats) > 1),
+conf0 AS (SELECT *, 'ConflictResolver' AS agent, 'conflict' AS category FROM
+            (SELECT * FROM c6 UNION ALL SELECT * FROM c7 UNION ALL SELECT * FROM c8)),
+conflict_alerts AS (
+  SELECT {ALERT_ID} AS id, '{RUN_TS}' AS created_at, agent, severity, category, product_name, order_id,
+         message, recommendation, 0 AS is_resolved, action, CAST(NULL AS VARCHAR) AS direction
+  FROM conf0),
+all_alerts AS (SELECT * FROM agent_alerts UNION ALL SELECT * FROM conflict_alerts)"""

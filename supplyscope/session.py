@@ -34,6 +34,9 @@ def get_spark(master: str | None = None, app: str = "supplyscope",
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
+    if not any(k == "spark.driver.memory" for k in (extra or {})):
+        # only takes effect when this call starts the JVM (local tools, tests)
+        b = b.config("spark.driver.memory", "8g")
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

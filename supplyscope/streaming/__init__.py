@@ -1,0 +1,3 @@
+"""No streaming operators: the reference has no watermark, window,
+stateful operator or late-data rule (its "real-time" view is a batch read
+behind a cache).  Batch jobs in ``supplyscope.plans`` cover it."""
