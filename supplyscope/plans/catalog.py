@@ -27,19 +27,19 @@ INV_COLS = ["product_name", "total_sold", "total_orders", "avg_per_order", "prod
 
 
 def items(spark: SparkSession, d: str) -> DataFrame:
-    return run_for(spark, d).items
+    return run_for(spark, d, materialize=False).items
 
 
 def feats(spark: SparkSession, d: str) -> DataFrame:
-    return run_for(spark, d).feats
+    return run_for(spark, d, materialize=False).feats
 
 
 def inventory(spark: SparkSession, d: str) -> DataFrame:
-    return run_for(spark, d).inventory
+    return run_for(spark, d, materialize=False).inventory
 
 
 def weekly(spark: SparkSession, d: str) -> DataFrame:
-    return run_for(spark, d).weekly
+    return run_for(spark, d, materialize=False).weekly
 
 
 # ---------------------------------------------------------------- scans
@@ -226,15 +226,20 @@ _SC = ["sales", "profit", "quantity", "delay_days", "discount_amount"]
 @register("prj17_18_scaling", with_(FEAT) + ",\nst AS (SELECT " + ", ".join(
     f"avg({c}) AS {c}_m, stddev_pop({c}) AS {c}_s, min({c}) AS {c}_lo, max({c}) AS {c}_hi" for c in _SC)
     + " FROM feat)\nSELECT order_id, line_number, part_key, supp_key, " + ", ".join(
-    f"CAST(round(CASE WHEN {c}_s > 0 THEN ({c} - {c}_m) / {c}_s ELSE 0.0 END, 9) AS DOUBLE) AS {c}_std, "
-    f"CAST(round(CASE WHEN {c}_hi > {c}_lo THEN ({c} - {c}_lo) / ({c}_hi - {c}_lo) ELSE 0.0 END, 9) AS DOUBLE) AS {c}_norm"
+    f"CAST(round(CAST(CASE WHEN {c}_s > 0 THEN ({c} - {c}_m) / {c}_s ELSE 0.0 END AS DECIMAL(38,10)), 4) AS DOUBLE) AS {c}_std, "
+    f"CAST(round(CAST(CASE WHEN {c}_hi > {c}_lo THEN ({c} - {c}_lo) / ({c}_hi - {c}_lo) ELSE 0.0 END AS DECIMAL(38,10)), 4) AS DOUBLE) AS {c}_norm"
     for c in _SC) + " FROM feat CROSS JOIN st")
 def q_prj17(spark, d):
-    """PRJ17/18: standard (population std) and min-max scaling, 9 dp."""
+    """PRJ17/18: standard (population std) and min-max scaling.
+
+    Shown at 4 dp: the mean and std are double sums whose order differs
+    between engines (~1e-12 relative), so more digits would compare the
+    summation order, not the operator."""
+    from supplyscope.functions.columns import dec_round
     f = feats(spark, d)
     out, _ = encode.scale(f, _SC)
     cols = [x for c in _SC for x in (f"{c}_std", f"{c}_norm")]
-    return out.select(*KEYS, *[F.round(c, 9).alias(c) for c in cols])
+    return out.select(*KEYS, *[dec_round(c, 4).alias(c) for c in cols])
 
 
 ORDERS_COLS = ["order_id", "order_date", "product_name", "category", "department", "market",

@@ -15,15 +15,15 @@ PRED_COLS = "id, created_at, prediction_type, product_name, order_id, predicted_
 
 
 def delivery_preds(spark, d):
-    return run_for(spark, d).delivery_preds
+    return run_for(spark, d, materialize=False).delivery_preds
 
 
 def inventory_preds(spark, d):
-    return run_for(spark, d).inventory_preds
+    return run_for(spark, d, materialize=False).inventory_preds
 
 
 def demand_preds(spark, d):
-    return run_for(spark, d).demand_preds
+    return run_for(spark, d, materialize=False).demand_preds
 
 
 def all_preds(spark, d):

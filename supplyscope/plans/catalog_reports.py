@@ -377,7 +377,7 @@ def q_flagship(spark, d):
     """Flagship."""
     from supplyscope.plans.context import run_for
     from supplyscope.plans.flagship import demand_vs_stock_frames
-    return demand_vs_stock_frames(run_for(spark, d))
+    return demand_vs_stock_frames(run_for(spark, d, materialize=False))
 
 
 @register("flt6_risk_band_critical", W + DELIVERY_VIEW + """

@@ -1,20 +1,22 @@
 """One run's shared frames, built once and reused by every job of the run.
 
-The order lines and features stay lazy (a linear scan-join-project plan
-that Catalyst prunes per consumer).  The small, bounded outputs that many
-later jobs read — predictions and agent alerts — are checkpointed to the
-shared checkpoint folder: their lineage is cut, so later plans stay small
-and a lost executor does not force a recompute from the raw tables.
+Three frames feed many later jobs, so each is written once as a parquet
+table in the shared folder (next to ``spark.checkpoint.dir``) and read
+back: the featurised order lines (the big one: the three-way join is paid
+once, and every consumer reads only its columns), the predictions and the
+agent alerts (both bounded).  Lineage is cut at each, plans stay small,
+and a lost executor re-reads a file instead of recomputing the joins.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from supplyscope.operators import alerts, conflicts, features, models, tables
-from supplyscope.session import checkpoint_dir
+from supplyscope.session import configure, output_root
 from supplyscope.sources import tables as src
 
 RUN_TS = "2026-01-01T00:00:00"
@@ -24,12 +26,17 @@ class Run:
     def __init__(self, spark: SparkSession, sf_dir: str, run_ts: str = RUN_TS,
                  materialize: bool = True):
         self.spark, self.sf_dir, self.run_ts, self.materialize = spark, sf_dir, run_ts, materialize
+        self._root = None
+        configure(spark)
 
-    def _cut(self, df: DataFrame) -> DataFrame:
+    def _cut(self, df: DataFrame, name: str) -> DataFrame:
         if not self.materialize:
             return df
-        checkpoint_dir(self.spark)
-        return df.checkpoint(eager=True)
+        if self._root is None:
+            self._root = output_root(self.spark, f"runs/{uuid.uuid4().hex}")
+        path = f"{self._root}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
 
     @cached_property
     def items(self) -> DataFrame:
@@ -37,11 +44,11 @@ class Run:
 
     @cached_property
     def feats(self) -> DataFrame:
-        return features.featurize(self.items)
+        return self._cut(features.featurize(self.items), "order_features")
 
     @cached_property
     def inventory(self) -> DataFrame:
-        return tables.build_inventory(self.items)
+        return tables.build_inventory(self.feats)
 
     @cached_property
     def weekly(self) -> DataFrame:
@@ -83,7 +90,7 @@ class Run:
     def preds(self) -> DataFrame:
         """All predictions of the run (bounded: top-k lines + products x 9)."""
         return self._cut(self.delivery_preds.unionByName(self.inventory_preds)
-                         .unionByName(self.demand_preds))
+                         .unionByName(self.demand_preds), "predictions")
 
     @cached_property
     def agent_alerts(self) -> DataFrame:
@@ -92,7 +99,7 @@ class Run:
              .unionByName(alerts.delivery_alerts(self.preds, self.feats, self.run_ts))
              .unionByName(alerts.inventory_alerts(self.preds, self.inventory, self.run_ts))
              .unionByName(alerts.demand_alerts(self.preds, self.baseline, self.run_ts)))
-        return self._cut(a)
+        return self._cut(a, "agent_alerts")
 
     @cached_property
     def conflict_alerts(self) -> DataFrame:
@@ -106,9 +113,13 @@ class Run:
 _RUNS: dict = {}
 
 
-def run_for(spark: SparkSession, sf_dir: str) -> Run:
-    """The shared run of (session, input folder)."""
-    key = (id(spark), sf_dir)
+def run_for(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Run:
+    """The shared run of (session, input folder).
+
+    ``materialize=True`` (prediction / alert jobs, which read the order
+    lines many times) writes the shared tables once; ``False`` (single-pass
+    queries) keeps every frame lazy so Catalyst prunes per query."""
+    key = (id(spark), sf_dir, materialize)
     if key not in _RUNS:
-        _RUNS[key] = Run(spark, sf_dir)
+        _RUNS[key] = Run(spark, sf_dir, materialize=materialize)
     return _RUNS[key]

@@ -7,6 +7,20 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+# SQL settings the jobs are written against (all runtime-settable, applied
+# to a given session by ``configure``).  Static broadcast is off because the
+# planner's size estimate of a join output is the product of its inputs
+# (no CBO), which makes a large fact look small; AQE instead broadcasts a
+# join side only when its *measured* shuffle output is under 32 MB.
+RUNTIME_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+    "spark.sql.session.timeZone": "UTC",
+}
+
 # Settings every job assumes.  AQE coalesces small shuffle partitions and
 # splits skewed join partitions at run time; the session zone is fixed so
 # that date functions give the same answer on every executor.
@@ -15,6 +29,8 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.showConsoleProgress": "false",
@@ -42,6 +58,14 @@ def get_spark(master: str | None = None, app: str = "supplyscope",
     return spark
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply ``RUNTIME_CONF`` to a session created elsewhere."""
+    for k, v in RUNTIME_CONF.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+    return spark
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
