@@ -93,7 +93,7 @@ def stock_status(days) -> Column:
 
 
 def status_code(status) -> Column:
-    """Stock status / label text -> 0 safe, 1 low, 2 critical; unknown 0."""
+    """PRJ30: stock status / label text -> 0 safe, 1 low, 2 critical; unknown 0."""
     s = F.lower(col_or(status))
     return (F.when(s.isin("ok", "safe"), 0).when(s.isin("warning", "low"), 1)
             .when(s == "critical", 2).otherwise(0)).cast("int")

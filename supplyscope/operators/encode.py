@@ -86,7 +86,8 @@ def fit_scaling(df: DataFrame, columns=None) -> DataFrame:
 
 
 def apply_scaling(df: DataFrame, stats: DataFrame, columns=None) -> DataFrame:
-    """PRJ17/18 apply: ``_std`` = (x - mean) / std_pop, ``_norm`` =
+    """PRJ17 / PRJ18 apply (SET3: the scaled columns are appended with
+    ``withColumns``, never a row-index join): ``_std`` = (x - mean) / std_pop, ``_norm`` =
     (x - min) / (max - min); a constant column scales to 0.
 
     The statistics are scalar subqueries over the one-row ``stats`` frame.

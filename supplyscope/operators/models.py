@@ -132,6 +132,24 @@ def score_delivery(model, encoded: DataFrame) -> DataFrame:
     ).drop("features", "rawPrediction", "probability", "prediction")
 
 
+def save_model(model, path: str) -> str:
+    """MLD8: persist a fitted model (MLlib writer; any Hadoop filesystem)."""
+    model.write().overwrite().save(path)
+    return path
+
+
+def load_forest(path: str):
+    """MLD8: reload a saved delivery forest."""
+    from pyspark.ml.classification import RandomForestClassificationModel
+    return RandomForestClassificationModel.load(path)
+
+
+def load_tree(path: str):
+    """MLD8: reload a saved inventory tree."""
+    from pyspark.ml.classification import DecisionTreeClassificationModel
+    return DecisionTreeClassificationModel.load(path)
+
+
 def feature_importances(spark, model, names=DELIVERY_FEATURES) -> DataFrame:
     """MLD3 + WIN6: importances with readable labels, ranked, percent.
 

@@ -162,7 +162,7 @@ class TableStore:
 
     # -- writes
     def overwrite(self, name: str, df: DataFrame, partition_by=None) -> str:
-        """SNK1/3/5/9: full replace into a new version folder."""
+        """SNK1 / SNK3 / SNK5 / SNK9: full replace into a new version folder."""
         v = (self._versions(name) or [0])[-1] + 1
         path = f"{self.root}/{name}/v={v}"
         w = df.write.mode("overwrite")

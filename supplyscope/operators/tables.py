@@ -30,7 +30,8 @@ def inventory_base(items: DataFrame) -> DataFrame:
 
 
 def build_inventory(items: DataFrame) -> DataFrame:
-    """Inventory table: AGG1 + AGG2 + PRJ32-35 + SMP4 + PRJ29.
+    """Inventory table: AGG1 + AGG2 + SMP4 + PRJ29 + PRJ32 (daily demand),
+    PRJ33 (reorder threshold), PRJ34 (stock on hand), PRJ35 (days remaining).
 
     One shuffle (the product aggregate); the span is a scalar subquery.
     """

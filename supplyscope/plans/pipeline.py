@@ -50,7 +50,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str | None = None,
         from supplyscope.operators import encode
         enc, _ = encode.label_encode(run.feats, ["shipping_mode", "market", "customer_segment", "department"])
         forest, _ = models.train_delivery_forest(enc)
-        forest.write().overwrite().save(f"{root}/models/delivery_forest")
+        models.save_model(forest, f"{root}/models/delivery_forest")
         store.overwrite("feature_importance", models.feature_importances(spark, forest))
     store.overwrite("predictions", preds)
 

@@ -78,3 +78,14 @@ def test_pipeline_end_to_end(spark, sf_small):
     q = out["quality"].first()
     assert q["total"] > 10
     assert out["briefing"].count() <= 5
+
+
+def test_model_save_and_reload(spark, sf_small):
+    """MLD8: a saved tree reloads and predicts the same classes."""
+    r = Run(spark, sf_small, materialize=False)
+    m = models.train_inventory_tree(r.inventory)
+    path = models.save_model(m, tempfile.mkdtemp(prefix="supplyscope-model-", dir="/tmp") + "/tree")
+    m2 = models.load_tree(path)
+    a = sorted(map(tuple, models.inventory_model_predictions(m, r.inventory, "t").collect()))
+    b = sorted(map(tuple, models.inventory_model_predictions(m2, r.inventory, "t").collect()))
+    assert a == b
