@@ -20,16 +20,21 @@ def fraud(spark, d):
     return alerts.fraud_alerts(feats(spark, d), RUN_TS)
 
 
+# The agents that read predictions take every input from the same run, so
+# the order lines come from the run's stored table (one scan + semi-join).
 def delivery(spark, d):
-    return alerts.delivery_alerts(all_preds(spark, d), feats(spark, d), RUN_TS)
+    run = run_for(spark, d)
+    return alerts.delivery_alerts(run.preds, run.feats, RUN_TS)
 
 
 def inventory_a(spark, d):
-    return alerts.inventory_alerts(all_preds(spark, d), inventory(spark, d), RUN_TS)
+    run = run_for(spark, d)
+    return alerts.inventory_alerts(run.preds, run.inventory, RUN_TS)
 
 
 def demand(spark, d):
-    return alerts.demand_alerts(all_preds(spark, d), tables.demand_baseline(weekly(spark, d)), RUN_TS)
+    run = run_for(spark, d)
+    return alerts.demand_alerts(run.preds, run.baseline, RUN_TS)
 
 
 def agent_alerts(spark, d):
