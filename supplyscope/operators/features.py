@@ -51,11 +51,16 @@ def add_high_value(df: DataFrame, q: float = 0.75) -> DataFrame:
     return df.withColumn("is_high_value", (F.col("sales") >= p).cast("int"))
 
 
-def featurize(items: DataFrame) -> DataFrame:
-    """All order-item features in one projection chain."""
+def row_features(items: DataFrame) -> DataFrame:
+    """The per-row features (PRJ9-14): one projection, no aggregate."""
     df = add_calendar(items)
     df = add_delay(df)
     df = add_fraud_label(df)
     df = add_profit_margin(df)
-    df = add_discount_amount(df)
-    return add_high_value(df)
+    return add_discount_amount(df)
+
+
+def featurize(items: DataFrame) -> DataFrame:
+    """All order-item features: row features plus the high-value flag,
+    whose quantile needs the whole column (PRJ15)."""
+    return add_high_value(row_features(items))

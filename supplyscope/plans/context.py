@@ -44,7 +44,12 @@ class Run:
 
     @cached_property
     def feats(self) -> DataFrame:
-        return self._cut(features.featurize(self.items), "order_features")
+        """Featurised order lines.  When materialised, the per-row features
+        are stored and the high-value flag is added on read: its quantile
+        then scans the stored column instead of re-running the joins."""
+        if not self.materialize:
+            return features.featurize(self.items)
+        return features.add_high_value(self._cut(features.row_features(self.items), "order_features"))
 
     @cached_property
     def inventory(self) -> DataFrame:
