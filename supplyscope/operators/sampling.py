@@ -57,12 +57,16 @@ def stratified_sample(items: DataFrame, target: int = 4000, seed: int = 42,
     flag = F.col("order_status") == "SUSPECTED_FRAUD"
     fraud = items.where(flag)
     rest = items.where(~flag).withColumn("_h", hash_key(seed, *key))
-    n_fraud = items.select(F.count_if(flag).alias("n")).scalar()
-    n_rest = items.select(F.count_if(~flag).alias("n")).scalar()
-    budget = F.greatest(F.lit(target) - n_fraud, F.lit(1000))
-    counts = rest.groupBy(stratum).agg(F.count(F.lit(1)).alias("_n"))
-    quota = counts.select(stratum, F.least(
-        F.greatest((F.col("_n") / n_rest * budget).cast("bigint"), F.lit(10)),
+    # One aggregate pass gives every count: rows per (stratum, fraud flag);
+    # the totals are a window over that few-row frame.
+    counts = items.groupBy(stratum, flag.alias("_f")).agg(F.count(F.lit(1)).alias("_n"))
+    everything = Window.partitionBy()
+    counts = counts.withColumns({
+        "_nf": F.sum(F.when(F.col("_f"), F.col("_n")).otherwise(0)).over(everything),
+        "_nr": F.sum(F.when(~F.col("_f"), F.col("_n")).otherwise(0)).over(everything)})
+    budget = F.greatest(F.lit(target) - F.col("_nf"), F.lit(1000))
+    quota = counts.where(~F.col("_f")).select(stratum, F.least(
+        F.greatest((F.col("_n") / F.col("_nr") * budget).cast("bigint"), F.lit(10)),
         F.col("_n")).alias("_quota"))
     salted = rest.withColumn("_salt", F.pmod(F.conv(F.substring("_h", 14, 6), 16, 10).cast("bigint"),
                                              F.lit(salt_buckets)))
