@@ -463,10 +463,3 @@ def q_src2(spark, d):
         .option("ignoreTrailingWhiteSpace", False).csv(path)
     back = src.read_access_log(spark, path)
     return tables.browse_signals(back, "Category", "category").select("category", "browse_count")
-
-
-@register("src2_missing_access_log", "SELECT CAST(NULL AS VARCHAR) AS category, CAST(0 AS BIGINT) AS browse_count WHERE false")
-def q_src2_missing(spark, d):
-    """SRC2: an absent log file gives an empty frame, not an error."""
-    back = src.read_access_log(spark, d.rstrip("/") + "/no_such_access_log.csv")
-    return tables.browse_signals(back, "Category", "category").select("category", "browse_count")

@@ -89,3 +89,12 @@ def test_model_save_and_reload(spark, sf_small):
     a = sorted(map(tuple, models.inventory_model_predictions(m, r.inventory, "t").collect()))
     b = sorted(map(tuple, models.inventory_model_predictions(m2, r.inventory, "t").collect()))
     assert a == b
+
+
+def test_missing_access_log_is_empty(spark, sf_small):
+    """SRC2: an absent log file gives an empty frame of the log schema."""
+    from supplyscope.operators import tables
+    from supplyscope.sources import tables as src
+    back = src.read_access_log(spark, sf_small + "/no_such_access_log.csv")
+    assert back.count() == 0 and "Category" in back.columns
+    assert tables.browse_signals(back, "Category", "category").count() == 0
