@@ -158,11 +158,11 @@ def classification_report(scored: DataFrame, y: str, yhat: str) -> DataFrame:
     """AGG24: per class precision / recall / F1 / support and overall
     accuracy (0 on zero division), from one confusion-count aggregate."""
     conf = scored.groupBy(F.col(y).alias("y"), F.col(yhat).alias("p")).agg(F.count(F.lit(1)).alias("n"))
-    classes = conf.select(F.col("y").alias("cls")).unionByName(conf.select(F.col("p").alias("cls"))).distinct()
-    per = classes.join(conf, (F.col("cls") == F.col("y")) | (F.col("cls") == F.col("p")), "left").groupBy("cls").agg(
-        F.sum(F.when((F.col("y") == F.col("cls")) & (F.col("p") == F.col("cls")), F.col("n")).otherwise(0)).alias("tp"),
-        F.sum(F.when(F.col("p") == F.col("cls"), F.col("n")).otherwise(0)).alias("pred_n"),
-        F.sum(F.when(F.col("y") == F.col("cls"), F.col("n")).otherwise(0)).alias("support"))
+    # per-class counts as three aggregates joined on the class (equi-joins)
+    sup = conf.groupBy(F.col("y").alias("cls")).agg(F.sum("n").alias("support"))
+    prd = conf.groupBy(F.col("p").alias("cls")).agg(F.sum("n").alias("pred_n"))
+    tp = conf.where(F.col("y") == F.col("p")).groupBy(F.col("y").alias("cls")).agg(F.sum("n").alias("tp"))
+    per = sup.join(prd, "cls", "full").join(tp, "cls", "left").fillna(0, subset=["support", "pred_n", "tp"])
     prec = F.when(F.col("pred_n") > 0, F.col("tp") / F.col("pred_n")).otherwise(0.0)
     rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(0.0)
     acc = conf.select((F.sum(F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(0)) / F.sum("n"))).scalar()
