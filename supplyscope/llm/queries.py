@@ -28,6 +28,13 @@ def op2_pii(spark, sf_dir):
     return pii_spans(table(spark, sf_dir, "documents"))
 
 
+@query("op3_decontaminate")
+def op3_decontaminate(spark, sf_dir):
+    from supplyscope.llm.decontaminate import contamination
+    out = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select(F.col("payload.id").alias("doc_id"), "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 def tokenizer_model(name: str = "piece_bpe_32k.model") -> bytes:
     """Content of a public tokenizer file, read where the query is built."""
     import public_tokenizers
