@@ -48,6 +48,13 @@ def op5_token_counts(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_model())
 
 
+@query("op6_near_duplicates")
+def op6_near_duplicates(spark, sf_dir):
+    from supplyscope.llm.neardup import near_duplicates
+    out = near_duplicates(table(spark, sf_dir, "documents"))
+    return out.select(F.col("payload.id").alias("doc_id"), "class_id", "class_size", "n_links", "kept")
+
+
 LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
