@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from supplyscope.llm.work import byte_view, session, stash, text_or_empty
+from supplyscope.llm.work import byte_view, merge_join, session, stash, text_or_empty
 
 FIRST_BYTES = 64
 WIDER = 16
@@ -64,7 +64,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     counts = stash(heads.groupBy("nb", "head").agg(F.count("*").alias("n")).filter("n > 1"), "exact-heads")
     full = rows.mapInArrow(normalised(True), f"nb long, head binary, payload {kind}, sha string, body binary")
     full = full.withColumn("row", F.monotonically_increasing_id())
-    first = stash(full.join(counts, ["nb", "head"], "left").select(
+    first = stash(merge_join(full, counts, ["nb", "head"], "left").select(
         "payload", "sha", "row", "nb", F.when(F.col("n") > 1, F.col("body")).alias("body")), "exact-rows")
 
     alone = [first.filter("body IS NULL").select("payload", "sha")]
@@ -73,14 +73,14 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         width *= WIDER
         digits = open_rows.withColumn("digits", F.col("body").substr(1, width))
         counts = stash(digits.groupBy("nb", "digits").agg(F.count("*").alias("n")).filter("n > 1"), "exact-digits")
-        step = stash(digits.join(counts, ["nb", "digits"], "left").select(
+        step = stash(merge_join(digits, counts, ["nb", "digits"], "left").select(
             "payload", "sha", "row", "nb", F.when(F.col("n") > 1, F.col("body")).alias("body")), "exact-open")
         alone.append(step.filter("body IS NULL").select("payload", "sha"))
         open_rows = step.filter("body IS NOT NULL")
 
     ended = open_rows.withColumn("who", F.struct(F.col("payload.id").alias("id"), "row"))
     groups = stash(ended.groupBy("nb", "body").agg(F.max("who").alias("best"), F.count("*").alias("n")), "exact-groups")
-    together = ended.join(groups, ["nb", "body"]).select(
+    together = merge_join(ended, groups, ["nb", "body"]).select(
         F.col("payload"), F.col("best.id").alias("keep_id"), F.col("n").alias("group_size"),
         (F.col("best.row") == F.col("row")).alias("kept"), F.col("sha").alias("text_sha256"))
     out = together
