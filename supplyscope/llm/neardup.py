@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from supplyscope.llm.components import components
 from supplyscope.llm.textscan import STEP, mix, shingle_sets
-from supplyscope.llm.work import byte_view, session, slices, stash, text_or_empty
+from supplyscope.llm.work import byte_view, merge_join, session, slices, stash, text_or_empty
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -255,19 +255,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labels = members.select("row", "sig", tree.alias("tree")).select("row", "tree", label.alias("label"))
     nodes = stash(labels.groupBy("label").agg(F.count("*").alias("n")).filter("n > 1")
                   .withColumn("blocks", F.ceil(F.col("n") / BLOCK)), "near-nodes")
-    shared = stash(in_blocks(labels.join(nodes, "label"), "blocks").select("label", "low", "high", "side", "tree", "row"),
+    shared = stash(in_blocks(merge_join(labels, nodes, "label"), "blocks").select("label", "low", "high", "side", "tree", "row"),
                    "near-shared")
     floor = similarity - SLACK * (similarity * (1 - similarity) / n) ** 0.5
-    grouped = shared.join(members.select("row", "sig"), "row").repartition("label", "low", "high").sortWithinPartitions(
+    grouped = merge_join(shared, members.select("row", "sig"), "row").repartition("label", "low", "high").sortWithinPartitions(
         "label", "low", "high", "row")
     edges = stash(grouped.mapInArrow(candidate_forest(trees, depth, cut, floor), "a long, b long"), "near-edges")
 
     family = components(edges).withColumnRenamed("root", "family").withColumnRenamed("node", "row")
-    texts = base.select("row", "text").join(family, "row").join(members.select("row", "copies"), "row")
+    texts = merge_join(base.select("row", "text"), merge_join(family, members.select("row", "copies"), "row"), "row")
     texts = stash(texts, "near-texts")
     sizes = stash(texts.groupBy("family").agg(F.greatest(
         F.ceil(F.count("*") / BLOCK), F.ceil(F.sum(F.octet_length("text")) / BLOCK_TEXT)).alias("blocks")), "near-families")
-    blocks = in_blocks(texts.join(sizes, "family"), "blocks").repartition("family", "low", "high").sortWithinPartitions(
+    blocks = in_blocks(merge_join(texts, sizes, "family"), "blocks").repartition("family", "low", "high").sortWithinPartitions(
         "family", "low", "high", "row").select("family", "low", "high", "side", "row", "copies", "text")
     checked = stash(blocks.mapInArrow(verified(shingle, similarity), "family long, row long, other long, links long"),
                     "near-checked")
@@ -275,15 +275,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = components(checked.filter("row != other").select(F.col("row").alias("a"), F.col("other").alias("b")))
 
     # from members to rows: equal sets share the member's class and links
-    per_member = members.select("key", "row", "copies").join(links, "row", "left").join(
-        classes.withColumnRenamed("node", "row"), "row", "left").select(
+    per_member = merge_join(merge_join(members.select("key", "row", "copies"), links, "row", "left"),
+                            classes.withColumnRenamed("node", "row"), "row", "left").select(
         "key", F.coalesce("root", "row").alias("class"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     per_member = stash(per_member, "near-classes")
-    placed = stash(base.select("row", "payload", "key").join(per_member, "key", "left").select(
+    placed = stash(merge_join(base.select("row", "payload", "key"), per_member, "key", "left").select(
         "row", "payload", F.coalesce("class", "row").alias("class"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")),
         "near-placed")
     who = F.struct(F.col("payload.id").alias("id"), "row")
     heads = stash(placed.groupBy("class").agg(F.min("payload.id").alias("class_id"), F.max(who).alias("best"),
                                               F.count("*").alias("class_size")), "near-heads")
-    return placed.join(heads, "class").select("payload", "class_id", "class_size", "n_links",
+    return merge_join(placed, heads, "class").select("payload", "class_id", "class_size", "n_links",
                                               (F.col("best.row") == F.col("row")).alias("kept"))
