@@ -22,6 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_quality")
+def op1_quality(spark, sf_dir):
+    from supplyscope.llm.quality import quality_scores
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op2_pii")
 def op2_pii(spark, sf_dir):
     from supplyscope.llm.pii import pii_spans
@@ -55,6 +61,12 @@ def op6_near_duplicates(spark, sf_dir):
     return out.select(F.col("payload.id").alias("doc_id"), "class_id", "class_size", "n_links", "kept")
 
 
+@query("op7_mixing")
+def op7_mixing(spark, sf_dir):
+    from supplyscope.llm.mixing import Mix, mix_report
+    return mix_report(Mix(table(spark, sf_dir, "documents"))).withColumnRenamed("id", "doc_id")
+
+
 LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
@@ -73,3 +85,17 @@ def op8_exact_dedup(spark, sf_dir):
 def op9_secrets(spark, sf_dir):
     from supplyscope.llm.secrets import secret_spans
     return secret_spans(table(spark, sf_dir, "documents"))
+
+
+@query("op10_language_id")
+def op10_language_id(spark, sf_dir):
+    """Documents and web pages; the models are counted over all documents
+    that op1's rule doesn't hold out."""
+    from supplyscope.llm import language
+    from supplyscope.llm.quality import held_out
+    docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    names, logp = language.text_models(docs.filter(~held_out(docs["doc_id"])).select("text", "lang"), "lang")
+    none = F.lit(None).cast("long")
+    rows = language.rows_of(docs, [docs["doc_id"], none.alias("page_id")], docs["text"], docs["source"], False).unionByName(
+        language.rows_of(pages, [none.alias("doc_id"), pages["page_id"]], pages["html"], pages["url"], True))
+    return language.identify(rows, names, logp).select("payload.*", "lang", "posterior", "text_lang", "accepted")
