@@ -41,6 +41,12 @@ def op3_decontaminate(spark, sf_dir):
     return out.select(F.col("payload.id").alias("doc_id"), "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+@query("op4_repeats")
+def op4_repeats(spark, sf_dir):
+    from supplyscope.llm.repeats import remove_repeats
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def tokenizer_model(name: str = "piece_bpe_32k.model") -> bytes:
     """Content of a public tokenizer file, read where the query is built."""
     import public_tokenizers
