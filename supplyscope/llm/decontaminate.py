@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from supplyscope.llm.textscan import Words
-from supplyscope.llm.work import byte_view, session, slices, stash, text_or_empty
+from supplyscope.llm.work import Carried, byte_view, merge_join, session, slices, stash, text_or_empty
 
 WINDOW = 10
 GRAM = 5
@@ -149,35 +149,36 @@ def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes:
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text: str = "text", carry: tuple[str, ...] = (),
                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One row per input row: payload (id and ``carry``), n_words, n_hit,
-    n_items, items_sha256 and contaminated.
+    """One row per input row: id, ``carry`` (struct of those columns, if any),
+    n_words, n_hit, n_items, items_sha256 and contaminated.
 
     Null and empty texts have no words; an empty benchmark hits nothing; null
     ids and repeated rows pass through.  A null item id is written as an empty
     string.
     """
     spark = session(docs)
-    rows = docs.select(F.struct(docs[id_col].alias("id"), *(docs[c].alias(c) for c in carry)).alias("payload"),
-                       text_or_empty(docs[text_col]).alias("text"))
-    kind = rows.schema["payload"].dataType.simpleString()
-    schema = f"payload {kind}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
+    c = Carried(docs, id_col, text_col, carry)
+    found_in = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
 
     blocks = item_blocks(benchmark, item_col, item_text, block_bytes)
     items, n = next(blocks)
     if n == 1:
         shipped = spark.sparkContext.broadcast(vars(items))
+        texts_of, kept = c.texts, c.kept
 
         def run(batches):
+            known = Items.of(shipped.value)
             for b in batches:
-                found = [(words, int(mask.sum()), sorted(set(names))) for words, mask, names in scan(Items.of(shipped.value), b.column(1))]
+                found = [(words, int(mask.sum()), sorted(set(names))) for words, mask, names in scan(known, texts_of(b))]
+                keep = [b.column(k) for k in kept]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64()),
+                    [*keep, pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64()),
                      pa.array([len(f[2]) for f in found], pa.int64()), pa.array([digest(f[2]) for f in found], pa.string()),
                      pa.array([f[1] > 0 for f in found], pa.bool_())],
-                    names=["payload", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
-        return rows.mapInArrow(run, schema)
+                    names=[*kept, "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
+        return c.rows.mapInArrow(run, c.schema(found_in, c.rows.select(*c.kept)))
 
-    base = stash(rows.withColumn("row", F.monotonically_increasing_id()), "decon-rows")
+    base = stash(c.rows.withColumn("row", F.monotonically_increasing_id()), "decon-rows")
     parts = []
     while items is not None:
         shipped = spark.sparkContext.broadcast(vars(items))
@@ -190,7 +191,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                      pa.array([np.packbits(f[1]).tobytes() if f[1].any() else None for f in found], pa.binary()),
                      pa.array([sorted(set(f[2])) for f in found], pa.list_(pa.string()))],
                     names=["row", "n_words", "mask", "names"])
-        parts.append(stash(base.select("row", "text").mapInArrow(
+        parts.append(stash(base.select("row", c.text.alias("text")).mapInArrow(
             some, "row long, n_words long, mask binary, names array<string>"), "decon-block"))
         items = next(blocks, (None, 0))[0]
     hits = parts[0]
@@ -210,5 +211,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                 [b.column(0), b.column(1), pa.array(n_hit, pa.int64()), pa.array([len(x) for x in names], pa.int64()),
                  pa.array([digest(x) for x in names], pa.string()), pa.array([x > 0 for x in n_hit], pa.bool_())],
                 names=["row", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
-    done = merged.mapInArrow(merge, "row long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
-    return base.select("row", "payload").join(done, "row").drop("row")
+    done = merged.mapInArrow(merge, f"row long, {found_in}")
+    return merge_join(base.select("row", *c.kept), done, "row").drop("row")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from supplyscope.llm.work import byte_view, merge_join, session, stash, text_or_empty
+from supplyscope.llm.work import Carried, byte_view, merge_join, session, stash
 
 FIRST_BYTES = 64
 WIDER = 16
@@ -28,64 +28,65 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def normalised(full: bool):
-    """mapInArrow function over (payload, text): byte length and first bytes
-    of the lower-cased text; with ``full`` also payload, SHA-256 and bytes."""
+AZ, AZ_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def measured(texts_of, full: bool):
+    """mapInArrow function: byte length and first bytes of the lower-cased
+    text; with ``full`` all columns of the row and the text's SHA-256 before."""
     def run(batches):
         for b in batches:
-            data, off = byte_view(b.column(1))
+            data, off = byte_view(texts_of(b))
             low = LOWER[data].tobytes()
             ends = off.tolist()
             texts = [low[i:j] for i, j in zip(ends, ends[1:])]
-            cols = [pa.array(np.diff(off), pa.int64()), pa.array([t[:FIRST_BYTES] for t in texts], pa.binary())]
-            names = ["nb", "head"]
+            cols, names = [], []
             if full:
-                cols += [b.column(0), pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()),
-                         pa.array(texts, pa.binary())]
-                names += ["payload", "sha", "body"]
-            yield pa.RecordBatch.from_arrays(cols, names=names)
+                cols = [*b.columns, pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string())]
+                names = [*b.schema.names, "sha"]
+            cols += [pa.array(np.diff(off), pa.int64()), pa.array([t[:FIRST_BYTES] for t in texts], pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, names=[*names, "nb", "head"])
     return run
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  carry: tuple[str, ...] = ()) -> DataFrame:
-    """One row per input row: id, keep_id, group_size, kept, text_sha256 and
-    the columns of ``carry`` (as the struct ``payload``).
+    """One row per input row: id, ``carry`` (struct of those columns, if any),
+    keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical after lower-casing A-Z; null counts as
     empty.  The row with the largest id stays (a null id is the smallest; of
     rows that share id and text one stays).  An empty table gives no rows.
     """
     session(docs)
-    rows = docs.select(F.struct(docs[id_col].alias("id"), *(docs[c].alias(c) for c in carry)).alias("payload"),
-                       text_or_empty(docs[text_col]).alias("text"))
-    kind = rows.schema["payload"].dataType.simpleString()
-    heads = rows.mapInArrow(normalised(False), "nb long, head binary")
+    c = Carried(docs, id_col, text_col, carry)
+    heads = c.rows.mapInArrow(measured(c.texts, False), "nb long, head binary")
     counts = stash(heads.groupBy("nb", "head").agg(F.count("*").alias("n")).filter("n > 1"), "exact-heads")
-    full = rows.mapInArrow(normalised(True), f"nb long, head binary, payload {kind}, sha string, body binary")
+    full = c.rows.mapInArrow(measured(c.texts, True), c.schema("sha string, nb long, head binary"))
     full = full.withColumn("row", F.monotonically_increasing_id())
+    body = F.translate(c.text, AZ, AZ_LOWER).cast("binary")
+    light = [*c.kept, "sha", "row", "nb"]
     first = stash(merge_join(full, counts, ["nb", "head"], "left").select(
-        "payload", "sha", "row", "nb", F.when(F.col("n") > 1, F.col("body")).alias("body")), "exact-rows")
+        *light, F.when(F.col("n") > 1, body).alias("body")), "exact-rows")
 
-    alone = [first.filter("body IS NULL").select("payload", "sha")]
-    open_rows, width = first.filter("body IS NOT NULL").select("payload", "sha", "row", "nb", "body"), FIRST_BYTES
+    alone = [first.filter("body IS NULL")]
+    open_rows, width = first.filter("body IS NOT NULL"), FIRST_BYTES
     while (longest := open_rows.agg(F.max("nb")).first()[0] or 0) > width * WIDER:
         width *= WIDER
         digits = open_rows.withColumn("digits", F.col("body").substr(1, width))
         counts = stash(digits.groupBy("nb", "digits").agg(F.count("*").alias("n")).filter("n > 1"), "exact-digits")
         step = stash(merge_join(digits, counts, ["nb", "digits"], "left").select(
-            "payload", "sha", "row", "nb", F.when(F.col("n") > 1, F.col("body")).alias("body")), "exact-open")
-        alone.append(step.filter("body IS NULL").select("payload", "sha"))
+            *light, F.when(F.col("n") > 1, F.col("body")).alias("body")), "exact-open")
+        alone.append(step.filter("body IS NULL"))
         open_rows = step.filter("body IS NOT NULL")
 
-    ended = open_rows.withColumn("who", F.struct(F.col("payload.id").alias("id"), "row"))
+    ended = open_rows.withColumn("who", F.struct("id", "row"))
     groups = stash(ended.groupBy("nb", "body").agg(F.max("who").alias("best"), F.count("*").alias("n")), "exact-groups")
-    together = merge_join(ended, groups, ["nb", "body"]).select(
-        F.col("payload"), F.col("best.id").alias("keep_id"), F.col("n").alias("group_size"),
+    out = merge_join(ended, groups, ["nb", "body"]).select(
+        *c.kept, F.col("best.id").alias("keep_id"), F.col("n").alias("group_size"),
         (F.col("best.row") == F.col("row")).alias("kept"), F.col("sha").alias("text_sha256"))
-    out = together
     for part in alone:
         out = out.unionByName(part.select(
-            "payload", F.col("payload.id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
+            *c.kept, F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
             F.lit(True).alias("kept"), F.col("sha").alias("text_sha256")))
     return out

@@ -13,9 +13,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from supplyscope.llm.textscan import LOWER, mix
-from supplyscope.llm.work import byte_view, merge_join, session, slices, stash, text_or_empty
+from supplyscope.llm.work import byte_view, merge_join, named, session, slices, stash, text_or_empty
 
 BUCKETS = 8192
 #: Most languages that models are kept for, by number of labelled rows.
@@ -111,7 +112,6 @@ def add_likelihoods(rows: DataFrame, logp: np.ndarray) -> DataFrame:
     probability of a trigram above that of an even spread."""
     spark = rows.sparkSession
     shipped = spark.sparkContext.broadcast(logp)
-    kind = rows.schema["payload"].dataType.simpleString()
     n_lang = len(logp)
 
     def run(batches):
@@ -131,12 +131,18 @@ def add_likelihoods(rows: DataFrame, logp: np.ndarray) -> DataFrame:
                 counts.append(n)
             ll, n = np.concatenate(parts), np.concatenate(counts)
             mean = ll / np.maximum(1, n)[:, None]
-            fit = (mean.max(axis=1, initial=-np.inf) / np.log(2) + np.log2(BUCKETS)) * (n > 0) if n_lang else np.zeros(len(n))
+            fit = (mean.max(axis=1, initial=-np.inf) / np.log(2) + np.log2(BUCKETS)) * (n > 0) if n_lang else np.ones(len(n))
             scaled = mean * np.minimum(n, EVIDENCE)[:, None]
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * n_lang, pa.int32()), pa.array(scaled.ravel()))
             yield pa.RecordBatch.from_arrays([b.column("payload"), b.column("host"), b.column("declared"), pa.array(n, pa.int64()),
                                               pa.array(fit), lists], names=["payload", "host", "declared", "n_grams", "fit", "ll"])
-    return rows.mapInArrow(run, f"payload {kind}, host string, declared string, n_grams long, fit double, ll array<double>")
+    fields = T.StructType.fromDDL("host string, declared string, n_grams long, fit double, ll array<double>").fields
+    return rows.mapInArrow(run, T.StructType([rows.schema["payload"], *fields]))
+
+
+def readable() -> Column:
+    """Whether a text has letters and, unless short, reads like a language."""
+    return (F.col("n_grams") > 0) & ((F.col("n_grams") < LEAST_TRIGRAMS) | (F.col("fit") > 0))
 
 
 def best(ll: Column, n: int) -> Column:
@@ -155,7 +161,7 @@ def fuse(rows: DataFrame, names: list[str]) -> DataFrame:
     n = len(names)
     if not n:
         return rows.select("payload", F.lit(None).cast("string").alias("lang"), F.lit(0.0).alias("posterior"),
-                           F.lit(None).cast("string").alias("text_lang"), F.lit(False).alias("accepted"))
+                           F.lit(None).cast("string").alias("text_lang"), readable().alias("accepted"))
     voted = rows.withColumn("vote", F.when(F.col("n_grams") > 0, best(F.col("ll"), n)))
     votes = [F.sum(F.when(F.col("vote") == k, 1).otherwise(0)).cast("double").alias(f"c{k}") for k in range(n)]
 
@@ -181,12 +187,10 @@ def fuse(rows: DataFrame, names: list[str]) -> DataFrame:
     top = F.array_max("post")
     posterior = 1 / F.aggregate(F.transform("post", lambda x: F.exp(x - top)), F.lit(0.0), lambda a, x: a + x)
     langs = F.array(*(F.lit(x) for x in names))
-    short = F.col("n_grams") < LEAST_TRIGRAMS
-    readable = (F.col("n_grams") > 0) & (short | (F.col("fit") > 0))
     return fused.select(
         "payload", F.when(F.col("n_grams") > 0, langs[best(F.col("post"), n)]).alias("lang"),
         F.round(posterior, 6).alias("posterior"), F.when(F.col("n_grams") > 0, langs[best(F.col("ll"), n)]).alias("text_lang"),
-        readable.alias("accepted"))
+        readable().alias("accepted"))
 
 
 def padded(text: Column) -> Column:
@@ -212,3 +216,14 @@ def identify(rows: DataFrame, names: list[str], logp: np.ndarray) -> DataFrame:
     """
     session(rows)
     return fuse(stash(add_likelihoods(rows, logp), "lang-rows"), names)
+
+
+def accepted_rows(docs: DataFrame, text_col: str = "text", address_col: str = "source", label_col: str = "lang") -> DataFrame:
+    """The rows of ``docs`` that ``identify`` accepts, with models counted on
+    them.  Acceptance rests on the text alone, so nothing is shuffled but the
+    models' counts."""
+    session(docs)
+    _, logp = text_models(docs.select(docs[text_col].alias("text"), docs[label_col].alias("lang")), "lang")
+    whole = [F.struct(*(named(docs, c).alias(c) for c in docs.columns)).alias("row")]
+    rows = add_likelihoods(rows_of(docs, whole, docs[text_col], docs[address_col], False), logp)
+    return rows.filter(readable()).select("payload.row.*")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from supplyscope.llm.work import merge_join, session, stash, text_or_empty
+from supplyscope.llm.work import merge_join, named, session, stash, text_or_empty
 
 # The weights by source rank, the mix's size and the cap.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -205,7 +205,7 @@ def mixed_rows(docs: DataFrame, mix: Mix, id_col: str = "doc_id", text_col: str
     """The mix itself: the columns of ``docs`` and ``mix_shard``, ``mix_pass``;
     one partition or more a shard, each shuffled."""
     text = text_or_empty(docs[text_col])
-    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("payload"), source_key(docs[source_col]).alias("key"),
+    rows = docs.select(F.struct(*(named(docs, c).alias(c) for c in docs.columns)).alias("payload"), source_key(docs[source_col]).alias("key"),
                        order_hash(docs[id_col], text, mix.seed).alias("place"))
     rows = mix.with_source(rows, mix.n_sources, "blocks", "passes", "last", "cut")
     rows = rows.withColumn("block", block_of(F.col("place"), F.col("blocks")))

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from supplyscope.llm.components import components
 from supplyscope.llm.textscan import STEP, mix, shingle_sets
-from supplyscope.llm.work import byte_view, merge_join, session, slices, stash, text_or_empty
+from supplyscope.llm.work import Carried, byte_view, merge_join, session, slices, stash
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -63,11 +63,11 @@ def signatures(sets: list[np.ndarray], n: int) -> np.ndarray:
     return out
 
 
-def sign(k: int, n: int):
+def sign(texts_of, k: int, n: int):
     """mapInArrow function: adds shingle count, set key and signature."""
     def run(batches):
         for b in batches:
-            data, off = byte_view(b.column("text"))
+            data, off = byte_view(texts_of(b))
             counts, keys, sigs = [], [], []
             for i, j in slices(np.diff(off), 1 << 20):
                 sets = shingle_sets(data[off[i]:off[j]], off[i:j + 1] - off[i], k)
@@ -228,9 +228,10 @@ def in_blocks(df: DataFrame, blocks: str) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (),
                     similarity: float = SIMILARITY, shingle: int = SHINGLE, trees: int = TREES, depth: int = DEPTH,
                     recall: float = RECALL) -> DataFrame:
-    """One row per input row: payload (id and ``carry``), class_id (least id
-    of its class), class_size, n_links (rows of Jaccard similarity
-    ``similarity`` or more, copies counted) and kept (one row of each class).
+    """One row per input row: id, ``carry`` (struct of those columns, if any),
+    class_id (least id of its class), class_size, n_links (rows of Jaccard
+    similarity ``similarity`` or more, copies counted) and kept (one row of
+    each class, the one with the largest id).
 
     A class is a connected component of links.  Texts without words (null,
     empty, punctuation) have no shingles and no links: each is a class of its
@@ -238,13 +239,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ids has a null class_id.
     """
     session(docs)
-    rows = docs.select(F.struct(docs[id_col].alias("id"), *(docs[c].alias(c) for c in carry)).alias("payload"),
-                       text_or_empty(docs[text_col]).alias("text"))
-    rows = rows.withColumn("row", F.monotonically_increasing_id())
-    kind = rows.schema["payload"].dataType.simpleString()
+    c = Carried(docs, id_col, text_col, carry)
+    rows = c.rows.withColumn("row", F.monotonically_increasing_id())
     n = trees * depth
-    base = stash(rows.mapInArrow(sign(shingle, n), f"payload {kind}, text string, row long, n_sh long, key binary, sig binary"),
-                 "near-rows")
+    base = stash(rows.mapInArrow(sign(c.texts, shingle, n), c.schema("n_sh long, key binary, sig binary", rows)), "near-rows")
 
     cut = prefix_depth(similarity, trees, depth, recall)
     full = base.filter("n_sh > 0")
@@ -263,7 +261,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     edges = stash(grouped.mapInArrow(candidate_forest(trees, depth, cut, floor), "a long, b long"), "near-edges")
 
     family = components(edges).withColumnRenamed("root", "family").withColumnRenamed("node", "row")
-    texts = merge_join(base.select("row", "text"), merge_join(family, members.select("row", "copies"), "row"), "row")
+    texts = merge_join(base.select("row", c.text.alias("text")), merge_join(family, members.select("row", "copies"), "row"), "row")
     texts = stash(texts, "near-texts")
     sizes = stash(texts.groupBy("family").agg(F.greatest(
         F.ceil(F.count("*") / BLOCK), F.ceil(F.sum(F.octet_length("text")) / BLOCK_TEXT)).alias("blocks")), "near-families")
@@ -279,11 +277,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                             classes.withColumnRenamed("node", "row"), "row", "left").select(
         "key", F.coalesce("root", "row").alias("class"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     per_member = stash(per_member, "near-classes")
-    placed = stash(merge_join(base.select("row", "payload", "key"), per_member, "key", "left").select(
-        "row", "payload", F.coalesce("class", "row").alias("class"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")),
+    placed = stash(merge_join(base.select("row", "id", "key"), per_member, "key", "left").select(
+        "row", "id", F.coalesce("class", "row").alias("class"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")),
         "near-placed")
-    who = F.struct(F.col("payload.id").alias("id"), "row")
-    heads = stash(placed.groupBy("class").agg(F.min("payload.id").alias("class_id"), F.max(who).alias("best"),
+    heads = stash(placed.groupBy("class").agg(F.min("id").alias("class_id"), F.max(F.struct("id", "row")).alias("best"),
                                               F.count("*").alias("class_size")), "near-heads")
-    return merge_join(placed, heads, "class").select("payload", "class_id", "class_size", "n_links",
-                                              (F.col("best.row") == F.col("row")).alias("kept"))
+    found = merge_join(placed, heads, "class").select("row", "id", "class_id", "class_size", "n_links",
+                                                      (F.col("best.row") == F.col("row")).alias("kept"))
+    if carry:
+        found = merge_join(base.select("row", "carry"), found, "row")
+    return found.select(*c.kept, "class_id", "class_size", "n_links", "kept")

@@ -38,7 +38,7 @@ def op2_pii(spark, sf_dir):
 def op3_decontaminate(spark, sf_dir):
     from supplyscope.llm.decontaminate import contamination
     out = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return out.select(F.col("payload.id").alias("doc_id"), "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    return out.select(F.col("id").alias("doc_id"), "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
 @query("op4_repeats")
@@ -64,7 +64,7 @@ def op5_token_counts(spark, sf_dir):
 def op6_near_duplicates(spark, sf_dir):
     from supplyscope.llm.neardup import near_duplicates
     out = near_duplicates(table(spark, sf_dir, "documents"))
-    return out.select(F.col("payload.id").alias("doc_id"), "class_id", "class_size", "n_links", "kept")
+    return out.select(F.col("id").alias("doc_id"), "class_id", "class_size", "n_links", "kept")
 
 
 @query("op7_mixing")
@@ -84,7 +84,7 @@ WINDOW w AS (PARTITION BY low)""")
 def op8_exact_dedup(spark, sf_dir):
     from supplyscope.llm.exact import exact_groups
     out = exact_groups(table(spark, sf_dir, "documents"))
-    return out.select(F.col("payload.id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
+    return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
 
 @query("op9_secrets")

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from supplyscope.session import output_root
 
@@ -43,6 +44,42 @@ def text_or_empty(col: Column) -> Column:
     return F.coalesce(col.cast("string"), F.lit(""))
 
 
+def named(df: DataFrame, name: str) -> Column:
+    """The column of that very name, dots and all."""
+    return df["`" + name.replace("`", "``") + "`"]
+
+
+class Carried:
+    """Rows as (id, carry, text): ``carry`` is a struct of the columns to keep
+    (absent if there are none), so that no name can clash; ``text`` is a column
+    of its own only if the struct doesn't hold it."""
+
+    def __init__(self, docs: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...]):
+        self.inside = text_col if text_col in carry and docs.schema[text_col].dataType == T.StringType() else None
+        cols = [docs[id_col].alias("id")]
+        if carry:
+            cols.append(F.struct(*(named(docs, c).alias(c) for c in carry)).alias("carry"))
+        if not self.inside:
+            cols.append(text_or_empty(docs[text_col]).alias("text"))
+        self.rows = docs.select(*cols)
+        self.kept = ["id", "carry"] if carry else ["id"]
+        self.all = self.rows.columns
+
+    @property
+    def text(self) -> Column:
+        return text_or_empty(F.col("carry")[self.inside]) if self.inside else F.col("text")
+
+    @property
+    def texts(self):
+        """Function from a record batch to its texts; holds no frame."""
+        inside = self.inside
+        return lambda batch: batch.column("carry").field(inside) if inside else batch.column("text")
+
+    def schema(self, more: str, frame: DataFrame | None = None) -> T.StructType:
+        """The rows' fields followed by those of a DDL string."""
+        return T.StructType([*(frame or self.rows).schema.fields, *T.StructType.fromDDL(more).fields])
+
+
 def byte_view(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string array and the int64 offsets of its values;
     nulls are empty."""
