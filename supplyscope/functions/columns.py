@@ -6,13 +6,11 @@ inside whole-stage codegen.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 __all__ = [
-    "col_or", "dec_round", "dec_bround", "money_mul", "season_of",
+    "col_or", "dec_round", "dec_bround", "season_of",
     "week_monday", "strip_lower", "severity_rank", "truncate_text",
     "pct_text", "millions", "stock_status", "status_code", "hash_id",
     "supply_days", "nonempty", "money_text", "int_text", "dec_text", "SEVERITY_RANK",
@@ -40,12 +38,6 @@ def dec_bround(c, scale: int, work_scale: int = 10) -> Column:
     return F.bround(col_or(c).cast(f"decimal(38,{work_scale})"), scale).cast("double")
 
 
-def money_mul(a, b, scale: int = 2) -> Column:
-    """Exact product of two 2-dp money/rate values, rounded half-up."""
-    return F.round(col_or(a).cast("decimal(18,2)") * col_or(b).cast("decimal(18,4)"),
-                   scale).cast("double")
-
-
 def season_of(month) -> Column:
     """Season code: 1 Dec-Feb, 2 Mar-May, 3 Jun-Aug, 4 Sep-Nov."""
     return (F.floor((col_or(month) % 12) / 3) + 1).cast("int")
@@ -134,5 +126,3 @@ def dec_text(c, n: int) -> Column:
     """Fixed ``n``-dp text, half-up rounded through DECIMAL (no separators)."""
     return F.round(col_or(c).cast("decimal(38,6)"), n).cast("string")
 
-
-DEC_002 = Decimal("0.02")

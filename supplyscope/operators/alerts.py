@@ -1,9 +1,10 @@
 """Alert rule jobs (AGT1-5, PRJ36, JON1/3-5, AGG21).
 
-Each agent is a projection over a joined frame: rows in, alert rows out,
-in the ``alerts`` schema plus two structural columns the conflict job uses
-(``action`` and ``direction``).  Severity rules and thresholds follow the
-reference; the message wording is ours, with the same slots.
+Each agent is a projection over a joined frame: every qualifying row in,
+one alert row out, in the ``alerts`` schema.  Texts are ``name=value`` lists of
+the figures behind the alert, so a reader and a parser get the same facts.
+An alert's id is a hash of its agent, category and own key (order line, order
+or product), unique within a run.
 """
 
 from __future__ import annotations
@@ -11,9 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from supplyscope.functions.columns import (dec_bround, dec_text, hash_id, int_text, money_text,
-                                           nonempty)
-from supplyscope.operators.models import mode_late_rates, next_week_forecast
+from supplyscope.functions.columns import dec_text, hash_id, int_text, money_text, nonempty
+from supplyscope.operators.models import mode_late_rates, next_week_forecast, rate_of_mode
+from supplyscope.operators.sampling import ITEM_KEY
 
 # Thresholds.
 FRAUD_HIGH_VALUE = 500.0
@@ -30,15 +31,20 @@ ALERT_COLS = ["id", "created_at", "agent", "severity", "category", "product_name
               "message", "recommendation", "is_resolved", "action", "direction"]
 
 
-def finish(df: DataFrame, agent: str, category: str, run_ts: str) -> DataFrame:
-    """Stamp agent, category, run time, id and the open flag."""
+def facts(**values) -> F.Column:
+    """``name=value`` texts joined by "; "; NULL values are left out."""
+    return F.concat_ws("; ", *[F.concat(F.lit(f"{k}="), v.cast("string")) for k, v in values.items()])
+
+
+def finish(df: DataFrame, agent: str, category: str, run_ts: str, key) -> DataFrame:
+    """Stamp agent, category, run time, id (from ``key``) and the open flag."""
     df = df.withColumns({"agent": F.lit(agent), "category": F.lit(category),
                          "created_at": F.lit(run_ts), "is_resolved": F.lit(0)})
     for c, t in (("action", "string"), ("direction", "string"), ("product_name", "string"),
                  ("order_id", "bigint")):
         if c not in df.columns:
             df = df.withColumn(c, F.lit(None).cast(t))
-    df = df.withColumn("id", hash_id("agent", "category", "order_id", "product_name", "message"))
+    df = df.withColumn("id", hash_id("agent", "category", *key))
     return df.select(
         F.col("id").cast("bigint"), "created_at", "agent", "severity", "category",
         F.col("product_name").cast("string"), F.col("order_id").cast("bigint"), "message",
@@ -47,16 +53,20 @@ def finish(df: DataFrame, agent: str, category: str, run_ts: str) -> DataFrame:
 
 # ------------------------------------------------------------------ fraud
 
+def fraud_orders(orders: DataFrame) -> DataFrame:
+    """FLT1: all fraud lines."""
+    return orders.where(F.col("fraud_label") == 1)
+
+
 def top_fraud_orders(orders: DataFrame, limit: int = 500) -> DataFrame:
-    """TOP1 + FLT1: fraud lines by sales desc (ties in item order)."""
-    return (orders.where(F.col("fraud_label") == 1)
-            .orderBy(F.col("sales").desc(), F.col("item_seq").asc()).limit(limit))
+    """TOP1: fraud lines by sales desc (ties in item order), first ``limit``."""
+    return fraud_orders(orders).orderBy(F.col("sales").desc(), F.col("item_seq").asc()).limit(limit)
 
 
-def fraud_alerts(orders: DataFrame, run_ts: str, limit: int = 500) -> DataFrame:
-    """AGT1: severity by order value; action immediate / hold /
-    investigate (cancelled shipping) / monitor."""
-    f = top_fraud_orders(orders, limit)
+def fraud_alerts(orders: DataFrame, run_ts: str) -> DataFrame:
+    """AGT1: one alert per fraud line; severity by value; action immediate /
+    hold / investigate (cancelled shipping) / monitor."""
+    f = fraud_orders(orders)
     canceled = F.lower(F.coalesce(F.col("delivery_status"), F.lit(""))).contains("canceled")
     sales = F.coalesce(F.col("sales"), F.lit(0.0))
     delay = F.coalesce(F.col("delay_days"), F.lit(0.0))
@@ -65,119 +75,86 @@ def fraud_alerts(orders: DataFrame, run_ts: str, limit: int = 500) -> DataFrame:
     action = (F.when(sales >= FRAUD_CRITICAL_VALUE, "immediate")
               .when(sales >= FRAUD_HIGH_VALUE, "hold")
               .when(canceled, "investigate").otherwise("monitor"))
-    note = (F.when(canceled, F.lit("shipping cancelled after the order was placed"))
-            .when(delay > 1, F.concat(F.lit("shipped "), int_text(delay), F.lit(" days late"))))
-    profile = F.concat_ws(", ", F.concat(F.lit("$"), money_text(sales)),
-                          nonempty("customer_segment"),
-                          F.concat(F.col("market"), F.lit(" ("), F.coalesce(F.col("order_region"), F.lit("")), F.lit(")")),
-                          nonempty("department"), note)
-    oid = F.col("order_id").cast("string")
-    msg = F.concat(F.lit("Suspected fraud on order #"), oid, F.lit(" ('"), F.col("product_name"),
-                   F.lit("'). Profile: "), profile, F.lit(". Shipping mode: "),
-                   F.col("shipping_mode"), F.lit(". Review before fulfilment."))
-    rec = (F.when(F.col("action") == "immediate", F.concat(
-               F.lit("Stop order #"), oid, F.lit(" now: send to finance for identity and payment checks; "
-                                              "do not ship; recall the parcel if it has left.")))
-           .when(F.col("action") == "hold", F.concat(
-               F.lit("Hold order #"), oid, F.lit(": confirm with the "), F.col("customer_segment"),
-               F.lit(" customer through registered contact details; payment proof within 4 hours.")))
-           .when(F.col("action") == "investigate", F.concat(
-               F.lit("Investigate order #"), oid,
-               F.lit(": look for a refund or chargeback claim and watch the account.")))
-           .otherwise(F.concat(F.lit("Watch order #"), oid,
-                               F.lit(": add the customer to the watch list; escalate on repeat."))))
-    out = f.select("order_id", "product_name", severity.alias("severity"), action.alias("action"),
-                   msg.alias("message"), *[c for c in ("customer_segment",) if c in f.columns])
-    out = out.withColumn("recommendation", rec).drop("customer_segment")
-    return finish(out, "FraudAgent", "fraud", run_ts)
+    message = facts(order=F.col("order_id"), product=F.col("product_name"), value=money_text(sales),
+                    segment=nonempty("customer_segment"), market=F.col("market"), region=nonempty("order_region"),
+                    department=nonempty("department"), mode=F.col("shipping_mode"),
+                    shipping=F.when(canceled, F.lit("canceled")),
+                    late_days=F.when(~canceled & (delay > 1), int_text(delay)))
+    out = f.select("item_seq", "order_id", "product_name", severity.alias("severity"), action.alias("action"),
+                   message.alias("message"))
+    out = out.withColumn("recommendation", facts(action=F.col("action"), order=F.col("order_id")))
+    return finish(out, "FraudAgent", "fraud", run_ts, ITEM_KEY)
 
 
 # ------------------------------------------------------------------ delivery
 
+def late_predictions(predictions: DataFrame) -> DataFrame:
+    """FLT2: late delivery predictions."""
+    return predictions.where((F.col("prediction_type") == "delivery") & (F.col("label") == "late"))
+
+
 def top_late_predictions(predictions: DataFrame, limit: int = 200) -> DataFrame:
-    """TOP2 + FLT2: late delivery predictions, highest probability first."""
-    return (predictions.where((F.col("prediction_type") == "delivery") & (F.col("label") == "late"))
+    """TOP2: late delivery predictions, highest probability first."""
+    return (late_predictions(predictions)
             .orderBy(F.col("predicted_value").desc(), F.col("order_id").asc(), F.col("id").asc())
             .limit(limit))
 
 
+def late_orders(predictions: DataFrame) -> DataFrame:
+    """Orders with a late line and their highest probability."""
+    return late_predictions(predictions).groupBy("order_id").agg(F.max("predicted_value").alias("prob"))
+
+
 def order_context(items: DataFrame, order_ids: DataFrame) -> DataFrame:
     """JON3 + WIN5: the last line (item order) of each wanted order.
 
-    The lines are first cut to the wanted orders with a semi-join, so the
-    per-order aggregate only sees their lines."""
-    wanted = items.join(order_ids.select("order_id").distinct(), "order_id", "left_semi")
+    Lines are combined per order before they are shuffled; the orders, grouped
+    by the same key, join without another shuffle of the lines."""
     ctx = F.struct("product_name", "shipping_mode", "market", "order_region", "customer_segment",
                    "sales", "department", "days_scheduled")
-    return (wanted.groupBy("order_id").agg(F.max_by(ctx, "item_seq").alias("c"))
-            .select("order_id", "c.*"))
-
-
-def delivery_alerts(predictions: DataFrame, items: DataFrame, run_ts: str,
-                    limit: int = 200) -> DataFrame:
-    """AGT2: severity by probability; order context and the mode's computed
-    late rate in the message; tight lead-time note when scheduled <= 2."""
-    top = top_late_predictions(predictions, limit).select(
-        "order_id", F.col("predicted_value").alias("prob"))
-    ctx = order_context(items, top)
-    rates = mode_late_rates(items.withColumn(
-        "late_delivery_risk", F.col("late_delivery_risk"))).select(
-        "shipping_mode", F.col("late_rate").alias("mode_rate"))
-    j = top.join(ctx, "order_id", "left").join(rates, "shipping_mode", "left")
+    last = items.groupBy("order_id").agg(F.max_by(ctx, "item_seq").alias("c")).select("order_id", "c.*")
+    return last.join(order_ids.select("order_id").distinct(), "order_id", "left_semi")
+
+
+def delivery_alerts(predictions: DataFrame, items: DataFrame, run_ts: str) -> DataFrame:
+    """AGT2: one alert per late order, severity by its highest probability;
+    order context and the mode's computed late rate in the message."""
+    late = late_orders(predictions)
+    j = late.join(order_context(items, late), "order_id", "left")
+    j = j.withColumn("mode_rate", rate_of_mode(mode_late_rates(items), "late_rate", F.col("shipping_mode")))
     prob = F.coalesce(F.col("prob"), F.lit(0.0))
     severity = (F.when(prob >= DELIVERY_CRITICAL, "CRITICAL")
                 .when(prob >= DELIVERY_HIGH, "HIGH").otherwise("MEDIUM"))
-    oid = F.col("order_id").cast("string")
-    pct = int_text(prob * 100)
-    has_ctx = F.col("product_name").isNotNull()
-    sched = int_text(F.col("days_scheduled"))
-    lead = F.when(F.col("days_scheduled") <= 2, F.concat(sched, F.lit("-day lead time, very tight.")))\
-        .otherwise(F.concat(sched, F.lit("-day lead time.")))
-    long_msg = F.concat(
-        F.lit("Late delivery risk for order #"), oid, F.lit(" ('"), F.col("product_name"),
-        F.lit("', "), F.col("department"), F.lit(", "), F.col("market"), F.lit("/"),
-        F.col("order_region"), F.lit("): "), pct, F.lit("% chance of arriving late. Mode '"),
-        F.col("shipping_mode"), F.lit("' runs late on "), int_text(F.col("mode_rate") * 100),
-        F.lit("% of lines. "), lead, F.lit(" Value $"), money_text("sales"), F.lit(", customer "),
-        F.col("customer_segment"), F.lit("."))
-    short_msg = F.concat(F.lit("Late delivery risk for order #"), oid, F.lit(": "), pct,
-                         F.lit("% chance of arriving late."))
-    rec_ctx = (F.when(prob >= DELIVERY_CRITICAL, F.concat(
-                   F.lit("Urgent, order #"), oid, F.lit(": call the "), F.col("customer_segment"),
-                   F.lit(" customer first; consider a faster mode than '"), F.col("shipping_mode"),
-                   F.lit("'; review the carrier on this route.")))
-               .when(prob >= DELIVERY_HIGH, F.concat(
-                   F.lit("Act on order #"), oid, F.lit(": track closely after dispatch, prepare a "
-                                                     "delay notice, review the '"),
-                   F.col("shipping_mode"), F.lit("' carrier.")))
-               .otherwise(F.concat(F.lit("Watch order #"), oid,
-                                   F.lit(": daily shipment check; escalate after 24 hours without movement."))))
-    rec_short = F.concat(F.lit("Watch order #"), oid,
-                         F.lit(": escalate after 24 hours without tracking movement."))
-    out = j.select(
-        "order_id", "product_name", severity.alias("severity"),
-        F.when(has_ctx, long_msg).otherwise(short_msg).alias("message"),
-        F.when(has_ctx, rec_ctx).otherwise(rec_short).alias("recommendation"))
-    return finish(out, "DeliveryAgent", "delivery", run_ts)
+    action = (F.when(prob >= DELIVERY_CRITICAL, "call_customer")
+              .when(prob >= DELIVERY_HIGH, "track").otherwise("watch"))
+    message = facts(order=F.col("order_id"), late_percent=int_text(prob * 100), product=F.col("product_name"),
+                    department=F.col("department"), market=F.col("market"), region=F.col("order_region"),
+                    mode=F.col("shipping_mode"), mode_late_percent=int_text(F.col("mode_rate") * 100),
+                    lead_days=int_text(F.col("days_scheduled")),
+                    lead=F.when(F.col("days_scheduled") <= 2, F.lit("tight")),
+                    value=money_text("sales"), segment=F.col("customer_segment"))
+    out = j.select("order_id", "product_name", severity.alias("severity"), message.alias("message"),
+                   action.alias("action"))
+    out = out.withColumn("recommendation", facts(action=F.col("action"), order=F.col("order_id")))
+    return finish(out, "DeliveryAgent", "delivery", run_ts, ["order_id"])
 
 
 # ------------------------------------------------------------------ inventory
 
 def reorder_quantity(daily, stock, label) -> F.Column:
     """AGT4: max(round(daily x (buffer + lead) - stock), 1), half-even;
-    buffer 14 days if critical else 30; 0 when an input is missing."""
+    buffer 14 days if critical else 30; missing inputs count as 0, so the
+    least quantity, 1, is the answer for them."""
     buf = F.when(label == "critical", CRITICAL_BUFFER_DAYS).otherwise(LOW_BUFFER_DAYS)
     need = (F.coalesce(daily, F.lit(0.0)).cast("decimal(20,4)") * (buf + LEAD_TIME_DAYS)
             - F.coalesce(stock, F.lit(0)).cast("decimal(20,4)"))
     return F.greatest(F.bround(need, 0).cast("bigint"), F.lit(1).cast("bigint"))
 
 
-def inventory_alerts(predictions: DataFrame, inventory: DataFrame, run_ts: str,
-                     limit: int = 200) -> DataFrame:
-    """AGT3: non-safe inventory predictions (first ``limit`` by product),
-    joined to the inventory row; critical -> CRITICAL, low -> HIGH."""
+def inventory_alerts(predictions: DataFrame, inventory: DataFrame, run_ts: str) -> DataFrame:
+    """AGT3: every inventory prediction that isn't safe, joined to the
+    inventory row; critical -> CRITICAL, low -> HIGH."""
     preds = (predictions.where(F.col("prediction_type") == "inventory")
-             .orderBy(F.col("created_at").desc(), F.col("product_name").asc()).limit(limit)
              .select("product_name", F.lower(F.coalesce("label", F.lit("safe"))).alias("plabel"))
              .where(F.col("plabel") != "safe"))
     inv = inventory.select("product_name", "simulated_stock", "avg_daily_demand", "days_remaining",
@@ -187,40 +164,24 @@ def inventory_alerts(predictions: DataFrame, inventory: DataFrame, run_ts: str,
     crit = F.col("plabel") == "critical"
     qty = reorder_quantity(F.col("avg_daily_demand"), F.col("simulated_stock"), F.col("plabel"))
     price = F.coalesce(F.col("product_price"), F.lit(0.0))
-    cost = money_text(qty.cast("decimal(20,0)") * price.cast("decimal(20,2)"))
-    name = F.col("product_name")
-    stock = F.coalesce(F.col("simulated_stock"), F.lit(0)).cast("string")
-    daily = dec_text(F.coalesce(F.col("avg_daily_demand"), F.lit(0.0)), 1)
-    days = int_text(F.coalesce(F.col("days_remaining"), F.lit(0.0)))
-    thresh = int_text(F.coalesce(F.col("reorder_threshold"), F.lit(0.0)))
-    q = qty.cast("string")
-    msg_crit = F.concat(F.lit("Critical stock, '"), name, F.lit("' ("), F.col("inv_category"),
-                        F.lit("): "), stock, F.lit(" units on hand, "), daily, F.lit(" sold per day, out in "),
-                        days, F.lit(" days. Reorder point "), thresh, F.lit(" units. Order "), q,
-                        F.lit(" units now (14 days cover + 5 days lead), about $"), cost,
-                        F.lit(" at $"), dec_text(price, 2), F.lit(" each."))
-    msg_low = F.concat(F.lit("Low stock, '"), name, F.lit("' ("), F.col("inv_category"), F.lit("): "),
-                       stock, F.lit(" units, "), days, F.lit(" days of supply at "), daily,
-                       F.lit(" per day. Reorder point "), thresh, F.lit(" units. Order "), q,
-                       F.lit(" units (30 days cover), about $"), cost, F.lit("."))
-    rec_crit = F.concat(F.lit("Urgent: ask the supplier for a 5-day delivery of "), q,
-                        F.lit(" units of '"), name, F.lit("'; use a second supplier if needed."))
-    rec_low = F.concat(F.lit("Raise a standard order for "), q, F.lit(" units of '"), name,
-                       F.lit("'; delivery in 5 working days; check stock daily until it arrives."))
-    msg_bare_c = F.concat(F.lit("Critical stock, '"), name, F.lit("': reorder now."))
-    msg_bare_l = F.concat(F.lit("Low stock, '"), name, F.lit("': close to the reorder point."))
-    rec_bare_c = F.concat(F.lit("Urgent: ask the supplier for the fastest delivery of '"), name, F.lit("'."))
-    rec_bare_l = F.concat(F.lit("Raise a standard order for '"), name, F.lit("' within 48 hours."))
     has = F.col("_has").isNotNull()
-    out = j.select(
-        "product_name",
-        F.when(crit, "CRITICAL").otherwise("HIGH").alias("severity"),
-        F.when(has, F.when(crit, msg_crit).otherwise(msg_low))
-         .otherwise(F.when(crit, msg_bare_c).otherwise(msg_bare_l)).alias("message"),
-        F.when(has, F.when(crit, rec_crit).otherwise(rec_low))
-         .otherwise(F.when(crit, rec_bare_c).otherwise(rec_bare_l)).alias("recommendation"),
-        F.col("plabel").alias("action"))
-    return finish(out, "InventoryAgent", "inventory", run_ts)
+
+    def known(c):
+        return F.when(has, c)
+
+    message = facts(
+        product=F.col("product_name"), stock_class=F.col("plabel"), category=F.col("inv_category"),
+        stock=known(F.coalesce(F.col("simulated_stock"), F.lit(0))),
+        per_day=known(dec_text(F.coalesce(F.col("avg_daily_demand"), F.lit(0.0)), 1)),
+        days_left=known(int_text(F.coalesce(F.col("days_remaining"), F.lit(0.0)))),
+        reorder_point=known(int_text(F.coalesce(F.col("reorder_threshold"), F.lit(0.0)))),
+        order_units=known(qty), unit_price=known(dec_text(price, 2)),
+        cost=known(money_text(qty.cast("decimal(20,0)") * price.cast("decimal(20,2)"))))
+    out = j.select("product_name", F.when(crit, "CRITICAL").otherwise("HIGH").alias("severity"),
+                   message.alias("message"), F.when(crit, "rush_order").otherwise("standard_order").alias("action"),
+                   known(qty).alias("_qty"))
+    out = out.withColumn("recommendation", facts(action=F.col("action"), product=F.col("product_name"), units=F.col("_qty")))
+    return finish(out, "InventoryAgent", "inventory", run_ts, ["product_name"])
 
 
 # ------------------------------------------------------------------ demand
@@ -246,28 +207,17 @@ def demand_alerts(predictions: DataFrame, baseline: DataFrame, run_ts: str) -> D
     """AGT5: surge (ratio >= 1.25) HIGH, decline (<= 0.75) MEDIUM."""
     o = demand_outcomes(predictions, baseline).where(F.col("outcome").isin("surge", "decline"))
     f, b, ci = F.col("forecast"), F.col("baseline"), F.col("ci")
-    pct = int_text(F.abs((f - b) / b * 100))
-    rng = F.when(ci > 0, F.concat(F.lit(" (range "), int_text(F.greatest(f - ci / 2, F.lit(0.0))),
-                                   F.lit(" to "), int_text(f + ci / 2), F.lit(" units)"))).otherwise(F.lit(""))
-    name = F.col("product_name")
     surge = F.col("outcome") == "surge"
-    head = F.concat(F.lit("' in week "), F.col("week"), F.lit(": "), int_text(f), F.lit(" units"), rng,
-                    F.lit(", "), pct)
-    msg = F.when(surge, F.concat(F.lit("Demand surge for '"), name, head,
-                                 F.lit("% above the usual "), int_text(b),
-                                 F.lit(" units a week; stock may run short.")))\
-        .otherwise(F.concat(F.lit("Demand decline for '"), name, head, F.lit("% below the usual "),
-                            int_text(b), F.lit(" units a week; stock may pile up.")))
-    up = F.greatest(F.floor(f - b), F.lit(0)).cast("bigint").cast("string")
-    down = F.greatest(F.floor(b - f), F.lit(0)).cast("bigint").cast("string")
-    rec = F.when(surge, F.concat(F.lit("Buy about "), up, F.lit(" extra units of '"), name,
-                                 F.lit("' above the usual reorder; tell purchasing now.")))\
-        .otherwise(F.concat(F.lit("Hold back: cut the next order of '"), name, F.lit("' by about "),
-                            down, F.lit(" units; consider a promotion.")))
+    message = facts(product=F.col("product_name"), trend=F.col("outcome"), week=F.col("week"), forecast=int_text(f),
+                    low=F.when(ci > 0, int_text(F.greatest(f - ci / 2, F.lit(0.0)))),
+                    high=F.when(ci > 0, int_text(f + ci / 2)),
+                    change_percent=int_text(F.abs((f - b) / b * 100)), usual=int_text(b))
+    units = F.greatest(F.floor(F.when(surge, f - b).otherwise(b - f)), F.lit(0)).cast("bigint")
     out = o.select("product_name", F.when(surge, "HIGH").otherwise("MEDIUM").alias("severity"),
-                   msg.alias("message"), rec.alias("recommendation"),
-                   F.col("outcome").alias("direction"))
-    return finish(out, "DemandAgent", "demand", run_ts)
+                   message.alias("message"), F.col("outcome").alias("direction"),
+                   F.when(surge, "buy_more").otherwise("hold_back").alias("action"), units.alias("_units"))
+    out = out.withColumn("recommendation", facts(action=F.col("action"), product=F.col("product_name"), units=F.col("_units")))
+    return finish(out, "DemandAgent", "demand", run_ts, ["product_name"])
 
 
 def demand_outcome_counts(predictions: DataFrame, baseline: DataFrame) -> DataFrame:

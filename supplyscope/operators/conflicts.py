@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from supplyscope.functions.columns import severity_rank, truncate_text
-from supplyscope.operators.alerts import finish
+from supplyscope.operators.alerts import facts, finish
 
 
 def open_alerts(alerts: DataFrame, limit: int | None = None) -> DataFrame:
@@ -28,15 +28,6 @@ def open_alerts(alerts: DataFrame, limit: int | None = None) -> DataFrame:
     return a
 
 
-def _direction(a: DataFrame) -> F.Column:
-    """Structured direction of a demand alert; alerts read back from the
-    stored table (no column) fall back to the message head."""
-    if "direction" in a.columns:
-        return F.coalesce(F.col("direction"),
-                          F.when(F.lower("message").startswith("demand decline"), "decline"))
-    return F.when(F.lower("message").startswith("demand decline"), "decline")
-
-
 def _newest(cat: str, value) -> F.Column:
     return F.max(F.when(F.col("category") == cat,
                         F.struct(F.col("created_at"), (-F.col("id")).alias("nid"), value.alias("v"))))
@@ -46,44 +37,26 @@ def product_conflicts(alerts: DataFrame, run_ts: str) -> DataFrame:
     """AGT6 (inventory vs declining demand) and AGT7 (delivery + inventory,
     no fraud) per product."""
     a = alerts.where(F.col("product_name").isNotNull() & (F.col("product_name") != ""))
-    a = a.withColumn("_dir", _direction(a))
     g = a.groupBy("product_name").agg(
         F.bool_or(F.col("category") == "inventory").alias("has_inv"),
         F.bool_or(F.col("category") == "demand").alias("has_dem"),
         F.bool_or(F.col("category") == "delivery").alias("has_del"),
         F.bool_or(F.col("category") == "fraud").alias("has_fraud"),
         _newest("inventory", F.col("severity")).alias("inv"),
-        _newest("demand", F.col("_dir")).alias("dem"),
+        _newest("demand", F.col("direction")).alias("dem"),
     )
     name = F.col("product_name")
     inv_sev = F.coalesce(F.col("inv.v"), F.lit("HIGH"))
     strong = severity_rank(inv_sev) >= 3
     c6 = g.where(F.col("has_inv") & F.col("has_dem") & (F.col("dem.v") == "decline")).select(
-        "product_name",
-        F.when(strong, "HIGH").otherwise("MEDIUM").alias("severity"),
-        F.when(strong, F.concat(
-            F.lit("Conflict for '"), name, F.lit("': the inventory agent raised a "), inv_sev,
-            F.lit(" restock alert while the demand agent expects demand to fall. Resolution: "
-                  "reorder lead time plus 7 days only, not the usual 30-day cover.")))
-         .otherwise(F.concat(F.lit("Conflict for '"), name,
-                             F.lit("': stock is low but demand is falling; deferring the reorder is safer.")))
-         .alias("message"),
-        F.when(strong, F.concat(F.lit("Partial reorder for '"), name,
-                                F.lit("': 7 days of supply; review demand again in 2 weeks.")))
-         .otherwise(F.concat(F.lit("Defer the reorder for '"), name,
-                             F.lit("': watch for 2 weeks; reorder if demand steadies or stock turns critical.")))
-         .alias("recommendation"),
+        "product_name", F.when(strong, "HIGH").otherwise("MEDIUM").alias("severity"),
+        facts(product=name, rule=F.lit("restock_against_decline"), inventory=inv_sev).alias("message"),
         F.when(strong, "partial_reorder").otherwise("defer").alias("action"))
     c7 = g.where(F.col("has_del") & F.col("has_inv") & ~F.col("has_fraud")).select(
         "product_name", F.lit("HIGH").alias("severity"),
-        F.concat(F.lit("Compound risk for '"), name,
-                 F.lit("': late delivery and stock shortage are both flagged; if both happen the "
-                       "order cannot be filled.")).alias("message"),
-        F.concat(F.lit("Escalate '"), name,
-                 F.lit("': speed up shipping and restock at once; tell warehouse and operations.")
-                 ).alias("recommendation"),
-        F.lit("compound").alias("action"))
-    return finish(c6.unionByName(c7), "ConflictResolver", "conflict", run_ts)
+        facts(product=name, rule=F.lit("late_and_short")).alias("message"), F.lit("compound").alias("action"))
+    out = c6.unionByName(c7).withColumn("recommendation", facts(action=F.col("action"), product=name))
+    return finish(out, "ConflictResolver", "conflict", run_ts, ["action", "product_name", "order_id"])
 
 
 def order_escalations(alerts: DataFrame, run_ts: str) -> DataFrame:
@@ -96,17 +69,13 @@ def order_escalations(alerts: DataFrame, run_ts: str) -> DataFrame:
     g = g.where(F.array_contains("cats", "fraud") & (F.size("cats") > 1))
     other_cats = F.array_join(F.array_sort(F.array_except("cats", F.array(F.lit("fraud")))), ", ")
     other_agents = F.array_join(F.array_sort("others"), ", ")
-    oid = F.col("order_id").cast("string")
     out = g.select(
         "order_id", F.lit("CRITICAL").alias("severity"),
-        F.concat(F.lit("Escalation for order #"), oid, F.lit(": flagged by FraudAgent and by "),
-                 other_agents, F.lit(" ("), other_cats,
-                 F.lit("); independent signals point to a high-risk order.")).alias("message"),
-        F.concat(F.lit("Block order #"), oid,
-                 F.lit(": suspend now; release only after fraud and operations sign off.")
-                 ).alias("recommendation"),
+        facts(order=F.col("order_id"), rule=F.lit("fraud_and_others"), agents=other_agents,
+              categories=other_cats).alias("message"),
+        facts(action=F.lit("block"), order=F.col("order_id")).alias("recommendation"),
         F.lit("block").alias("action"))
-    return finish(out, "ConflictResolver", "conflict", run_ts)
+    return finish(out, "ConflictResolver", "conflict", run_ts, ["action", "product_name", "order_id"])
 
 
 def resolve_conflicts(alerts: DataFrame, run_ts: str, limit: int | None = None) -> DataFrame:

@@ -6,8 +6,6 @@ of statistics) that can be written and re-applied to new rows.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +23,9 @@ ENCODED_COLUMNS = {
     "product_name": "product_name_enc",
 }
 
+#: Categorical columns whose number of values has no bound.
+WIDE_COLUMNS = ("product_name",)
+
 SCALE_COLUMNS = ("days_real", "days_scheduled", "quantity", "discount_rate", "profit_ratio",
                  "sales", "profit", "item_total", "benefit", "product_price", "item_price",
                  "discount", "sales_per_customer", "delay_days", "profit_margin",
@@ -40,10 +41,10 @@ def fit_label_codes(df: DataFrame, columns=None) -> DataFrame:
     is bounded by the categorical's cardinality.
     """
     columns = [c for c in (columns or ENCODED_COLUMNS) if c in df.columns]
-    parts = [df.select(F.lit(c).alias("column_name"),
-                       F.coalesce(F.col(c).cast("string"), F.lit("None")).alias("value"))
-             for c in columns]
-    distinct = reduce(DataFrame.unionByName, parts).distinct()
+    # one pass: each row gives its (column, value) pairs, combined before the shuffle
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"),
+                               F.coalesce(F.col(c).cast("string"), F.lit("None")).alias("value")) for c in columns])
+    distinct = df.select(F.inline(pairs)).distinct()
     w = Window.partitionBy("column_name").orderBy("value")
     return distinct.withColumn("code", (F.dense_rank().over(w) - 1).cast("int"))
 
@@ -52,20 +53,25 @@ def apply_label_codes(df: DataFrame, mapping: DataFrame, columns=None,
                       unseen: int = -1) -> DataFrame:
     """PRJ16/PRJ19: attach ``<col>_enc`` codes by joining the mapping.
 
-    Each join side is one column's mapping (a few rows per category); AQE
-    turns these into broadcast joins from the runtime size.  Values absent
-    from the mapping get ``unseen``.
+    A few-valued column's codes are looked up in a map that is one scalar
+    subquery, so the rows aren't shuffled on its few keys; columns in
+    ``WIDE_COLUMNS``, whose values grow with the data, are joined.  Values
+    absent from the mapping get ``unseen``.
     """
     columns = [c for c in (columns or ENCODED_COLUMNS) if c in df.columns]
-    out = df
+    out, new = df, {}
     for c in columns:
         enc = ENCODED_COLUMNS.get(c, f"{c}_enc")
-        m = (mapping.where(F.col("column_name") == c)
-             .select(F.col("value").alias(f"__v_{c}"), F.col("code").alias(enc)))
-        out = (out.join(m, F.coalesce(F.col(c).cast("string"), F.lit("None")) == F.col(f"__v_{c}"), "left")
-               .drop(f"__v_{c}")
-               .withColumn(enc, F.coalesce(F.col(enc), F.lit(unseen)).cast("int")))
-    return out
+        m = mapping.where(F.col("column_name") == c)
+        value = F.coalesce(F.col(c).cast("string"), F.lit("None"))
+        if c in WIDE_COLUMNS:
+            m = m.select(F.col("value").alias(f"__v_{c}"), F.col("code").alias(enc))
+            out = (out.join(m, value == F.col(f"__v_{c}"), "left").drop(f"__v_{c}")
+                   .withColumn(enc, F.coalesce(F.col(enc), F.lit(unseen)).cast("int")))
+        else:
+            codes = m.select(F.map_from_entries(F.collect_list(F.struct("value", "code"))).alias("m")).scalar()
+            new[enc] = F.coalesce(F.element_at(codes, value), F.lit(unseen)).cast("int")
+    return out.withColumns(new) if new else out
 
 
 def label_encode(df: DataFrame, columns=None):

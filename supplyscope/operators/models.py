@@ -19,30 +19,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from supplyscope.functions.columns import dec_round, hash_id, status_code
-from supplyscope.operators.sampling import ITEM_KEY, train_test_split
+from supplyscope.operators.sampling import ITEM_KEY, hash_unit, train_test_split
 from supplyscope.schemas import PREDICTIONS, conform
 
 # Fixed values.
 DELIVERY_FEATURES = ["shipping_mode_enc", "days_scheduled", "market_enc", "customer_segment_enc",
                      "department_enc", "quantity", "sales", "discount_rate", "order_month",
                      "order_dayofweek"]
-DELIVERY_FEATURE_LABELS = {
-    "shipping_mode_enc": "Shipping Mode",
-    "days_scheduled": "Scheduled Lead Time (days)",
-    "market_enc": "Sales Market",
-    "customer_segment_enc": "Customer Segment",
-    "department_enc": "Product Department",
-    "quantity": "Order Quantity",
-    "sales": "Order Value ($)",
-    "discount_rate": "Discount Rate",
-    "order_month": "Order Month",
-    "order_dayofweek": "Day of Week",
-}
 INVENTORY_FEATURES = ["simulated_stock", "avg_daily_demand", "days_remaining", "reorder_threshold",
                       "total_sold", "avg_per_order", "product_price"]
 INVENTORY_LABELS = {0: "safe", 1: "low", 2: "critical"}
 LATE_THRESHOLD = 0.60
-TOP_DELIVERY = 5000
 FORECAST_WEEKS = 8
 MIN_HISTORY = 20
 # Two-sided 80 % normal band: 2 x 1.2816 standard deviations.
@@ -62,25 +49,32 @@ def mode_late_rates(features: DataFrame) -> DataFrame:
         F.avg("late_delivery_risk").alias("late_rate"), F.count(F.lit(1)).alias("orders"))
 
 
-def delivery_rule_scores(features: DataFrame) -> DataFrame:
-    """Late probability of each order line = its mode's late rate, 4 dp.
+def rate_of_mode(rates: DataFrame, rate: str, mode) -> F.Column:
+    """A mode's rate, looked up in a map that is one scalar subquery.
+
+    The map has one entry per shipping mode (a fixed domain of four), so the
+    lines are neither shuffled nor joined on a few-valued key."""
+    one = rates.where(F.col("shipping_mode").isNotNull()).select(
+        F.map_from_entries(F.collect_list(F.struct("shipping_mode", rate))).alias("m"))
+    return F.element_at(one.scalar(), mode)
 
-    The 4-row rate table joins back by mode; AQE broadcasts it from its
-    runtime size."""
-    rates = mode_late_rates(features).select(
-        "shipping_mode", dec_round("late_rate", 4).alias("late_prob"))
-    return features.join(rates, "shipping_mode")
+
+def delivery_rule_scores(features: DataFrame) -> DataFrame:
+    """Late probability of each order line = its mode's late rate, 4 dp."""
+    rates = mode_late_rates(features).select("shipping_mode", dec_round("late_rate", 4).alias("late_prob"))
+    return features.withColumn("late_prob", rate_of_mode(rates, "late_prob", F.col("shipping_mode")))
 
 
 def delivery_predictions(scored: DataFrame, run_ts: str, prob_col: str = "late_prob",
-                         floor: float = LATE_THRESHOLD, top: int = TOP_DELIVERY) -> DataFrame:
-    """FLT7 + TOP3 + SNK6 rows: scores >= floor, highest first (ties by
-    item order), first ``top`` lines, in the predictions schema.
+                         floor: float = LATE_THRESHOLD, top: int | None = None) -> DataFrame:
+    """FLT7 + SNK6 rows: every score >= floor, in the predictions schema.
 
-    The limit is a global top-k (per-partition top-k, then a merge)."""
+    ``top`` (TOP3) keeps only the highest scores (ties by item order); stored
+    predictions are never cut."""
     p = F.col(prob_col)
-    best = (scored.where(p >= floor)
-            .orderBy(p.desc(), F.col("item_seq").asc()).limit(top))
+    best = scored.where(p >= floor)
+    if top is not None:
+        best = best.orderBy(p.desc(), F.col("item_seq").asc()).limit(top)
     out = best.select(
         hash_id(F.lit("delivery"), *ITEM_KEY).alias("id"),
         F.lit(run_ts).alias("created_at"),
@@ -93,11 +87,13 @@ def delivery_predictions(scored: DataFrame, run_ts: str, prob_col: str = "late_p
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
-    """Balanced weights n / (k x n_class) as a column ``weight``."""
-    n = df.select(F.count(F.lit(1)).cast("double")).scalar()
-    k = df.select(F.countDistinct(label).cast("double")).scalar()
-    per = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    return df.join(per, label).withColumn("weight", n / (k * F.col("_nc"))).drop("_nc")
+    """Balanced weights n / (k x n_class) of a 0/1 label as ``weight``: one
+    aggregate and a two-way choice, no join."""
+    n = df.select(F.struct(F.count_if(F.col(label) == 0).cast("double").alias("zero"),
+                           F.count_if(F.col(label) == 1).cast("double").alias("one")).alias("n")).scalar()
+    k = F.greatest(F.lit(1), (n["zero"] > 0).cast("int") + (n["one"] > 0).cast("int"))
+    own = F.when(F.col(label) == 1, n["one"]).otherwise(n["zero"])
+    return df.withColumn("weight", (n["zero"] + n["one"]) / (k * own))
 
 
 def train_delivery_forest(encoded: DataFrame, num_trees: int = 100, max_depth: int = 10,
@@ -118,9 +114,17 @@ def train_delivery_forest(encoded: DataFrame, num_trees: int = 100, max_depth: i
     return rf.fit(train), data
 
 
+def top_drivers(model, names=DELIVERY_FEATURES, k: int = 3) -> list[tuple[str, float]]:
+    """MLD2: the ``k`` most important features and their percent."""
+    imp = zip(names, model.featureImportances.toArray().tolist())
+    best = sorted(imp, key=lambda x: (-x[1], x[0]))[:k]
+    return [(n.removesuffix("_enc").replace("_", " "), round(v * 100, 1)) for n, v in best]
+
+
 def score_delivery(model, encoded: DataFrame) -> DataFrame:
     """MLD2: probability of late for every line (training rows included),
-    rounded to 4 dp, with the late/on_time label at 0.60."""
+    rounded to 4 dp, with the late/on_time label at 0.60 and the model's top
+    drivers (label -> percent)."""
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
@@ -129,7 +133,7 @@ def score_delivery(model, encoded: DataFrame) -> DataFrame:
     prob = dec_round(vector_to_array("probability")[1], 4)
     return out.withColumn("late_prob", prob).withColumn(
         "pred_label", F.when(F.col("late_prob") >= LATE_THRESHOLD, "late").otherwise("on_time")
-    ).drop("features", "rawPrediction", "probability", "prediction")
+    ).withColumn("drivers", F.create_map(*[F.lit(x) for d in top_drivers(model) for x in d])).drop("features", "rawPrediction", "probability", "prediction")
 
 
 def save_model(model, path: str) -> str:
@@ -157,7 +161,7 @@ def feature_importances(spark, model, names=DELIVERY_FEATURES) -> DataFrame:
     read on the driver and returned as a small frame."""
     from pyspark.sql import Window
     imp = model.featureImportances.toArray().tolist()
-    rows = [(n, DELIVERY_FEATURE_LABELS.get(n, n), float(v)) for n, v in zip(names, imp)]
+    rows = [(n, n.removesuffix("_enc").replace("_", " "), float(v)) for n, v in zip(names, imp)]
     df = spark.createDataFrame(rows, "feature string, label string, importance double")
     w = Window.orderBy(F.desc("importance"), F.asc("feature"))
     return df.withColumns({"rank": F.row_number().over(w),
@@ -182,8 +186,16 @@ def inventory_rule_predictions(inventory: DataFrame, run_ts: str) -> DataFrame:
     return conform(out, PREDICTIONS)
 
 
+def split_products(inventory: DataFrame, seed: int = 42, test_fraction: float = 0.2) -> DataFrame:
+    """Adds ``is_test``: a hash draw by product, about ``test_fraction``."""
+    return inventory.withColumn("is_test", (hash_unit(seed, "product_name") < test_fraction).cast("int"))
+
+
 def train_inventory_tree(inventory: DataFrame, seed: int = 42, max_depth: int = 4):
-    """MLD6: decision tree on the 7 inventory features (zero-filled)."""
+    """MLD6: decision tree on the 7 inventory features (zero-filled).  Rows
+    with ``is_test`` = 1, if the column is there, are left out."""
+    if "is_test" in inventory.columns:
+        inventory = inventory.where("is_test = 0")
     from pyspark.ml.classification import DecisionTreeClassifier
     from pyspark.ml.feature import VectorAssembler
 
@@ -194,6 +206,24 @@ def train_inventory_tree(inventory: DataFrame, seed: int = 42, max_depth: int =
     return dt.fit(vec.transform(data))
 
 
+def delivery_held_out(model, data: DataFrame) -> DataFrame:
+    """MLD1 + AGG24: the classification report of the split's test side."""
+    from supplyscope.operators.reports import classification_report
+    scored = score_delivery(model, data.where("is_test = 1"))
+    return classification_report(scored.withColumn("_p", (F.col("pred_label") == "late").cast("int")), "late_delivery_risk", "_p")
+
+
+def inventory_held_out(model, split: DataFrame) -> DataFrame:
+    """MLD6 + AGG24: the classification report of the products held out."""
+    from pyspark.ml.feature import VectorAssembler
+
+    from supplyscope.operators.reports import classification_report
+    data = split.where("is_test = 1").fillna(0, subset=INVENTORY_FEATURES).withColumn("_y", status_code("status"))
+    vec = VectorAssembler(inputCols=INVENTORY_FEATURES, outputCol="features")
+    out = model.transform(vec.transform(data)).withColumn("_p", F.col("prediction").cast("int"))
+    return classification_report(out, "_y", "_p")
+
+
 def inventory_model_predictions(model, inventory: DataFrame, run_ts: str) -> DataFrame:
     """MLD7 with a learned model."""
     from pyspark.ml.feature import VectorAssembler

@@ -70,7 +70,7 @@ def prediction_checks(predictions: DataFrame, types=("delivery", "inventory")) -
 def alert_coverage(alerts: DataFrame, categories=("fraud", "delivery", "inventory", "demand", "conflict"),
                    required=("fraud", "delivery", "inventory")) -> DataFrame:
     """DQ4: open / resolved alerts per category (left join to the category
-    list) and severities within the domain."""
+    list), severities within the domain, ids that occur once."""
     spark = alerts.sparkSession
     cats = spark.createDataFrame([(c,) for c in categories], "category string")
     g = alerts.groupBy("category").agg(F.count_if(F.col("is_resolved") == 0).alias("open"),
@@ -81,7 +81,10 @@ def alert_coverage(alerts: DataFrame, categories=("fraud", "delivery", "inventor
                    F.concat(F.col("open").cast("string"), F.lit(" open / "),
                             F.col("resolved").cast("string"), F.lit(" resolved")).alias("detail"))
     bad = alerts.select(F.count_if(~F.col("severity").isin(*SEVERITIES)).alias("b"))
-    return cov.unionByName(_check(bad, "alerts:severity_domain", F.col("b") == 0, F.col("b")))
+    # an id per group first, so that no task holds all distinct ids
+    again = alerts.groupBy("id").agg((F.count(F.lit(1)) - 1).alias("more")).select(F.coalesce(F.sum("more"), F.lit(0)).alias("b"))
+    return (cov.unionByName(_check(bad, "alerts:severity_domain", F.col("b") == 0, F.col("b")))
+            .unionByName(_check(again, "alerts:unique_ids", F.col("b") == 0, F.col("b"))))
 
 
 def inventory_checks(inventory: DataFrame) -> DataFrame:

@@ -130,10 +130,10 @@ def product_count(orders: DataFrame) -> DataFrame:
     return orders.select(F.countDistinct("product_name").alias("products"))
 
 
-def product_list(weekly: DataFrame, limit: int = 118) -> DataFrame:
-    """AGG20 (pick list): distinct non-empty products, sorted, first n."""
+def product_list(weekly: DataFrame) -> DataFrame:
+    """AGG20 (pick list): all distinct non-empty products, sorted."""
     return (weekly.where(F.col("product_name").isNotNull() & (F.col("product_name") != ""))
-            .select("product_name").distinct().orderBy("product_name").limit(limit))
+            .select("product_name").distinct().orderBy("product_name"))
 
 
 def prediction_counts(predictions: DataFrame) -> DataFrame:
@@ -266,16 +266,18 @@ def top_alerts_split(alerts: DataFrame, k: int = 8) -> DataFrame:
 
 # ------------------------------------------------------------------ joins
 
-def delivery_view(predictions: DataFrame, alerts: DataFrame, limit: int = 200) -> DataFrame:
+def delivery_view(predictions: DataFrame, alerts: DataFrame, limit: int | None = None) -> DataFrame:
     """JON2 + PRJ23: late predictions left-joined to delivery alerts on
-    order_id (the category test inside ON), highest risk first."""
+    order_id (the category test inside ON); with ``limit`` the highest risks
+    only."""
     p = predictions.where((F.col("prediction_type") == "delivery") & (F.col("label") == "late")).select(
         "order_id", F.col("predicted_value").alias("risk_prob"), F.col("id").alias("pid"))
     a = alerts.select(F.col("order_id").alias("a_oid"), F.col("category").alias("a_cat"), "severity", "message",
                       "recommendation", "product_name", F.col("id").alias("aid"))
     j = p.join(a, (F.col("a_oid") == F.col("order_id")) & (F.col("a_cat") == "delivery"), "left")
-    j = j.orderBy(F.col("risk_prob").desc(), F.col("order_id").asc(), F.col("pid").asc(),
-                  F.col("aid").asc_nulls_first()).limit(limit)
+    if limit is not None:
+        j = j.orderBy(F.col("risk_prob").desc(), F.col("order_id").asc(), F.col("pid").asc(),
+                      F.col("aid").asc_nulls_first()).limit(limit)
     return j.select("order_id", "risk_prob", "severity", "message", "recommendation", "product_name",
                     pct_text("risk_prob").alias("risk_pct"))
 

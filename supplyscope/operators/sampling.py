@@ -68,11 +68,12 @@ def stratified_sample(items: DataFrame, target: int = 4000, seed: int = 42,
     quota = counts.where(~F.col("_f")).select(stratum, F.least(
         F.greatest((F.col("_n") / F.col("_nr") * budget).cast("bigint"), F.lit(10)),
         F.col("_n")).alias("_quota"))
+    # no quota exceeds this, so Spark keeps so many rows of a bucket at most before it shuffles
+    most = max(target, 1000, 10)
     salted = rest.withColumn("_salt", F.pmod(F.conv(F.substring("_h", 14, 6), 16, 10).cast("bigint"),
                                              F.lit(salt_buckets)))
-    salted = salted.join(quota, stratum)
     w1 = Window.partitionBy(stratum, "_salt").orderBy("_h")
-    step1 = salted.withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= F.col("_quota"))
+    step1 = salted.withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= most).join(quota, stratum)
     w2 = Window.partitionBy(stratum).orderBy("_h")
     step2 = step1.withColumn("_r2", F.row_number().over(w2)).where(F.col("_r2") <= F.col("_quota"))
     picked = step2.drop("_h", "_salt", "_quota", "_r1", "_r2")

@@ -13,8 +13,6 @@ Two layers:
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,11 +50,11 @@ def alert_key(df: DataFrame) -> DataFrame:
     })
 
 
-def insert_alerts_keyed(base: DataFrame, new: DataFrame, order_col: str = "id") -> DataFrame:
+def insert_alerts_keyed(base: DataFrame, new: DataFrame, order_col: str) -> DataFrame:
     """SNK7: for each new alert, delete stored alerts of the same agent and
     category that share its key field (order id, else product, else
     message), then insert.  Among several new alerts with one key the last
-    (greatest ``order_col``) wins.  Deletion is three anti-joins."""
+    one (greatest ``order_col``, the batch sequence) wins.  Deletion is three anti-joins."""
     k = alert_key(new)
     k = latest_per_key(k, ["agent", "category", "key_kind", "key_value"], order_col)
     out = base
@@ -77,11 +75,16 @@ def replace_alert_groups(base: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def resolve(alerts: DataFrame, resolutions: DataFrame) -> DataFrame:
-    """SNK10: ``is_resolved`` = 1 for alert ids listed in ``resolutions``."""
-    r = resolutions.select(F.col("id").alias("_rid")).distinct()
-    j = alerts.join(r, alerts["id"] == r["_rid"], "left")
+    """SNK10: ``is_resolved`` = 1 for alerts listed in ``resolutions``, by id
+    and, if given, created_at: a resolution of one run leaves the same alert
+    of a later run open."""
+    r = resolutions.select(*[F.col(c).alias(f"_r{c}") for c in ("id", "created_at") if c in resolutions.columns]).distinct()
+    same = alerts["id"] == r["_rid"]
+    if "_rcreated_at" in r.columns:
+        same = same & (alerts["created_at"] == r["_rcreated_at"])
+    j = alerts.join(r, same, "left")
     return j.withColumn("is_resolved", F.when(F.col("_rid").isNotNull(), F.lit(1))
-                        .otherwise(F.col("is_resolved")).cast("int")).drop("_rid")
+                        .otherwise(F.col("is_resolved")).cast("int")).drop("_rid", "_rcreated_at")
 
 
 def delete_where(df: DataFrame, pred) -> DataFrame:
@@ -201,10 +204,15 @@ class TableStore:
         """SNK9: an empty alerts table (new version)."""
         self.overwrite("alerts", self.spark.createDataFrame([], TABLE_SCHEMAS["alerts"]),
                        partition_by=["agent", "category"])
+        if self.exists("resolutions"):
+            self.overwrite("resolutions", self.spark.createDataFrame([], "id long, created_at string"))
 
     def resolve_alerts(self, ids: DataFrame) -> None:
-        """SNK10: record resolutions (append-only table, applied on read)."""
-        self.append("resolutions", ids.select(F.col("id").cast("bigint")))
+        """SNK10: record resolutions of stored alerts by id and run stamp
+        (append-only table, applied on read)."""
+        stored = self.spark.read.parquet(self.current("alerts"))
+        wanted = ids.select(F.col("id").cast("bigint")).distinct()
+        self.append("resolutions", stored.join(wanted, "id", "left_semi").select("id", "created_at"))
 
     def _with_resolutions(self, alerts: DataFrame) -> DataFrame:
         if not self.exists("resolutions"):
@@ -214,7 +222,3 @@ class TableStore:
     def delete_where(self, name: str, pred) -> None:
         """SNK11 on a stored table."""
         self.overwrite(name, delete_where(self.read(name), pred))
-
-
-def union_all(frames) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

@@ -270,7 +270,7 @@ def q_prj20(spark, d):
 
 
 @register("prj21_browse_normalise", """
-SELECT event_id, lower(regexp_replace(regexp_replace('  ' || upper(event_type) || ' ' || chr(9), '^\\s+', ''), '\\s+$', '')) AS category
+SELECT event_id, lower(regexp_replace(regexp_replace('  ' || upper(CASE event_type WHEN 'click' THEN 'promo' WHEN 'purchase' THEN 'large' WHEN 'view' THEN 'medium' WHEN 'signup' THEN 'standard' ELSE event_type END) || ' ' || chr(9), '^\\s+', ''), '\\s+$', '')) AS category
 FROM events""")
 def q_prj21(spark, d):
     """PRJ21: strip all white space at both ends, lower-case."""
@@ -341,7 +341,7 @@ def q_agg14(spark, d):
 
 
 BROWSE_SQL = """
-cat AS (SELECT lower(regexp_replace(regexp_replace('  ' || upper(event_type) || ' ' || chr(9), '^\\s+', ''), '\\s+$', '')) AS category,
+cat AS (SELECT lower(regexp_replace(regexp_replace('  ' || upper(CASE event_type WHEN 'click' THEN 'promo' WHEN 'purchase' THEN 'large' WHEN 'view' THEN 'medium' WHEN 'signup' THEN 'standard' ELSE event_type END) || ' ' || chr(9), '^\\s+', ''), '\\s+$', '')) AS category,
                lower(regexp_replace(regexp_replace(' ' || upper('dept ' || json_extract_string(props, '$.k')) || '  ', '^\\s+', ''), '\\s+$', '')) AS department
         FROM events),
 cat_b AS (SELECT category, count(*) AS browse_count FROM cat WHERE category IS NOT NULL GROUP BY category),

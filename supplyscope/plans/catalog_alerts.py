@@ -75,9 +75,9 @@ def q_top2(spark, d):
 @register("jon3_win5_order_context", with_(ALERTS) + """
 SELECT order_id, product_name, shipping_mode, market, order_region, customer_segment, sales, department, days_scheduled FROM ctx""")
 def q_jon3(spark, d):
-    """JON3 + WIN5: last line of each top-200 order (semi-join pruned)."""
-    top = alerts.top_late_predictions(all_preds(spark, d), 200)
-    return alerts.order_context(feats(spark, d), top)
+    """JON3 + WIN5: last line of each order with a late prediction."""
+    run = run_for(spark, d)
+    return alerts.order_context(run.feats, alerts.late_orders(run.preds))
 
 
 @register("agt2_delivery_alerts", with_(ALERTS) + f"\nSELECT {A_COLS} FROM agent_alerts WHERE agent = 'DeliveryAgent'")

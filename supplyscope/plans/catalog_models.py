@@ -8,8 +8,8 @@ from supplyscope.operators import encode, models, tables
 from supplyscope.plans.catalog import feats, inventory, weekly
 from supplyscope.plans.context import run_for
 from supplyscope.plans.registry import register
-from supplyscope.plans.sqlparts import with_
-from supplyscope.plans.sqlparts_alerts import PREDS, RUN_TS
+from supplyscope.plans.sqlparts import SEQ, SEQ_TEXT, with_
+from supplyscope.plans.sqlparts_alerts import PREDS, RUN_TS, hid
 
 PRED_COLS = "id, created_at, prediction_type, product_name, order_id, predicted_value, confidence_score, label"
 
@@ -46,10 +46,19 @@ def q_agg21b(spark, d):
 
 @register("mld2_delivery_predictions_rule", with_(PREDS) + f"\nSELECT {PRED_COLS} FROM dpred")
 def q_dpred(spark, d):
-    """FLT7 + TOP3 + MLD2 (rule score): top 5000 late scores >= 0.60."""
+    """FLT7 + MLD2 (rule score): every late score >= 0.60."""
     return delivery_preds(spark, d)
 
 
+@register("top3_highest_late_scores", with_(PREDS) + f"""
+SELECT {', '.join('p.' + c for c in PRED_COLS.split(', '))} FROM dpred p JOIN (
+  SELECT {hid("'delivery|' || " + SEQ_TEXT)} AS id FROM scored WHERE late_prob >= 0.6 ORDER BY late_prob DESC, {SEQ} LIMIT 5000) t
+ON p.id = t.id""")
+def q_top3(spark, d):
+    """TOP3: the 5000 highest late scores (ties by item order)."""
+    return models.delivery_predictions(run_for(spark, d, materialize=False).rule_scores, RUN_TS, top=5000)
+
+
 @register("mld6b_mld7_inventory_predictions", with_(PREDS) + f"\nSELECT {PRED_COLS} FROM ipred")
 def q_ipred(spark, d):
     """MLD6b + MLD7: inventory class per product from the stock rule."""
@@ -100,12 +109,26 @@ def q_jon1(spark, d):
 @register("mld1_mld2_delivery_forest")
 def q_forest(spark, d):
     """MLD1 + MLD2 + SMP3: random forest (100 trees, depth 10, balanced
-    weights) on the hash-split training side, scored on all lines, top
-    5000 late scores as predictions."""
+    weights) on the hash-split training side, scored on all lines, every
+    late score >= 0.60 as a prediction."""
     run = run_for(spark, d)
     return models.delivery_predictions(models.score_delivery(run.forest, run.encoded), RUN_TS)
 
 
+@register("mld1_agg24_forest_held_out")
+def q_forest_report(spark, d):
+    """MLD1 + AGG24: the forest's report on the lines it never saw."""
+    run = run_for(spark, d)
+    return models.delivery_held_out(*run.forest_and_split)
+
+
+@register("mld6_agg24_tree_held_out")
+def q_tree_report(spark, d):
+    """MLD6 + AGG24: the stock tree's report on held-out products."""
+    split = models.split_products(inventory(spark, d))
+    return models.inventory_held_out(models.train_inventory_tree(split), split)
+
+
 @register("mld3_win6_feature_importance")
 def q_importance(spark, d):
     """MLD3 + WIN6: ranked importances of the delivery forest."""

@@ -94,13 +94,6 @@ def q_agg9(spark, d):
     return reports.revenue_by_market(feats(spark, d))
 
 
-@register("agg10_fraud_by_market_top500", W + f"""
-SELECT market, count(*) AS count, {MONEY_SUM} AS revenue FROM fraud_top GROUP BY market""")
-def q_agg10(spark, d):
-    """AGG10: over the 500-row fraud frame (dashboard parity)."""
-    return reports.fraud_by(al.top_fraud_orders(feats(spark, d), 500), "market")
-
-
 @register("agg10_fraud_by_market", W + f"""
 SELECT market, count(*) AS count, {MONEY_SUM} AS revenue FROM feat WHERE fraud_label = 1 GROUP BY market""")
 def q_agg10u(spark, d):
@@ -108,12 +101,6 @@ def q_agg10u(spark, d):
     return reports.fraud_by(feats(spark, d), "market")
 
 
-@register("agg11_fraud_by_segment_top500", W + f"""
-SELECT customer_segment, count(*) AS count, {MONEY_SUM} AS revenue FROM fraud_top GROUP BY customer_segment""")
-def q_agg11(spark, d):
-    return reports.fraud_by(al.top_fraud_orders(feats(spark, d), 500), "customer_segment")
-
-
 @register("agg11_agg17_fraud_segment_share", W + f"""
 SELECT customer_segment, count, revenue, count / sum(count) OVER () AS share FROM
  (SELECT customer_segment, count(*) AS count, {MONEY_SUM} AS revenue FROM feat WHERE fraud_label = 1 GROUP BY customer_segment)""")
@@ -135,16 +122,16 @@ dv AS (SELECT p.order_id, p.predicted_value AS risk_prob, a.severity, a.message,
               CAST(CAST(ROUND(CAST(p.predicted_value * 100 AS DECIMAL(38,10)), 1) AS DOUBLE) AS VARCHAR) || '%' AS risk_pct
        FROM (SELECT * FROM preds WHERE prediction_type = 'delivery' AND label = 'late') p
        LEFT JOIN all_alerts a ON a.order_id = p.order_id AND a.category = 'delivery'
-       ORDER BY p.predicted_value DESC, p.order_id ASC, p.id ASC, a.id ASC NULLS FIRST LIMIT 200)"""
+)"""
 
 
 def dview(spark, d):
-    return reports.delivery_view(all_preds(spark, d), all_alerts(spark, d), 200)
+    return reports.delivery_view(all_preds(spark, d), all_alerts(spark, d))
 
 
 @register("jon2_delivery_view", W + DELIVERY_VIEW + "\nSELECT * FROM dv")
 def q_jon2(spark, d):
-    """JON2 + PRJ23: predictions left-joined to delivery alerts, top 200."""
+    """JON2 + PRJ23: predictions left-joined to delivery alerts, all rows."""
     return dview(spark, d)
 
 
@@ -189,7 +176,7 @@ def q_agg20(spark, d):
 
 
 @register("agg20_product_list", W + """
-SELECT DISTINCT product_name FROM weekly WHERE product_name IS NOT NULL AND product_name <> '' ORDER BY product_name LIMIT 118""")
+SELECT DISTINCT product_name FROM weekly WHERE product_name IS NOT NULL AND product_name <> '' ORDER BY product_name""")
 def q_agg20l(spark, d):
     return reports.product_list(weekly(spark, d))
 
@@ -325,10 +312,10 @@ fa AS (SELECT order_id, severity FROM (
 SELECT CAST(f.order_id AS VARCHAR) AS "Order ID", f.product_name AS "Product", f.customer_segment AS "Segment",
        f.market AS "Market", f.order_region AS "Region", CAST(ROUND(CAST(f.sales AS DECIMAL(38,10)), 2) AS DOUBLE) AS "Sale ($)",
        f.delivery_status AS "Delivery Status", f.delay_days AS "Delay (days)", coalesce(fa.severity, 'MEDIUM') AS "Severity"
-FROM fraud_top f LEFT JOIN fa ON f.order_id = fa.order_id""")
+FROM fraud_all f LEFT JOIN fa ON f.order_id = fa.order_id""")
 def q_jon6(spark, d):
     """JON6 + WIN3 + PRJ37: fraud orders with their first alert's severity."""
-    return reports.fraud_view(al.top_fraud_orders(feats(spark, d), 500), all_alerts(spark, d))
+    return reports.fraud_view(al.fraud_orders(feats(spark, d)), all_alerts(spark, d))
 
 
 @register("jon7_alert_with_risk", W + DELIVERY_VIEW + """,

@@ -43,20 +43,21 @@ def _keyed_batch(spark, d):
     f = a.where((F.col("category") == "fraud") & (F.col("severity") == "CRITICAL"))
     i = a.where(F.col("category") == "inventory").withColumn("order_id", F.lit(None).cast("bigint"))
     b = f.unionByName(i).withColumns({
-        "message": F.concat(F.lit("Re-check: "), F.col("message")), "severity": F.lit("HIGH"),
+        "message": F.concat(F.lit("recheck=1; "), F.col("message")), "severity": F.lit("HIGH"),
         "id": F.col("id") + 1})
-    return b
+    # batch sequence: by message, then id, so that a key's last entry is defined
+    return b.withColumn("seq", F.struct("message", "id"))
 
 
 @register("snk7_insert_alert_keyed", W + f""",
-b AS (SELECT * REPLACE ('Re-check: ' || message AS message, 'HIGH' AS severity, id + 1 AS id)
+b AS (SELECT * REPLACE ('recheck=1; ' || message AS message, 'HIGH' AS severity, id + 1 AS id)
       FROM (SELECT * FROM agent_alerts WHERE category = 'fraud' AND severity = 'CRITICAL'
             UNION ALL SELECT * REPLACE (CAST(NULL AS BIGINT) AS order_id) FROM agent_alerts WHERE category = 'inventory')),
 bk AS (SELECT *, CASE WHEN order_id IS NOT NULL AND order_id <> 0 THEN 'order'
                       WHEN product_name IS NOT NULL AND product_name <> '' THEN 'product' ELSE 'message' END AS kind,
                  CASE WHEN order_id IS NOT NULL AND order_id <> 0 THEN CAST(order_id AS VARCHAR)
                       WHEN product_name IS NOT NULL AND product_name <> '' THEN product_name ELSE message END AS kv FROM b),
-bl AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY agent, category, kind, kv ORDER BY id DESC) AS rn FROM bk) WHERE rn = 1)
+bl AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY agent, category, kind, kv ORDER BY message DESC, id DESC) AS rn FROM bk) WHERE rn = 1)
 SELECT {BASE_COLS} FROM agent_alerts a
 WHERE NOT EXISTS (SELECT 1 FROM bl WHERE bl.kind = 'order' AND bl.agent = a.agent AND bl.category = a.category AND CAST(a.order_id AS VARCHAR) = bl.kv)
   AND NOT EXISTS (SELECT 1 FROM bl WHERE bl.kind = 'product' AND bl.agent = a.agent AND bl.category = a.category AND a.product_name = bl.kv)
@@ -64,7 +65,7 @@ WHERE NOT EXISTS (SELECT 1 FROM bl WHERE bl.kind = 'order' AND bl.agent = a.agen
 UNION ALL SELECT {BASE_COLS} FROM bl""")
 def q_snk7(spark, d):
     """SNK7: keyed alert replace (order, else product, else message)."""
-    return sinks.insert_alerts_keyed(agent_alerts(spark, d), _keyed_batch(spark, d))
+    return sinks.insert_alerts_keyed(agent_alerts(spark, d), _keyed_batch(spark, d), "seq")
 
 
 @register("snk8_replace_alert_groups", W + f""",
@@ -93,7 +94,7 @@ FROM all_alerts""")
 def q_snk10(spark, d):
     """SNK10: mark the CRITICAL delivery alerts resolved."""
     a = all_alerts(spark, d)
-    r = a.where("category = 'delivery' AND severity = 'CRITICAL'").select("id")
+    r = a.where("category = 'delivery' AND severity = 'CRITICAL'").select("id", "created_at")
     return sinks.resolve(a, r).select(*[c.strip() for c in A_COLS.split(",")])
 
 
@@ -160,7 +161,8 @@ dq4 AS (
          CAST(coalesce(open, 0) AS VARCHAR) || ' open / ' || CAST(coalesce(resolved, 0) AS VARCHAR) || ' resolved' AS detail
   FROM cl LEFT JOIN ag ON cl.category = ag.category
   UNION ALL SELECT 'alerts:severity_domain', count(*) FILTER (WHERE severity NOT IN ('LOW', 'MEDIUM', 'HIGH', 'CRITICAL')) = 0,
-         CAST(count(*) FILTER (WHERE severity NOT IN ('LOW', 'MEDIUM', 'HIGH', 'CRITICAL')) AS VARCHAR) FROM all_alerts),
+         CAST(count(*) FILTER (WHERE severity NOT IN ('LOW', 'MEDIUM', 'HIGH', 'CRITICAL')) AS VARCHAR) FROM all_alerts
+  UNION ALL SELECT 'alerts:unique_ids', count(*) = count(DISTINCT id), CAST(count(*) - count(DISTINCT id) AS VARCHAR) FROM all_alerts),
 dq6 AS (
   SELECT 'inventory:columns' AS "check", true AS passed, 'ok' AS detail
   UNION ALL SELECT 'inventory:names', count(*) FILTER (WHERE product_name IS NULL) = 0, CAST(count(*) FILTER (WHERE product_name IS NULL) AS VARCHAR) FROM inventory_t

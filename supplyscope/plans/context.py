@@ -4,7 +4,7 @@ Three frames feed many later jobs, so each is written once as a parquet
 table in the shared folder (next to ``spark.checkpoint.dir``) and read
 back: the featurised order lines (the big one: the three-way join is paid
 once, and every consumer reads only its columns), the predictions and the
-agent alerts (both bounded).  Lineage is cut at each, plans stay small,
+agent alerts.  Lineage is cut at each, plans stay small,
 and a lost executor re-reads a file instead of recomputing the joins.
 """
 
@@ -29,7 +29,7 @@ class Run:
         self._root = None
         configure(spark)
 
-    def _cut(self, df: DataFrame, name: str) -> DataFrame:
+    def cut(self, df: DataFrame, name: str) -> DataFrame:
         if not self.materialize:
             return df
         if self._root is None:
@@ -49,7 +49,7 @@ class Run:
         then scans the stored column instead of re-running the joins."""
         if not self.materialize:
             return features.featurize(self.items)
-        return features.add_high_value(self._cut(features.row_features(self.items), "order_features"))
+        return features.add_high_value(self.cut(features.row_features(self.items), "order_features"))
 
     @cached_property
     def inventory(self) -> DataFrame:
@@ -86,25 +86,29 @@ class Run:
         return enc
 
     @cached_property
+    def forest_and_split(self):
+        """MLD1: the delivery forest of this run (trained once) and the rows
+        with their side of the split."""
+        return models.train_delivery_forest(self.encoded)
+
+    @property
     def forest(self):
-        """MLD1: the delivery forest of this run (trained once)."""
-        model, _ = models.train_delivery_forest(self.encoded)
-        return model
+        return self.forest_and_split[0]
 
     @cached_property
     def preds(self) -> DataFrame:
-        """All predictions of the run (bounded: top-k lines + products x 9)."""
-        return self._cut(self.delivery_preds.unionByName(self.inventory_preds)
+        """All predictions of the run: late lines, products and forecast weeks."""
+        return self.cut(self.delivery_preds.unionByName(self.inventory_preds)
                          .unionByName(self.demand_preds), "predictions")
 
     @cached_property
     def agent_alerts(self) -> DataFrame:
-        """AGT1-5 united (SET5); bounded by the agents' limits and products."""
+        """AGT1-5 united (SET5): every qualifying line, order and product."""
         a = (alerts.fraud_alerts(self.feats, self.run_ts)
              .unionByName(alerts.delivery_alerts(self.preds, self.feats, self.run_ts))
              .unionByName(alerts.inventory_alerts(self.preds, self.inventory, self.run_ts))
              .unionByName(alerts.demand_alerts(self.preds, self.baseline, self.run_ts)))
-        return self._cut(a, "agent_alerts")
+        return self.cut(a, "agent_alerts")
 
     @cached_property
     def conflict_alerts(self) -> DataFrame:
@@ -124,7 +128,7 @@ def run_for(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Run:
     ``materialize=True`` (prediction / alert jobs, which read the order
     lines many times) writes the shared tables once; ``False`` (single-pass
     queries) keeps every frame lazy so Catalyst prunes per query."""
-    key = (id(spark), sf_dir, materialize)
+    key = (spark.sparkContext.applicationId, sf_dir, materialize)
     if key not in _RUNS:
         _RUNS[key] = Run(spark, sf_dir, materialize=materialize)
     return _RUNS[key]

@@ -10,9 +10,9 @@ from __future__ import annotations
 import datetime as _dt
 import logging
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-from supplyscope.operators import alerts, conflicts, models, quality, reports, tables
+from supplyscope.operators import alerts, conflicts, encode, models, quality, reports, tables
 from supplyscope.operators.sinks import TableStore
 from supplyscope.plans.catalog import orders_table
 from supplyscope.plans.context import Run
@@ -22,14 +22,53 @@ from supplyscope.sources import tables as src
 log = logging.getLogger("supplyscope")
 
 
+def _saved(path: str, load, fit):
+    """MLD8: the model saved at ``path``, or a new one, saved there."""
+    try:
+        return load(path)
+    except Exception:  # noqa: BLE001 - no model there, or not a readable one
+        model = fit()
+        models.save_model(model, path)
+        return model
+
+
+def _learned_predictions(store: TableStore, run: Run, root: str, reuse: bool) -> DataFrame:
+    """MLD1-2, MLD6-8: predictions of the learned models, with their held-out
+    reports, importances and label codes stored."""
+    columns = ["shipping_mode", "market", "customer_segment", "department"]
+    if not (reuse and store.exists("label_codes")):
+        store.overwrite("label_codes", encode.fit_label_codes(run.feats, columns))
+    encoded = encode.apply_label_codes(run.feats, store.read("label_codes"), columns)
+    split = models.split_products(run.inventory)
+    load = (lambda f: f) if reuse else (lambda f: _never)
+    forest = _saved(f"{root}/models/delivery_forest", load(models.load_forest),
+                    lambda: models.train_delivery_forest(encoded)[0])
+    tree = _saved(f"{root}/models/inventory_tree", load(models.load_tree), lambda: models.train_inventory_tree(split))
+    store.overwrite("feature_importance", models.feature_importances(run.spark, forest))
+    store.overwrite("delivery_report", models.delivery_held_out(forest, models.train_test_split(encoded, 0.2, 42)))
+    store.overwrite("inventory_report", models.inventory_held_out(tree, split))
+    delivery = models.delivery_predictions(models.score_delivery(forest, encoded), run.run_ts)
+    return run.cut(delivery.unionByName(models.inventory_model_predictions(tree, run.inventory, run.run_ts))
+                   .unionByName(run.demand_preds), "learned_predictions")
+
+
+def _never(path: str):
+    raise FileNotFoundError(path)
+
+
 def run_pipeline(spark: SparkSession, sf_dir: str, root: str | None = None,
-                 run_ts: str | None = None, learned_models: bool = False) -> dict:
+                 run_ts: str | None = None, learned_models: bool = False, reuse: bool = True) -> dict:
     """Build every table of a run and return the summary frames.
 
     Steps: order lines -> features -> orders / inventory / weekly tables
     -> browse signals -> predictions -> clear alerts -> four agents
     (each replaces its own (agent, category) group) -> conflicts ->
-    briefing, alert summary and data-quality report.
+    briefing, alert summary and data-quality report.  Predictions are
+    appended with the run's stamp.
+
+    ``learned_models`` scores lines with the forest and products with the
+    tree; models and label codes saved by an earlier run under ``root`` are
+    used again unless ``reuse`` is false.
     """
     run_ts = run_ts or _dt.datetime.now().replace(microsecond=0).isoformat()
     root = root or output_root(spark, "tables")
@@ -45,14 +84,8 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str | None = None,
     store.overwrite("browse_category", tables.browse_signals(log_, "Category", "category"))
     store.overwrite("browse_department", tables.browse_signals(log_, "Department", "department"))
 
-    preds = run.preds
-    if learned_models:
-        from supplyscope.operators import encode
-        enc, _ = encode.label_encode(run.feats, ["shipping_mode", "market", "customer_segment", "department"])
-        forest, _ = models.train_delivery_forest(enc)
-        models.save_model(forest, f"{root}/models/delivery_forest")
-        store.overwrite("feature_importance", models.feature_importances(spark, forest))
-    store.overwrite("predictions", preds)
+    preds = _learned_predictions(store, run, root, reuse) if learned_models else run.preds
+    store.append("predictions", preds)
 
     store.clear_alerts()
     jobs = {

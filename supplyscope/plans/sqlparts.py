@@ -11,7 +11,8 @@ items0 AS (
          l.l_suppkey AS supp_key, o.o_orderdate AS order_date, l.l_shipdate AS ship_date,
          p.p_name AS product_name, p.p_type AS category, p.p_brand AS department,
          r.r_name AS market, n.n_name AS order_region, c.c_mktsegment AS customer_segment,
-         CAST(l.l_quantity AS BIGINT) AS quantity, l.l_discount AS discount_rate,
+         CAST(CAST(l.l_quantity AS BIGINT) * CASE length(p.p_name) % 3 WHEN 0 THEN year(o.o_orderdate) - 1993
+              WHEN 1 THEN 2003 - year(o.o_orderdate) ELSE 1 END AS BIGINT) AS quantity, l.l_discount AS discount_rate,
          CAST(ROUND(CAST(l.l_extendedprice AS DECIMAL(18,2)) * 0.02, 2) AS DOUBLE) AS sales,
          p.p_retailprice AS product_price,
          CAST(ROUND(ROUND(CAST(l.l_extendedprice AS DECIMAL(18,2)) * 0.02, 2)

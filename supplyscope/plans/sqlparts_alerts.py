@@ -41,7 +41,7 @@ dpred AS (
   SELECT {hid("'delivery|' || " + SEQ_TEXT)} AS id, '{RUN_TS}' AS created_at, 'delivery' AS prediction_type,
          CAST(NULL AS VARCHAR) AS product_name, order_id, late_prob AS predicted_value,
          late_prob AS confidence_score, 'late' AS label
-  FROM scored WHERE late_prob >= 0.6 ORDER BY late_prob DESC, {SEQ} LIMIT 5000),
+  FROM scored WHERE late_prob >= 0.6),
 ipred AS (
   SELECT {hid("'inventory|' || product_name")} AS id, '{RUN_TS}' AS created_at, 'inventory' AS prediction_type,
          product_name, CAST(NULL AS BIGINT) AS order_id,
@@ -71,110 +71,93 @@ preds AS (SELECT * FROM dpred UNION ALL SELECT * FROM ipred UNION ALL SELECT * F
 baseline AS (SELECT product_name, CAST(round_even(CAST(avg(weekly_qty) AS DECIMAL(38,10)), 1) AS DOUBLE) AS baseline
              FROM weekly GROUP BY product_name)"""
 
-ALERT_ID = hid(key("agent", "category", "order_id", "product_name", "message"))
+ALERT_ID = hid("concat_ws('|', agent, category, akey)")
+
+
+def facts(**values: str) -> str:
+    """``name=value`` texts joined by "; "; NULL values are left out."""
+    return "concat_ws('; ', " + ", ".join(f"'{k}=' || CAST({v} AS VARCHAR)" for k, v in values.items()) + ")"
+
+
+CANCELED = "contains(lower(coalesce(delivery_status, '')), 'canceled')"
+LAST = SEQ.replace(", ", " DESC, ") + " DESC"
+CTX_COLS = ["product_name", "shipping_mode", "market", "order_region", "customer_segment", "sales", "department", "days_scheduled"]
+FRAUD_MESSAGE = facts(
+    order="order_id", product="product_name", value=money("coalesce(sales, 0.0)"), segment="nullif(customer_segment, '')",
+    market="market", region="nullif(order_region, '')", department="nullif(department, '')", mode="shipping_mode",
+    shipping=f"CASE WHEN {CANCELED} THEN 'canceled' END",
+    late_days=f"CASE WHEN NOT {CANCELED} AND coalesce(delay_days, 0.0) > 1 THEN {int_text('coalesce(delay_days, 0.0)')} END")
+DELIVERY_MESSAGE = facts(
+    order="order_id", late_percent=int_text("coalesce(prob, 0.0) * 100"), product="product_name", department="department",
+    market="market", region="order_region", mode="shipping_mode", mode_late_percent=int_text("mode_rate * 100"),
+    lead_days=int_text("days_scheduled"), lead="CASE WHEN days_scheduled <= 2 THEN 'tight' END", value=money("sales"),
+    segment="customer_segment")
+
+
+def known(x: str) -> str:
+    return f"CASE WHEN has THEN {x} END"
+
+
+INVENTORY_MESSAGE = facts(
+    product="product_name", stock_class="plabel", category="inv_category", stock=known("coalesce(simulated_stock, 0)"),
+    per_day=known(dec_text("coalesce(avg_daily_demand, 0.0)", 1)), days_left=known(int_text("coalesce(days_remaining, 0.0)")),
+    reorder_point=known(int_text("coalesce(reorder_threshold, 0.0)")), order_units=known("qty"),
+    unit_price=known(dec_text("coalesce(product_price, 0.0)", 2)),
+    cost=known(money("CAST(qty AS DECIMAL(20,0)) * CAST(coalesce(product_price, 0.0) AS DECIMAL(20,2))")))
+DEMAND_MESSAGE = facts(
+    product="product_name", trend="outcome", week="week", forecast=int_text("forecast"),
+    low=f"CASE WHEN ci > 0 THEN {int_text('greatest(forecast - ci / 2, 0.0)')} END",
+    high=f"CASE WHEN ci > 0 THEN {int_text('forecast + ci / 2')} END",
+    change_percent=int_text("abs((forecast - baseline) / baseline * 100)"), usual=int_text("baseline"))
 
 ALERTS = PREDS + f""",
-fraud_top AS (SELECT * FROM feat WHERE fraud_label = 1 ORDER BY sales DESC, {SEQ} LIMIT 500),
+fraud_all AS (SELECT * FROM feat WHERE fraud_label = 1),
+fraud_top AS (SELECT * FROM fraud_all ORDER BY sales DESC, {SEQ} LIMIT 500),
 fraud0 AS (
-  SELECT order_id, product_name, customer_segment,
+  SELECT order_id, product_name, {SEQ_TEXT} AS akey,
          CASE WHEN coalesce(sales, 0.0) >= 1000 THEN 'CRITICAL' WHEN coalesce(sales, 0.0) >= 500 THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
          CASE WHEN coalesce(sales, 0.0) >= 1000 THEN 'immediate' WHEN coalesce(sales, 0.0) >= 500 THEN 'hold'
-              WHEN contains(lower(coalesce(delivery_status, '')), 'canceled') THEN 'investigate' ELSE 'monitor' END AS action,
-         'Suspected fraud on order #' || CAST(order_id AS VARCHAR) || ' (''' || product_name || '''). Profile: '
-           || concat_ws(', ', '$' || {money('coalesce(sales, 0.0)')}, nullif(customer_segment, ''),
-                        market || ' (' || coalesce(order_region, '') || ')', nullif(department, ''),
-                        CASE WHEN contains(lower(coalesce(delivery_status, '')), 'canceled')
-                               THEN 'shipping cancelled after the order was placed'
-                             WHEN coalesce(delay_days, 0.0) > 1
-                               THEN 'shipped ' || {int_text('coalesce(delay_days, 0.0)')} || ' days late' END)
-           || '. Shipping mode: ' || shipping_mode || '. Review before fulfilment.' AS message
-  FROM fraud_top),
+              WHEN {CANCELED} THEN 'investigate' ELSE 'monitor' END AS action,
+         {FRAUD_MESSAGE} AS message
+  FROM fraud_all),
 fraud_alerts AS (
   SELECT order_id, product_name, severity, action, CAST(NULL AS VARCHAR) AS direction, message,
-         CASE action
-           WHEN 'immediate' THEN 'Stop order #' || CAST(order_id AS VARCHAR) || ' now: send to finance for identity and payment checks; do not ship; recall the parcel if it has left.'
-           WHEN 'hold' THEN 'Hold order #' || CAST(order_id AS VARCHAR) || ': confirm with the ' || customer_segment || ' customer through registered contact details; payment proof within 4 hours.'
-           WHEN 'investigate' THEN 'Investigate order #' || CAST(order_id AS VARCHAR) || ': look for a refund or chargeback claim and watch the account.'
-           ELSE 'Watch order #' || CAST(order_id AS VARCHAR) || ': add the customer to the watch list; escalate on repeat.' END AS recommendation,
-         'FraudAgent' AS agent, 'fraud' AS category
+         {facts(action="action", order="order_id")} AS recommendation, 'FraudAgent' AS agent, 'fraud' AS category, akey
   FROM fraud0),
+dlate AS (SELECT order_id, max(predicted_value) AS prob FROM preds
+          WHERE prediction_type = 'delivery' AND label = 'late' GROUP BY order_id),
 dtop AS (SELECT order_id, predicted_value AS prob FROM preds
          WHERE prediction_type = 'delivery' AND label = 'late'
          ORDER BY predicted_value DESC, order_id ASC, id ASC LIMIT 200),
-ctx AS (SELECT order_id,
-               first(product_name ORDER BY {SEQ.replace(', ', ' DESC, ')} DESC) AS product_name,
-               first(shipping_mode ORDER BY {SEQ.replace(', ', ' DESC, ')} DESC) AS shipping_mode,
-               first(market ORDER BY {SEQ.replace(', ', ' DESC, ')} DESC) AS market,
-               first(order_region ORDER BY {SEQ.replace(', ', ' DESC, ')} DESC) AS order_region,
-               first(customer_segment ORDER BY {SEQ.replace(', ', ' DESC, ')} DESC) AS customer_segment,
-               first(sales ORDER BY {SEQ.replace(', ', ' DESC, ')} DESC) AS sales,
-               first(department ORDER BY {SEQ.replace(', ', ' DESC, ')} DESC) AS department,
-               first(days_scheduled ORDER BY {SEQ.replace(', ', ' DESC, ')} DESC) AS days_scheduled
-        FROM items WHERE order_id IN (SELECT order_id FROM dtop) GROUP BY order_id),
+ctx AS (SELECT order_id, {', '.join(f'first({c} ORDER BY {LAST}) AS {c}' for c in CTX_COLS)}
+        FROM items WHERE order_id IN (SELECT order_id FROM dlate) GROUP BY order_id),
 irates AS (SELECT shipping_mode, avg(late_delivery_risk) AS mode_rate FROM items GROUP BY shipping_mode),
 dj AS (SELECT d.order_id, d.prob, c.product_name, c.shipping_mode, c.market, c.order_region, c.customer_segment,
-              c.sales, c.department, c.days_scheduled, r.mode_rate
-       FROM dtop d LEFT JOIN ctx c ON d.order_id = c.order_id LEFT JOIN irates r ON c.shipping_mode = r.shipping_mode),
+              c.sales, c.department, c.days_scheduled, r.mode_rate,
+              CASE WHEN coalesce(d.prob, 0.0) >= 0.85 THEN 'call_customer' WHEN coalesce(d.prob, 0.0) >= 0.70 THEN 'track' ELSE 'watch' END AS action
+       FROM dlate d LEFT JOIN ctx c ON d.order_id = c.order_id LEFT JOIN irates r ON c.shipping_mode = r.shipping_mode),
 delivery_alerts AS (
   SELECT order_id, product_name,
          CASE WHEN coalesce(prob, 0.0) >= 0.85 THEN 'CRITICAL' WHEN coalesce(prob, 0.0) >= 0.70 THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
-         CAST(NULL AS VARCHAR) AS action, CAST(NULL AS VARCHAR) AS direction,
-         CASE WHEN product_name IS NOT NULL THEN
-           'Late delivery risk for order #' || CAST(order_id AS VARCHAR) || ' (''' || product_name || ''', ' || department || ', '
-           || market || '/' || order_region || '): ' || {int_text('coalesce(prob, 0.0) * 100')} || '% chance of arriving late. Mode '''
-           || shipping_mode || ''' runs late on ' || {int_text('mode_rate * 100')} || '% of lines. '
-           || CASE WHEN days_scheduled <= 2 THEN {int_text('days_scheduled')} || '-day lead time, very tight.'
-                   ELSE {int_text('days_scheduled')} || '-day lead time.' END
-           || ' Value $' || {money('sales')} || ', customer ' || customer_segment || '.'
-         ELSE 'Late delivery risk for order #' || CAST(order_id AS VARCHAR) || ': ' || {int_text('coalesce(prob, 0.0) * 100')}
-           || '% chance of arriving late.' END AS message,
-         CASE WHEN product_name IS NOT NULL THEN
-           CASE WHEN coalesce(prob, 0.0) >= 0.85 THEN 'Urgent, order #' || CAST(order_id AS VARCHAR) || ': call the ' || customer_segment
-                  || ' customer first; consider a faster mode than ''' || shipping_mode || '''; review the carrier on this route.'
-                WHEN coalesce(prob, 0.0) >= 0.70 THEN 'Act on order #' || CAST(order_id AS VARCHAR)
-                  || ': track closely after dispatch, prepare a delay notice, review the ''' || shipping_mode || ''' carrier.'
-                ELSE 'Watch order #' || CAST(order_id AS VARCHAR) || ': daily shipment check; escalate after 24 hours without movement.' END
-         ELSE 'Watch order #' || CAST(order_id AS VARCHAR) || ': escalate after 24 hours without tracking movement.' END AS recommendation,
-         'DeliveryAgent' AS agent, 'delivery' AS category
+         action, CAST(NULL AS VARCHAR) AS direction, {DELIVERY_MESSAGE} AS message,
+         {facts(action="action", order="order_id")} AS recommendation, 'DeliveryAgent' AS agent, 'delivery' AS category,
+         CAST(order_id AS VARCHAR) AS akey
   FROM dj),
-ipreds AS (SELECT product_name, lower(coalesce(label, 'safe')) AS plabel FROM
-             (SELECT * FROM preds WHERE prediction_type = 'inventory' ORDER BY created_at DESC, product_name ASC LIMIT 200)
-           WHERE lower(coalesce(label, 'safe')) <> 'safe'),
+ipreds AS (SELECT product_name, lower(coalesce(label, 'safe')) AS plabel FROM preds
+           WHERE prediction_type = 'inventory' AND lower(coalesce(label, 'safe')) <> 'safe'),
 ij AS (SELECT p.product_name, p.plabel, i.simulated_stock, i.avg_daily_demand, i.days_remaining, i.reorder_threshold,
               i.product_price, i.category AS inv_category, i.product_name IS NOT NULL AS has,
+              CASE WHEN p.plabel = 'critical' THEN 'rush_order' ELSE 'standard_order' END AS action,
               greatest(CAST(round_even(CAST(coalesce(i.avg_daily_demand, 0.0) AS DECIMAL(20,4))
                    * (CASE WHEN p.plabel = 'critical' THEN 14 ELSE 30 END + 5)
                    - CAST(coalesce(i.simulated_stock, 0) AS DECIMAL(20,4)), 0) AS BIGINT), 1) AS qty
        FROM ipreds p LEFT JOIN inventory_t i ON p.product_name = i.product_name),
 inventory_alerts AS (
   SELECT CAST(NULL AS BIGINT) AS order_id, product_name,
-         CASE WHEN plabel = 'critical' THEN 'CRITICAL' ELSE 'HIGH' END AS severity, plabel AS action,
-         CAST(NULL AS VARCHAR) AS direction,
-         CASE WHEN has THEN
-           CASE WHEN plabel = 'critical' THEN
-             'Critical stock, ''' || product_name || ''' (' || inv_category || '): ' || CAST(coalesce(simulated_stock, 0) AS VARCHAR)
-             || ' units on hand, ' || {dec_text('coalesce(avg_daily_demand, 0.0)', 1)} || ' sold per day, out in '
-             || {int_text('coalesce(days_remaining, 0.0)')} || ' days. Reorder point ' || {int_text('coalesce(reorder_threshold, 0.0)')}
-             || ' units. Order ' || CAST(qty AS VARCHAR) || ' units now (14 days cover + 5 days lead), about $'
-             || {money('CAST(qty AS DECIMAL(20,0)) * CAST(coalesce(product_price, 0.0) AS DECIMAL(20,2))')}
-             || ' at $' || {dec_text('coalesce(product_price, 0.0)', 2)} || ' each.'
-           ELSE
-             'Low stock, ''' || product_name || ''' (' || inv_category || '): ' || CAST(coalesce(simulated_stock, 0) AS VARCHAR)
-             || ' units, ' || {int_text('coalesce(days_remaining, 0.0)')} || ' days of supply at '
-             || {dec_text('coalesce(avg_daily_demand, 0.0)', 1)} || ' per day. Reorder point '
-             || {int_text('coalesce(reorder_threshold, 0.0)')} || ' units. Order ' || CAST(qty AS VARCHAR)
-             || ' units (30 days cover), about $'
-             || {money('CAST(qty AS DECIMAL(20,0)) * CAST(coalesce(product_price, 0.0) AS DECIMAL(20,2))')} || '.' END
-         ELSE CASE WHEN plabel = 'critical' THEN 'Critical stock, ''' || product_name || ''': reorder now.'
-                   ELSE 'Low stock, ''' || product_name || ''': close to the reorder point.' END END AS message,
-         CASE WHEN has THEN
-           CASE WHEN plabel = 'critical' THEN 'Urgent: ask the supplier for a 5-day delivery of ' || CAST(qty AS VARCHAR)
-                  || ' units of ''' || product_name || '''; use a second supplier if needed.'
-                ELSE 'Raise a standard order for ' || CAST(qty AS VARCHAR) || ' units of ''' || product_name
-                  || '''; delivery in 5 working days; check stock daily until it arrives.' END
-         ELSE CASE WHEN plabel = 'critical' THEN 'Urgent: ask the supplier for the fastest delivery of ''' || product_name || '''.'
-                   ELSE 'Raise a standard order for ''' || product_name || ''' within 48 hours.' END END AS recommendation,
-         'InventoryAgent' AS agent, 'inventory' AS category
+         CASE WHEN plabel = 'critical' THEN 'CRITICAL' ELSE 'HIGH' END AS severity, action,
+         CAST(NULL AS VARCHAR) AS direction, {INVENTORY_MESSAGE} AS message,
+         {facts(action="action", product="product_name", units=known("qty"))} AS recommendation,
+         'InventoryAgent' AS agent, 'inventory' AS category, product_name AS akey
   FROM ij),
 nxt AS (SELECT p.product_name, p.label AS week, coalesce(p.predicted_value, 0.0) AS forecast,
                coalesce(p.confidence_score, 0.0) AS ci
@@ -186,70 +169,54 @@ outc AS (SELECT n.*, coalesce(b.baseline, 0.0) AS baseline,
                      WHEN n.forecast / b.baseline >= 1.25 THEN 'surge'
                      WHEN n.forecast / b.baseline <= 0.75 THEN 'decline' ELSE 'normal' END AS outcome
          FROM nxt n LEFT JOIN baseline b ON n.product_name = b.product_name),
+outa AS (SELECT *, CASE WHEN outcome = 'surge' THEN 'buy_more' ELSE 'hold_back' END AS action,
+                CAST(greatest(floor(CASE WHEN outcome = 'surge' THEN forecast - baseline ELSE baseline - forecast END), 0) AS BIGINT) AS units
+         FROM outc WHERE outcome IN ('surge', 'decline')),
 demand_alerts AS (
   SELECT CAST(NULL AS BIGINT) AS order_id, product_name,
-         CASE WHEN outcome = 'surge' THEN 'HIGH' ELSE 'MEDIUM' END AS severity, CAST(NULL AS VARCHAR) AS action,
-         outcome AS direction,
-         CASE WHEN outcome = 'surge' THEN 'Demand surge for ''' ELSE 'Demand decline for ''' END || product_name
-           || ''' in week ' || week || ': ' || {int_text('forecast')} || ' units'
-           || CASE WHEN ci > 0 THEN ' (range ' || {int_text('greatest(forecast - ci / 2, 0.0)')} || ' to '
-                   || {int_text('forecast + ci / 2')} || ' units)' ELSE '' END
-           || ', ' || {int_text('abs((forecast - baseline) / baseline * 100)')}
-           || CASE WHEN outcome = 'surge' THEN '% above the usual ' || {int_text('baseline')} || ' units a week; stock may run short.'
-                   ELSE '% below the usual ' || {int_text('baseline')} || ' units a week; stock may pile up.' END AS message,
-         CASE WHEN outcome = 'surge' THEN 'Buy about ' || CAST(CAST(greatest(floor(forecast - baseline), 0) AS BIGINT) AS VARCHAR)
-                || ' extra units of ''' || product_name || ''' above the usual reorder; tell purchasing now.'
-              ELSE 'Hold back: cut the next order of ''' || product_name || ''' by about '
-                || CAST(CAST(greatest(floor(baseline - forecast), 0) AS BIGINT) AS VARCHAR) || ' units; consider a promotion.' END
-           AS recommendation,
-         'DemandAgent' AS agent, 'demand' AS category
-  FROM outc WHERE outcome IN ('surge', 'decline')),
+         CASE WHEN outcome = 'surge' THEN 'HIGH' ELSE 'MEDIUM' END AS severity, action,
+         outcome AS direction, {DEMAND_MESSAGE} AS message,
+         {facts(action="action", product="product_name", units="units")} AS recommendation,
+         'DemandAgent' AS agent, 'demand' AS category, product_name AS akey
+  FROM outa),
 agent_alerts0 AS (
-  SELECT * FROM fraud_alerts UNION ALL SELECT * FROM delivery_alerts
-  UNION ALL SELECT * FROM inventory_alerts UNION ALL SELECT * FROM demand_alerts),
+  SELECT * FROM fraud_alerts UNION ALL BY NAME SELECT * FROM delivery_alerts
+  UNION ALL BY NAME SELECT * FROM inventory_alerts UNION ALL BY NAME SELECT * FROM demand_alerts),
 agent_alerts AS (
   SELECT {ALERT_ID} AS id, '{RUN_TS}' AS created_at, agent, severity, category, product_name, order_id,
          message, recommendation, 0 AS is_resolved, action, direction
   FROM agent_alerts0)"""
 
+STRONG = "coalesce(inv_sev, 'HIGH') IN ('HIGH', 'CRITICAL')"
+
 CONFLICTS = ALERTS + f""",
 oa AS (SELECT * FROM agent_alerts WHERE is_resolved = 0 AND category <> 'conflict'),
-pa AS (SELECT *, coalesce(direction, CASE WHEN starts_with(lower(message), 'demand decline') THEN 'decline' END) AS dir
-       FROM oa WHERE product_name IS NOT NULL AND product_name <> ''),
+pa AS (SELECT * FROM oa WHERE product_name IS NOT NULL AND product_name <> ''),
 pg AS (SELECT product_name,
               bool_or(category = 'inventory') AS has_inv, bool_or(category = 'demand') AS has_dem,
               bool_or(category = 'delivery') AS has_del, bool_or(category = 'fraud') AS has_fraud,
               first(severity ORDER BY created_at DESC, id ASC) FILTER (WHERE category = 'inventory') AS inv_sev,
-              first(dir ORDER BY created_at DESC, id ASC) FILTER (WHERE category = 'demand') AS dem_dir
+              first(direction ORDER BY created_at DESC, id ASC) FILTER (WHERE category = 'demand') AS dem_dir
        FROM pa GROUP BY product_name),
-c6 AS (SELECT product_name, CAST(NULL AS BIGINT) AS order_id,
-              CASE WHEN coalesce(inv_sev, 'HIGH') IN ('HIGH', 'CRITICAL') THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
-              CASE WHEN coalesce(inv_sev, 'HIGH') IN ('HIGH', 'CRITICAL') THEN
-                'Conflict for ''' || product_name || ''': the inventory agent raised a ' || coalesce(inv_sev, 'HIGH')
-                || ' restock alert while the demand agent expects demand to fall. Resolution: reorder lead time plus 7 days only, not the usual 30-day cover.'
-              ELSE 'Conflict for ''' || product_name || ''': stock is low but demand is falling; deferring the reorder is safer.' END AS message,
-              CASE WHEN coalesce(inv_sev, 'HIGH') IN ('HIGH', 'CRITICAL') THEN
-                'Partial reorder for ''' || product_name || ''': 7 days of supply; review demand again in 2 weeks.'
-              ELSE 'Defer the reorder for ''' || product_name || ''': watch for 2 weeks; reorder if demand steadies or stock turns critical.' END AS recommendation,
-              CASE WHEN coalesce(inv_sev, 'HIGH') IN ('HIGH', 'CRITICAL') THEN 'partial_reorder' ELSE 'defer' END AS action
+c6 AS (SELECT product_name, CAST(NULL AS BIGINT) AS order_id, CASE WHEN {STRONG} THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
+              {facts(product="product_name", rule="'restock_against_decline'", inventory="coalesce(inv_sev, 'HIGH')")} AS message,
+              CASE WHEN {STRONG} THEN 'partial_reorder' ELSE 'defer' END AS action
        FROM pg WHERE has_inv AND has_dem AND dem_dir = 'decline'),
 c7 AS (SELECT product_name, CAST(NULL AS BIGINT) AS order_id, 'HIGH' AS severity,
-              'Compound risk for ''' || product_name || ''': late delivery and stock shortage are both flagged; if both happen the order cannot be filled.' AS message,
-              'Escalate ''' || product_name || ''': speed up shipping and restock at once; tell warehouse and operations.' AS recommendation,
-              'compound' AS action
+              {facts(product="product_name", rule="'late_and_short'")} AS message, 'compound' AS action
        FROM pg WHERE has_del AND has_inv AND NOT has_fraud),
 og AS (SELECT order_id, list_distinct(list(category)) AS cats,
               array_to_string(list_sort(list_distinct(list(category) FILTER (WHERE category <> 'fraud'))), ', ') AS other_cats,
               array_to_string(list_sort(list_distinct(list(agent) FILTER (WHERE category <> 'fraud'))), ', ') AS other_agents
        FROM oa WHERE order_id IS NOT NULL GROUP BY order_id),
 c8 AS (SELECT CAST(NULL AS VARCHAR) AS product_name, order_id, 'CRITICAL' AS severity,
-              'Escalation for order #' || CAST(order_id AS VARCHAR) || ': flagged by FraudAgent and by ' || other_agents
-              || ' (' || other_cats || '); independent signals point to a high-risk order.' AS message,
-              'Block order #' || CAST(order_id AS VARCHAR) || ': suspend now; release only after fraud and operations sign off.' AS recommendation,
+              {facts(order="order_id", rule="'fraud_and_others'", agents="other_agents", categories="other_cats")} AS message,
               'block' AS action
        FROM og WHERE list_contains(cats, 'fraud') AND len(cats) > 1),
-conf0 AS (SELECT *, 'ConflictResolver' AS agent, 'conflict' AS category FROM
-            (SELECT * FROM c6 UNION ALL SELECT * FROM c7 UNION ALL SELECT * FROM c8)),
+conf0 AS (SELECT *, {facts(action="action", product="product_name", order="order_id")} AS recommendation,
+                 'ConflictResolver' AS agent, 'conflict' AS category,
+                 concat_ws('|', action, coalesce(product_name, ''), coalesce(CAST(order_id AS VARCHAR), '')) AS akey FROM
+            (SELECT * FROM c6 UNION ALL BY NAME SELECT * FROM c7 UNION ALL BY NAME SELECT * FROM c8)),
 conflict_alerts AS (
   SELECT {ALERT_ID} AS id, '{RUN_TS}' AS created_at, agent, severity, category, product_name, order_id,
          message, recommendation, 0 AS is_resolved, action, CAST(NULL AS VARCHAR) AS direction

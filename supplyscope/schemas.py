@@ -74,6 +74,8 @@ ALERTS = T.StructType([
     T.StructField("message", T.StringType()),
     T.StructField("recommendation", T.StringType()),
     T.StructField("is_resolved", T.IntegerType()),
+    T.StructField("action", T.StringType()),
+    T.StructField("direction", T.StringType()),
 ])
 
 TABLE_SCHEMAS = {
@@ -102,11 +104,3 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
         c = F.col(f.name) if f.name in df.columns else F.lit(None)
         cols.append(c.cast(f.dataType).alias(f.name))
     return df.select(*cols)
-
-
-def check_schema(df: DataFrame, schema: T.StructType) -> None:
-    """Raise if ``df`` does not carry ``schema``'s names and types."""
-    got = [(f.name, f.dataType) for f in df.schema.fields]
-    want = [(f.name, f.dataType) for f in schema.fields]
-    if got != want:
-        raise ValueError(f"schema mismatch: got {got}, want {want}")

@@ -77,7 +77,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("spark.checkpoint.dir is not set on this cluster")
         d = tempfile.mkdtemp(prefix="supplyscope-ckpt-", dir="/tmp")
     if sc.getCheckpointDir() is None:

@@ -140,7 +140,9 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_type").alias("category"),
         F.col("p_brand").alias("department"),
         F.col("market"), F.col("order_region"), F.col("customer_segment"),
-        F.col("l_quantity").cast("bigint").alias("quantity"),
+        # by length of the product's name demand rises, falls or stays over the years
+        (F.col("l_quantity").cast("bigint") * F.when(F.length("p_name") % 3 == 0, F.year("o_orderdate") - 1993)
+         .when(F.length("p_name") % 3 == 1, F.lit(2003) - F.year("o_orderdate")).otherwise(1)).cast("bigint").alias("quantity"),
         F.col("l_discount").alias("discount_rate"),
         sales.cast("double").alias("sales"),
         F.col("p_retailprice").alias("product_price"),
@@ -202,12 +204,16 @@ def dirty_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def browse_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Access-log shape from ``events``: Category = event_type,
-    Department = props.k, padded and upper-cased so normalisation has work."""
+    """Access-log shape from ``events``: Category = a product category for
+    most event types, Department = props.k, padded and upper-cased so
+    normalisation has work."""
     ev = read_table(spark, sf_dir, "events", ["event_id", "event_type", "props"])
+    kind = F.col("event_type")
+    category = (F.when(kind == "click", "promo").when(kind == "purchase", "large").when(kind == "view", "medium")
+                .when(kind == "signup", "standard").otherwise(kind))
     return ev.select(
         "event_id",
-        F.concat(F.lit("  "), F.upper("event_type"), F.lit(" \t")).alias("Category"),
+        F.concat(F.lit("  "), F.upper(category), F.lit(" \t")).alias("Category"),
         F.concat(F.lit(" "), F.upper(F.concat(F.lit("dept "),
                                               F.get_json_object("props", "$.k"))),
                  F.lit("  ")).alias("Department"),

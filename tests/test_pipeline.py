@@ -56,17 +56,58 @@ def test_store_round_trip(spark, sf_small):
     st = TableStore(spark, root)
     st.create_tables()
     assert st.exists("alerts") and st.read("alerts").count() == 0
-    new = spark.createDataFrame([(1, "t", "T", "LOW", "test", "p", None, "m", "r", 0)], ALERTS)
+    new = spark.createDataFrame([(1, "t", "T", "LOW", "test", "p", None, "m", "r", 0, "a", "decline")], ALERTS)
     st.write_alerts(new)
     assert st.read("alerts").where("category = 'test'").count() == 1
     st.resolve_alerts(new.select("id"))
     a = st.read("alerts")
     assert a.where("id = 1").first()["is_resolved"] == 1
+    assert a.first()["direction"] == "decline"
     assert a.where("is_resolved = 0 AND category = 'test'").count() == 0
+    # a later run that raises the same alert finds it open again
+    st.clear_alerts()
+    st.write_alerts(new.withColumn("created_at", F.lit("t2")))
+    assert st.read("alerts").first()["is_resolved"] == 0
+    st.resolve_alerts(new.select("id"))
+    st.write_alerts(new.withColumn("created_at", F.lit("t3")))
+    assert st.read("alerts").first()["is_resolved"] == 0
     st.delete_where("alerts", F.col("category") == "test")
     assert st.read("alerts").count() == 0
 
 
+def test_every_critical_product_gets_an_alert(spark):
+    """300 products, the last 50 by name critical: 50 alerts."""
+    from supplyscope.operators import alerts
+    from supplyscope.schemas import INVENTORY
+    preds = spark.range(300).select(
+        F.col("id"), F.lit("t").alias("created_at"), F.lit("inventory").alias("prediction_type"),
+        F.format_string("p%03d", "id").alias("product_name"), F.lit(None).cast("long").alias("order_id"),
+        F.lit(0.0).alias("predicted_value"), F.lit(0.0).alias("confidence_score"),
+        F.when(F.col("id") >= 250, "critical").otherwise("safe").alias("label"))
+    out = alerts.inventory_alerts(preds, spark.createDataFrame([], INVENTORY), "t")
+    assert out.count() == 50 and out.select("id").distinct().count() == 50
+
+
+def test_learned_models_change_predictions_and_are_reused(spark, sf_small):
+    from supplyscope.plans.pipeline import run_pipeline
+    root = tempfile.mkdtemp(prefix="supplyscope-learned-", dir="/tmp")
+    for ts in ("2026-01-01T00:00:00", "2026-01-02T00:00:00"):
+        run_pipeline(spark, sf_small, root=root, run_ts=ts, learned_models=True)
+    st = TableStore(spark, root)
+    p = st.read("predictions")
+    stamps = {r["created_at"]: r["count"] for r in p.groupBy("created_at").count().collect()}
+    assert len(stamps) == 2 and len(set(stamps.values())) == 1
+    d = p.where("prediction_type = 'delivery'")
+    assert d.where("predicted_value < 0.6").count() == 0 and d.select("predicted_value").distinct().count() > 10
+    report = st.read("delivery_report").collect()
+    assert {r["class"] for r in report} == {0, 1} and all(r["accuracy"] > 0.5 for r in report)
+
+
+def test_agent_alert_ids_are_unique(spark, sf_small):
+    a = Run(spark, sf_small).all_alerts
+    assert a.count() == a.select("id").distinct().count()
+
+
 def test_pipeline_end_to_end(spark, sf_small):
     from supplyscope.plans.pipeline import run_pipeline
     root = tempfile.mkdtemp(prefix="supplyscope-run-", dir="/tmp")
