@@ -18,12 +18,13 @@ Texts stay where they are: they are written once as chunks, in a table
 bucketed by partition, and read in each round without a shuffle.  Only names
 travel to the buckets, and one bit a name travels back.  A chunk sends a name
 once however often it has it, so a string that a third of all rows share costs
-one name a chunk.  Buckets are ranges of names, sorted one at a time, and
+one name a chunk.  Of texts that are equal as a whole only one sends names,
+the others are known to be repeated.  Buckets are ranges of names, sorted one at a time, and
 their number follows the data, so a task's memory is bounded.
 
 Names are fingerprints whose width follows the data: wide enough in step 1
 that false ties (which cost only work) are rare, and in step 2 that one false
-tie anywhere has a probability below 2^-28.
+tie anywhere has a probability below 2^-26.
 """
 
 from __future__ import annotations
@@ -37,14 +38,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from supplyscope.llm.textscan import BYTE, STEP, mix
-from supplyscope.llm.work import byte_view, session, stash, text_or_empty
+from supplyscope.llm.work import merge_join, session, stash, text_or_empty
 from supplyscope.session import output_root
 
 LENGTH = 400
 COVER = 2
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 3 << 20
 #: Names that a bucket holds, on average.
-BUCKET_NAMES = 1 << 17
+BUCKET_NAMES = 1 << 18
 
 
 def difference_cover(r: int) -> tuple[int, np.ndarray]:
@@ -214,6 +215,15 @@ def answers(names: Names, bits: int, got: list | None) -> np.ndarray:
     return out
 
 
+def senders(row: dict) -> list[bytes]:
+    """A chunk's texts, empty for those that another text sends names for."""
+    texts = list(row["texts"])
+    for g in row["got0"] or ():
+        if not g["sends"]:
+            texts[g["pos"]] = b""
+    return texts
+
+
 def bucket_values(spark, n: int) -> np.ndarray:
     """For each of n partitions a number that Spark's bucketing puts into the
     bucket of the same place, so that no two partitions share a bucket."""
@@ -247,12 +257,14 @@ class Repeats:
 
             part = int(part_of.value[TaskContext.get().partitionId()])
             ids, texts, size, number = [], [], 0, 0
+            long_enough = lambda t: hashlib.blake2b(t, digest_size=16).digest() if len(t) >= length else None
 
             def out():
                 return pa.RecordBatch.from_arrays(
                     [pa.array([part], pa.int32()), pa.array([(part << 33) + number], pa.int64()),
-                     pa.array([ids], pa.list_(id_type)), pa.array([texts], pa.list_(pa.binary())), pa.array([size], pa.int64())],
-                    names=["part", "chunk", "ids", "texts", "size"])
+                     pa.array([ids], pa.list_(id_type)), pa.array([texts], pa.list_(pa.binary())), pa.array([size], pa.int64()),
+                     pa.array([[long_enough(t) for t in texts]], pa.list_(pa.binary()))],
+                    names=["part", "chunk", "ids", "texts", "size", "digests"])
             for b in batches:
                 id_type = b.column(0).type
                 for i, t in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(), strict=True):
@@ -265,7 +277,7 @@ class Repeats:
             if ids:
                 yield out()
 
-        packed = rows.mapInArrow(pack, f"part int, chunk long, ids array<{kind}>, texts array<binary>, size long")
+        packed = rows.mapInArrow(pack, f"part int, chunk long, ids array<{kind}>, texts array<binary>, size long, digests array<binary>")
         self.n_parts = n
         self.name = f"llm_chunks_{uuid.uuid4().hex}"
         # each task writes one bucket of its own: no shuffle here, nor on this side of joins by part
@@ -274,6 +286,17 @@ class Repeats:
         self.chunks = self.spark.table(self.name)
         self.bytes = self.chunks.agg(F.sum("size")).first()[0] or 0
 
+    def copies(self) -> DataFrame:
+        """By chunk, the places of texts that equal another as a whole, and
+        which of them is the one that sends names."""
+        rows = self.chunks.select("chunk", F.posexplode("digests").alias("pos", "digest")).where("digest IS NOT NULL")
+        groups = rows.groupBy("digest").agg(F.min(F.struct("chunk", "pos")).alias("first"), F.count("*").alias("n"))
+        groups = stash(groups.where("n > 1"), "repeat-copies")
+        sends = (F.col("first.chunk") == F.col("chunk")) & (F.col("first.pos") == F.col("pos"))
+        mine = merge_join(rows, groups, "digest").select("chunk", F.struct("pos", sends.alias("sends")).alias("text"))
+        back = mine.groupBy("chunk").agg(F.collect_list("text").alias("got"))
+        return stash(back.withColumn("part", F.shiftright("chunk", 33).cast("int")), "repeat-places")
+
     def layout(self, names: int, spare: tuple[float, float], most: int) -> tuple[int, int]:
         """Bucket bits and sent bytes for names of log2(names) * ``spare[0]`` +
         ``spare[1]`` bits, ``most`` at most."""
@@ -289,7 +312,7 @@ class Repeats:
         def send(batches):
             for b in batches:
                 for row in b.to_pylist():
-                    found = [x[:2] for x in named(Chunk(row["texts"], length, cover), row).pieces(bits, width)]
+                    found = [x[:2] for x in named(Chunk(senders(row), length, cover), row).pieces(bits, width)]
                     if found:
                         yield pa.RecordBatch.from_arrays(
                             [pa.array([k for k, _ in found], pa.int64()), pa.array([row["chunk"]] * len(found), pa.int64()),
@@ -320,9 +343,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     r = Repeats(docs, id_col, text_col, length, cover, chunk_bytes, bucket_names)
     v, d = r.cover
-    # false ties of samples cost work only: one in 2^13; of windows, one anywhere with 2^-28
+    # false ties of samples cost work only: one in 2^13; of windows, one anywhere with 2^-26
     bits1, width1 = r.layout(r.bytes * len(d) // v, (1, 13), 64)
-    bits2, width2 = r.layout(r.bytes // 4, (2, 31), 128)
+    bits2, width2 = r.layout(r.bytes // 4, (2, 26), 128)
     keep1 = min(64, bits1 + 8 * width1)
 
     def first(c: Chunk, row) -> Names:
@@ -330,25 +353,27 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def second(c: Chunk, row) -> tuple[np.ndarray, Names]:
         s, names = c.sample_names(keep1)
-        start = c.open_suffixes(s[answers(names, bits1, row["got0"])[names.which]])
+        start = c.open_suffixes(s[answers(names, bits1, row["got1"])[names.which]])
         return start, c.window_names(start)
 
-    one = r.resolve(first, [], bits1, width1)
-    two = r.resolve(lambda c, row: second(c, row)[1], [one], bits2, width2)
+    whole = r.copies()
+    one = r.resolve(first, [whole], bits1, width1)
+    two = r.resolve(lambda c, row: second(c, row)[1], [whole, one], bits2, width2)
     cover_of = r.cover
 
     def cut(batches):
         for b in batches:
             for row in b.to_pylist():
-                c = Chunk(row["texts"], length, cover_of)
+                c = Chunk(senders(row), length, cover_of)
                 start, names = second(c, row)
-                gone = c.covered(start[answers(names, bits2, row["got1"])[names.which]])
+                gone = c.covered(start[answers(names, bits2, row["got2"])[names.which]])
+                copied = {g["pos"] for g in row["got0"] or ()}
                 out = []
                 for i, (a, e) in enumerate(zip(c.off.tolist(), c.off[1:].tolist(), strict=False)):
-                    g = gone[a:e]
-                    kept = c.data[a:e][~g].tobytes() if g.any() else row["texts"][i]
-                    spans = int(g[:1].sum() + (g[1:] & ~g[:-1]).sum())
-                    out.append((row["ids"][i], e - a, int(g.sum()), spans, hashlib.sha256(kept).hexdigest(), kept))
+                    g, text = gone[a:e], row["texts"][i]
+                    kept = b"" if i in copied else c.data[a:e][~g].tobytes() if g.any() else text
+                    spans = 1 if i in copied else int(g[:1].sum() + (g[1:] & ~g[:-1]).sum())
+                    out.append((row["ids"][i], len(text), len(text) - len(kept), spans, hashlib.sha256(kept).hexdigest(), kept))
                 cols = list(zip(*out, strict=True))
                 arrays = [pa.array(cols[0], id_arrow), *(pa.array(x, pa.int64()) for x in cols[1:4]), pa.array(cols[4], pa.string())]
                 names_ = ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
@@ -360,4 +385,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     from pyspark.sql.pandas.types import to_arrow_type
     id_arrow = to_arrow_type(r.chunks.schema["ids"].dataType.elementType)
     schema = f"id {r.id_kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
-    return r.with_answers([one, two]).mapInArrow(cut, schema).withColumnRenamed("id", id_col)
+    return r.with_answers([whole, one, two]).mapInArrow(cut, schema).withColumnRenamed("id", id_col)
