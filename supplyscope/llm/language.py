@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from supplyscope.llm.textscan import LOWER, mix
+from supplyscope.llm.textscan import LOWER
 from supplyscope.llm.work import byte_view, merge_join, named, session, slices, stash, text_or_empty
 
 BUCKETS = 8192
@@ -31,16 +31,17 @@ IS_LETTER = np.zeros(256, bool)
 IS_LETTER[97:123] = IS_LETTER[128:] = True
 #: Letters after lower-casing A-Z, any other byte as a space.
 FOLD = np.where(IS_LETTER[LOWER], LOWER, 32).astype(np.uint8)
-BUCKET_OF = (mix(np.arange(1 << 24, dtype=np.uint64) + np.uint64(1)) >> np.uint64(51)).astype(np.uint16)
+#: Odd multiplier of the trigrams' hash; its top bits are the bucket.
+SPREAD = np.uint32(0x9E3779B1)
 
 
 def trigrams(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the byte trigrams around a letter, and each text's first one
      (one more entry for the end).  None crosses two texts."""
-    c = FOLD[data].astype(np.int64)
+    c = FOLD[data].astype(np.uint32)
     if len(c) < 3:
         return np.zeros(0, np.uint16), np.zeros(len(off), np.int64)
-    code = (c[:-2] << 16) | (c[1:-1] << 8) | c[2:]
+    code = (c[:-2] << np.uint32(16)) | (c[1:-1] << np.uint32(8)) | c[2:]
     ok = c[1:-1] != 32
     inner = off[1:-1]
     inner = inner[(inner > 0) & (inner < len(c))]
@@ -48,7 +49,7 @@ def trigrams(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]
         at = inner - back
         ok[at[(at >= 0) & (at < len(ok))]] = False
     place = np.flatnonzero(ok)
-    return BUCKET_OF[code[place]], np.searchsorted(place, off)
+    return (code[place] * SPREAD >> np.uint32(19)).astype(np.uint16), np.searchsorted(place, off)
 
 
 def text_models(rows: DataFrame, label: str, languages: int = LANGUAGES) -> tuple[list[str], np.ndarray]:
