@@ -33,7 +33,7 @@ DEPTH = 5
 RECALL = 0.9999
 #: Standard deviations that a signature may fall short of the threshold.
 SLACK = 4.5
-BLOCK = 256
+BLOCK = 512
 BLOCK_TEXT = 16 << 20
 
 

@@ -24,12 +24,33 @@ def session(df: DataFrame) -> SparkSession:
     return spark
 
 
-def stash(df: DataFrame, name: str) -> DataFrame:
+class Scope:
+    """Folder of the written tables of the pipeline stage that runs."""
+
+    current: str | None = None
+
+
+def begin_stage(spark: SparkSession) -> None:
+    """Give the tables of the stage that begins a folder of their own, and
+    empty the folder of the stage before, whose result is written by now."""
+    if Scope.current:
+        spark.range(0).write.mode("overwrite").parquet(Scope.current)
+    Scope.current = f"{output_root(spark, 'llm')}/stage-{uuid.uuid4().hex}"
+
+
+def end_stages() -> None:
+    """After the last stage: tables are written outside of any stage again."""
+    Scope.current = None
+
+
+def stash(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
-    Cuts the lineage with a table that survives the loss of executors."""
+    Cuts the lineage with a table that survives the loss of executors.  Within
+    a pipeline stage it lasts until the next stage begins, unless ``keep``."""
     spark = df.sparkSession
-    path = f"{output_root(spark, 'llm')}/{name}-{uuid.uuid4().hex}"
+    root = output_root(spark, "llm")
+    path = f"{root if keep or not Scope.current else Scope.current}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
