@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from supplyscope.operators.ranks import exact_quantiles
+
 # Private or unused raw columns dropped at load.
 PRIVATE_COLUMNS = (
     "Customer Email", "Customer Fname", "Customer Lname", "Customer Password",
@@ -59,24 +61,19 @@ def _numeric_cols(df: DataFrame, cols=None):
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
-def fill_median(df: DataFrame, cols=None, approx: bool = False) -> DataFrame:
-    """PRJ6: NULLs of each numeric column -> that column's median.
+def fill_median(df: DataFrame, cols=None) -> DataFrame:
+    """PRJ6: NULLs of each numeric column -> that column's exact median.
 
-    All medians come from one aggregate (one pass).  Exact medians keep a
-    value -> count map per column, bounded by the number of distinct values;
-    ``approx=True`` switches to ``percentile_approx`` for high-cardinality
-    columns at scale.  The medians are scalar subqueries, not a join.
+    All medians come from the same two passes (``exact_quantiles``).
     """
     cols = _numeric_cols(df, cols)
     if not cols:
         return df
-    agg = (lambda c: F.percentile_approx(c, 0.5, 100000)) if approx else F.median
-    stats = df.select(*[agg(F.col(c)).alias(c) for c in cols])
+    stats = exact_quantiles(df, cols, 0.5)
     fills = {}
     for f in df.schema.fields:
         if f.name in cols:
-            m = stats.select(F.col(f.name).cast(f.dataType)).scalar()
-            fills[f.name] = F.coalesce(F.col(f.name), m)
+            fills[f.name] = F.coalesce(F.col(f.name), F.lit(stats[f.name]).cast(f.dataType))
     return df.withColumns(fills)
 
 

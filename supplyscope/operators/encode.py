@@ -6,9 +6,11 @@ of statistics) that can be written and re-applied to new rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from supplyscope.operators.ranks import text_rank
+
 # Categorical column -> code column.
 ENCODED_COLUMNS = {
     "payment_type": "type_enc",
@@ -36,17 +38,15 @@ def fit_label_codes(df: DataFrame, columns=None) -> DataFrame:
     """PRJ16: mapping (column_name, value, code); code = 0-based rank of the
     value among the column's sorted distinct values (text order).
 
-    Distinct values are found with a distributed aggregate; the ranking
-    window runs per column over that column's distinct values only, which
-    is bounded by the categorical's cardinality.
+    Distinct values are found with one distributed aggregate over all columns
+    and ranked by first characters, so no task holds a column's values.
     """
     columns = [c for c in (columns or ENCODED_COLUMNS) if c in df.columns]
     # one pass: each row gives its (column, value) pairs, combined before the shuffle
     pairs = F.array(*[F.struct(F.lit(c).alias("column_name"),
                                F.coalesce(F.col(c).cast("string"), F.lit("None")).alias("value")) for c in columns])
     distinct = df.select(F.inline(pairs)).distinct()
-    w = Window.partitionBy("column_name").orderBy("value")
-    return distinct.withColumn("code", (F.dense_rank().over(w) - 1).cast("int"))
+    return text_rank(distinct, ["column_name"], "value", "code")
 
 
 def apply_label_codes(df: DataFrame, mapping: DataFrame, columns=None,

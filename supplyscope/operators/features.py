@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from supplyscope.functions.columns import dec_round, season_of
+from supplyscope.operators.ranks import exact_quantile
 
 
 def add_calendar(df: DataFrame, date_col: str = "order_date") -> DataFrame:
@@ -44,11 +45,9 @@ def add_discount_amount(df: DataFrame) -> DataFrame:
 def add_high_value(df: DataFrame, q: float = 0.75) -> DataFrame:
     """PRJ15: sales >= the q-quantile of sales (linear interpolation).
 
-    The quantile is one scalar subquery over the frame: one aggregate job,
-    its single value sent to every task (no join).
+    The exact quantile is fitted first, its single value sent to every task.
     """
-    p = df.select(F.percentile("sales", q).alias("p")).scalar()
-    return df.withColumn("is_high_value", (F.col("sales") >= p).cast("int"))
+    return df.withColumn("is_high_value", (F.col("sales") >= exact_quantile(df, "sales", q)).cast("int"))
 
 
 def row_features(items: DataFrame) -> DataFrame:

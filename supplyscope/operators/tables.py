@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from supplyscope.functions.columns import (dec_bround, stock_status, strip_lower, supply_days,
                                            week_monday)
+from supplyscope.operators.ranks import text_rank
 
 
 def span_days(items: DataFrame, col: str = "order_date") -> Column:
@@ -124,12 +125,18 @@ def global_weekly(weekly: DataFrame) -> DataFrame:
 
 def browse_signals(log: DataFrame, col: str, name: str) -> DataFrame:
     """AGG4 + PRJ21 + WIN2: normalised value, browse count, rank 1..n by
-    count desc then name.  The ranking window is global but runs on the
-    aggregated set (one row per distinct value)."""
+    count desc then name.
+
+    A value's rank is the number of values with a greater count (a window over
+    the distinct counts, about the square root of the events at most) plus its
+    rank by name among those with its own count."""
     counts = (log.select(strip_lower(col).alias(name)).where(F.col(name).isNotNull())
               .groupBy(name).agg(F.count(F.lit(1)).alias("browse_count")))
-    w = Window.orderBy(F.desc("browse_count"), F.asc(name))
-    return counts.withColumn("browse_rank", F.row_number().over(w))
+    sizes = counts.groupBy("browse_count").agg(F.count(F.lit(1)).alias("_n"))
+    above = Window.orderBy(F.desc("browse_count")).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("_above", F.coalesce(F.sum("_n").over(above), F.lit(0))).drop("_n")
+    ranked = text_rank(counts, ["browse_count"], name, "_own").join(sizes, "browse_count")
+    return ranked.select(name, "browse_count", (F.col("_above") + F.col("_own") + 1).cast("int").alias("browse_rank"))
 
 
 def top_browsed(signals: DataFrame, n: int = 5) -> DataFrame:

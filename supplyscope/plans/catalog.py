@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from supplyscope.operators import clean, encode, features, sampling, tables
+from supplyscope.operators.ranks import exact_quantile
 from supplyscope.plans.context import run_for
 from supplyscope.plans.registry import register
 from supplyscope.plans.sqlparts import (DIRTY, FEAT, INVENTORY, ITEMS, SEQ, SEQ_TEXT, WEEKLY,
@@ -184,8 +185,8 @@ SELECT count(*) AS n, CAST(sum(is_high_value) AS BIGINT) AS high_value,
        (SELECT quantile_cont(sales, 0.75) FROM items) AS p75 FROM feat""")
 def q_prj15(spark, d):
     f = feats(spark, d)
-    return f.select(F.count(F.lit(1)).alias("n"), F.sum("is_high_value").cast("bigint").alias("high_value"),
-                    F.percentile("sales", 0.75).alias("p75"))
+    return f.select(F.count(F.lit(1)).alias("n"), F.sum("is_high_value").cast("bigint").alias("high_value")).withColumn(
+        "p75", exact_quantile(f, "sales", 0.75))
 
 
 @register("prj16_label_codes", with_(ITEMS) + """
