@@ -1,16 +1,18 @@
 """Language identification by Bayesian evidence fusion (operator 10).
 
-The text gives likelihoods under character trigram models, one per language,
+The text gives likelihoods under character trigram models, one for every label,
 counted over all labelled documents.  To their logarithms are added: the log
 prior of the host, smoothed towards its address suffix and that towards all
 rows, and the log probability of the declared markup language.  Both come from
-grouped counts of what the texts alone say.
+grouped counts of what the texts alone say.  A long text that no model explains
+is of a language without labels: it has no name, but it is accepted.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,13 +21,18 @@ from supplyscope.llm.textscan import LOWER
 from supplyscope.llm.work import byte_view, merge_join, named, session, slices, stash, text_or_empty
 
 BUCKETS = 8192
-#: Most languages that models are kept for, by number of labelled rows.
-LANGUAGES = 128
+#: Models that a task holds at a time (64 KB each); more are scored in turns.
+BLOCK = 256
 #: Trigrams beyond this many don't make a text's likelihood count for more.
 EVIDENCE = 48
 SMOOTHING = 20.0
-#: Texts of fewer trigrams are too short to be rejected for their wording.
+#: Texts of fewer trigrams are too short to say that no model explains them.
 LEAST_TRIGRAMS = 32
+#: Letters (bytes) drawn evenly from a-z meet their like with probability 1 / 26
+#: = 0.0385; the flattest written languages have about 0.05 (Czech), most 0.06
+#: or more.  From LEAST_LETTERS on, chance bridges that gap for neither.
+FLAT = 0.042
+LEAST_LETTERS = 1024
 
 IS_LETTER = np.zeros(256, bool)
 IS_LETTER[97:123] = IS_LETTER[128:] = True
@@ -52,12 +59,39 @@ def trigrams(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return (code[place] * SPREAD >> np.uint32(19)).astype(np.uint16), np.searchsorted(place, off)
 
 
-def text_models(rows: DataFrame, label: str, languages: int = LANGUAGES) -> tuple[list[str], np.ndarray]:
-    """Languages and their log probabilities by bucket (languages, BUCKETS),
-    counted over all rows of ``rows`` (text, ``label``) with a label."""
-    known = rows.filter(F.col(label).isNotNull()).select(F.col(label).alias("lang"), padded(text_or_empty(F.col("text"))).alias("text"))
-    top = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages)
-    names = sorted(r.lang for r in top.collect())
+class Models:
+    """Log probabilities by bucket of each language in ``names``, made a block
+    of languages at a time from a written table (lang, bucket, n)."""
+
+    def __init__(self, names: list[str], counts: DataFrame, block: int):
+        self.names, self.counts, self.block = names, counts, block
+
+    def blocks(self):
+        """Arrays (languages, BUCKETS) in the order of ``names``; one at least."""
+        for i in range(0, max(1, len(self.names)), self.block):
+            some = self.names[i:i + self.block]
+            counts = np.zeros((len(some), BUCKETS))
+            if some:
+                place = {x: k for k, x in enumerate(some)}
+                got = self.counts.filter(F.col("lang").between(some[0], some[-1])).toArrow()
+                counts[[place[x] for x in got["lang"].to_pylist()], got["bucket"].to_numpy()] = got["n"].to_numpy()
+            # as many trigrams of each language, so that a large one has no edge
+            p = (counts / np.maximum(1, counts.sum(axis=1, keepdims=True)) + 1e-6) / (1 + 1e-6 * BUCKETS)
+            yield np.log(p)
+
+
+def text_models(rows: DataFrame, label: str, block: int = BLOCK) -> tuple[list[str], Models]:
+    """All languages that label a row and their models, counted over all rows
+    of ``rows`` (text, ``label``) with a label."""
+    known = rows.filter(F.col(label).isNotNull()).select(F.col(label).cast("string").alias("lang"),
+                                                         padded(text_or_empty(F.col("text"))).alias("text"))
+    names = sorted(r.lang for r in known.select("lang").distinct().collect())
+
+    def emit(total):
+        for lang, counts in total.items():
+            at = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()),
+                                              pa.array(counts[at], pa.int64())], names=["lang", "bucket", "n"])
 
     def run(batches):
         total: dict[str, np.ndarray] = {}
@@ -66,23 +100,21 @@ def text_models(rows: DataFrame, label: str, languages: int = LANGUAGES) -> tupl
             langs = b.column(0).to_pylist()
             for i, j in slices(np.diff(off), 1 << 20):
                 g, first = trigrams(data[off[i]:off[j]], off[i:j + 1] - off[i])
-                group = np.repeat([names.index(x) if x in names else len(names) for x in langs[i:j]], np.diff(first))
-                flat = np.bincount(group * BUCKETS + g, minlength=(len(names) + 1) * BUCKETS).reshape(-1, BUCKETS)
-                for k in np.unique(group).tolist():
-                    total[k] = total.get(k, 0) + flat[k]
-        for k, counts in total.items():
-            if k < len(names):
-                at = np.flatnonzero(counts)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), k), pa.int32()), pa.array(at, pa.int32()),
-                                                  pa.array(counts[at], pa.int64())], names=["k", "bucket", "n"])
-
-    counts = np.zeros((len(names), BUCKETS))
-    found = known.mapInArrow(run, "k int, bucket int, n long").groupBy("k", "bucket").agg(F.sum("n").alias("n"))
-    for r in found.toLocalIterator():
-        counts[r.k, r.bucket] = r.n
-    # as many trigrams of each language, so that a large one has no edge
-    p = (counts / np.maximum(1, counts.sum(axis=1, keepdims=True)) + 1e-6) / (1 + 1e-6 * BUCKETS)
-    return names, np.log(p)
+                some, which = np.unique(np.array(langs[i:j], object), return_inverse=True)
+                group, order = np.repeat(which, np.diff(first)), None
+                if len(some) > 32:
+                    order = np.argsort(group, kind="stable")
+                    cut = np.searchsorted(group[order], np.arange(len(some) + 1))
+                for k, lang in enumerate(some.tolist()):
+                    mine = g[group == k] if order is None else g[order[cut[k]:cut[k + 1]]]
+                    total[lang] = total.get(lang, 0) + np.bincount(mine, minlength=BUCKETS)
+                    if len(total) >= block:
+                        yield from emit(total)
+                        total = {}
+        yield from emit(total)
+
+    found = known.mapInArrow(run, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    return names, Models(names, stash(found, "lang-counts"), block)
 
 
 def host_of(address: Column) -> Column:
@@ -107,53 +139,113 @@ def visible(markup: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(bare, r"<[^>]*+>", " "), r"&[A-Za-z0-9#]{1,10};", " ")
 
 
-def add_likelihoods(rows: DataFrame, logp: np.ndarray) -> DataFrame:
-    """(payload, host, declared, n_grams, fit, ll): log likelihoods by language,
-    scaled to at most EVIDENCE trigrams; fit is the best language's mean log2
-    probability of a trigram above that of an even spread."""
-    spark = rows.sparkSession
-    shipped = spark.sparkContext.broadcast(logp)
-    n_lang = len(logp)
-
-    def run(batches):
-        for b in batches:
-            data, off = byte_view(b.column("text"))
-            parts = [np.zeros((0, n_lang))]
-            counts = [np.zeros(0, np.int64)]
-            for i, j in slices(np.diff(off), 1 << 20):
-                g, first = trigrams(data[off[i]:off[j]], off[i:j + 1] - off[i])
-                n = np.diff(first)
-                sums = np.zeros((j - i, n_lang))
-                full = np.flatnonzero(n)
-                if len(full):
-                    for k in range(n_lang):
-                        sums[full, k] = np.add.reduceat(shipped.value[k][g], first[:-1][full])
-                parts.append(sums)
-                counts.append(n)
-            ll, n = np.concatenate(parts), np.concatenate(counts)
-            mean = ll / np.maximum(1, n)[:, None]
-            fit = (mean.max(axis=1, initial=-np.inf) / np.log(2) + np.log2(BUCKETS)) * (n > 0) if n_lang else np.ones(len(n))
-            scaled = mean * np.minimum(n, EVIDENCE)[:, None]
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * n_lang, pa.int32()), pa.array(scaled.ravel()))
-            yield pa.RecordBatch.from_arrays([b.column("payload"), b.column("host"), b.column("declared"), pa.array(n, pa.int64()),
-                                              pa.array(fit), lists], names=["payload", "host", "declared", "n_grams", "fit", "ll"])
-    fields = T.StructType.fromDDL("host string, declared string, n_grams long, fit double, ll array<double>").fields
-    return rows.mapInArrow(run, T.StructType([rows.schema["payload"], *fields]))
+def uneven(data: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Whether each text's letters, unless there are few, are as unevenly
+    frequent as in any written language; noise and encoded bytes are even."""
+    c = FOLD[data]
+    place = np.flatnonzero(c != 32)
+    out = np.ones(len(off) - 1, bool)
+    first = np.searchsorted(place, off)
+    for k in np.flatnonzero(np.diff(first) >= LEAST_LETTERS):
+        n = np.bincount(c[place[first[k]:first[k + 1]]])
+        total = int(n.sum())
+        out[k] = (n * (n - 1)).sum() >= FLAT * total * (total - 1)
+    return out
 
 
-def readable() -> Column:
-    """Whether a text has letters and, unless short, reads like a language."""
-    return (F.col("n_grams") > 0) & ((F.col("n_grams") < LEAST_TRIGRAMS) | (F.col("fit") > 0))
+def readable(data: np.ndarray, off: np.ndarray, n_grams: np.ndarray) -> np.ndarray:
+    """Whether each text has letters and, unless short, they are no noise.
+    No model has a say, so a language without labels is as good as another."""
+    return (n_grams > 0) & uneven(data, off)
 
 
-def best(ll: Column, n: int) -> Column:
-    """Index of the greatest value (the first of equals)."""
-    return F.array_position(ll, F.array_max(ll)).cast("int") - 1
+def add_likelihoods(rows: DataFrame, models: Models) -> DataFrame:
+    """(payload, host, declared, n_grams, accepted, vote, ll): log likelihoods
+    by language, scaled to at most EVIDENCE trigrams; vote is the place of the
+    best language, null for a text without letters and for one of LEAST_TRIGRAMS
+    or more that every model explains worse than an even spread would.
 
-
-def smoothed(counts: list[Column], parent: list[Column], weight: float) -> list[Column]:
-    total = sum(counts[1:], counts[0])
-    return [(c + F.lit(weight) * p) / (total + F.lit(weight)) for c, p in zip(counts, parent, strict=True)]
+    Each block of models is a pass over the texts; all but the last write them
+    again with the likelihoods so far."""
+    spark = rows.sparkSession
+    payload, n_lang = rows.schema["payload"], len(models.names)
+    rows = rows.withColumn("ll", F.array().cast("array<double>"))
+    for done, logp in enumerate(models.blocks()):
+        last = (done + 1) * models.block >= n_lang
+        ddl = "host string, declared string" + (", n_grams long, accepted boolean, vote int" if last else ", text string") + ", ll array<double>"
+        rows = rows.mapInArrow(score(spark.sparkContext.broadcast(logp), done * models.block, n_lang, last),
+                               T.StructType([payload, *T.StructType.fromDDL(ddl).fields]))
+        if not last:
+            rows = stash(rows, "lang-block")
+    return rows
+
+
+def score(shipped, before: int, n_lang: int, last: bool):
+    """A pass of ``add_likelihoods`` for one block of models, ``before`` of
+    them having been scored."""
+    def run(batches):
+        logp = shipped.value
+        for whole in batches:
+            sizes = np.diff(byte_view(whole.column("text"))[1]) + 8 * n_lang
+            for i, j in slices(sizes, 4 << 20):
+                b = whole.slice(i, j - i)
+                data, off = byte_view(b.column("text"))
+                sums, n = likelihoods(data, off, logp)
+                weight = np.minimum(n, EVIDENCE) / np.maximum(1, n)
+                ll = np.concatenate([b.column("ll").flatten().to_numpy(zero_copy_only=False).reshape(j - i, before), sums * weight[:, None]], axis=1)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(j - i + 1) * ll.shape[1], pa.int32()), pa.array(ll.ravel()))
+                cols = {x: b.column(x) for x in ("payload", "host", "declared")}
+                if last:
+                    cols |= {"n_grams": pa.array(n, pa.int64()), "accepted": pa.array(readable(data, off, n)),
+                             "vote": vote(ll, n)}
+                else:
+                    cols["text"] = b.column("text")
+                yield pa.RecordBatch.from_pydict({**cols, "ll": lists})
+    return run
+
+
+def likelihoods(data: np.ndarray, off: np.ndarray, logp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each text's log likelihood by language, and its number of trigrams."""
+    parts, counts = [np.zeros((0, len(logp)))], [np.zeros(0, np.int64)]
+    for i, j in slices(np.diff(off), 1 << 20):
+        g, first = trigrams(data[off[i]:off[j]], off[i:j + 1] - off[i])
+        n = np.diff(first)
+        sums = np.zeros((j - i, len(logp)))
+        full = np.flatnonzero(n)
+        if len(full):
+            for k in range(len(logp)):
+                sums[full, k] = np.add.reduceat(logp[k][g], first[:-1][full])
+        parts.append(sums)
+        counts.append(n)
+    return np.concatenate(parts), np.concatenate(counts)
+
+
+def vote(ll: np.ndarray, n: np.ndarray) -> pa.Array:
+    if not ll.shape[1]:
+        return pa.nulls(len(n), pa.int32())
+    # mean log2 probability of a trigram above that of an even spread
+    fit = ll.max(axis=1) / np.maximum(1, np.minimum(n, EVIDENCE)) / np.log(2) + np.log2(BUCKETS)
+    return pa.array(ll.argmax(axis=1).astype(np.int32), mask=(n == 0) | ((n >= LEAST_TRIGRAMS) & (fit <= 0)))
+
+
+def listed(votes: DataFrame, key: str, name: str) -> DataFrame:
+    """Counts by ``key`` and vote as one list a key, without null votes."""
+    counts = votes.groupBy(key, "vote").agg(F.sum("n").alias("n"))
+    return counts.groupBy(key).agg(F.collect_list(F.when(F.col("vote").isNotNull(), F.struct("vote", "n"))).alias(name))
+
+
+def unlisted(lists: pa.Array, n: int) -> np.ndarray:
+    """The counts of ``listed`` as rows of ``n`` numbers; zeros for a null."""
+    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    flat = lists.flatten()
+    row = np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+    out = np.zeros((len(lists), n))
+    out[row, flat.field("vote").to_numpy(zero_copy_only=False)] = flat.field("n").to_numpy(zero_copy_only=False)
+    return out
+
+
+def smoothed(counts: np.ndarray, parent: np.ndarray) -> np.ndarray:
+    return (counts + SMOOTHING * parent) / (counts.sum(axis=1, keepdims=True) + SMOOTHING)
 
 
 def fuse(rows: DataFrame, names: list[str]) -> DataFrame:
@@ -162,36 +254,39 @@ def fuse(rows: DataFrame, names: list[str]) -> DataFrame:
     n = len(names)
     if not n:
         return rows.select("payload", F.lit(None).cast("string").alias("lang"), F.lit(0.0).alias("posterior"),
-                           F.lit(None).cast("string").alias("text_lang"), readable().alias("accepted"))
-    voted = rows.withColumn("vote", F.when(F.col("n_grams") > 0, best(F.col("ll"), n)))
-    votes = [F.sum(F.when(F.col("vote") == k, 1).otherwise(0)).cast("double").alias(f"c{k}") for k in range(n)]
-
-    hosts = voted.groupBy("host").agg(*votes).withColumn("suffix", suffix_of(F.col("host")))
-    hosts = stash(hosts, "lang-hosts")
-    every = hosts.agg(*(F.sum(f"c{k}").alias(f"c{k}") for k in range(n))).first()
-    total = [float(v or 0) + 1.0 for v in every]
-    whole = [F.lit(v / sum(total)) for v in total]
-    suffixes = hosts.groupBy("suffix").agg(*(F.sum(f"c{k}").alias(f"s{k}") for k in range(n)))
-    by_suffix = smoothed([F.col(f"s{k}") for k in range(n)], whole, SMOOTHING)
-    suffixes = stash(suffixes.select("suffix", *(c.alias(f"p{k}") for k, c in enumerate(by_suffix))), "lang-suffixes")
-    placed = merge_join(hosts, suffixes, "suffix")
-    prior = smoothed([F.col(f"c{k}") for k in range(n)], [F.col(f"p{k}") for k in range(n)], SMOOTHING)
-    priors = stash(placed.select("host", F.array(*(F.log(p) for p in prior)).alias("prior")), "lang-priors")
-
-    # P(declared | language), smoothed towards P(declared); "" is no declaration.  At most 26^2 + 26^3 declared values.
-    said = voted.groupBy("declared").agg(*votes).withColumn("any", sum((F.col(f"c{k}") for k in range(1, n)), F.col("c0")))
-    said = said.select("declared", F.array(*(F.log((F.col(f"c{k}") + F.lit(SMOOTHING) * (F.col("any") + 1) / F.lit(sum(total)))
-                                                   / F.lit(total[k] + SMOOTHING)) for k in range(n))).alias("said"))
-    fused = merge_join(rows, priors, "host").join(F.broadcast(said), "declared")
-    plus = F.zip_with(F.zip_with(F.col("ll"), F.col("prior"), lambda a, b: a + b), F.col("said"), lambda a, b: a + b)
-    fused = fused.withColumn("post", plus)
-    top = F.array_max("post")
-    posterior = 1 / F.aggregate(F.transform("post", lambda x: F.exp(x - top)), F.lit(0.0), lambda a, x: a + x)
-    langs = F.array(*(F.lit(x) for x in names))
-    return fused.select(
-        "payload", F.when(F.col("n_grams") > 0, langs[best(F.col("post"), n)]).alias("lang"),
-        F.round(posterior, 6).alias("posterior"), F.when(F.col("n_grams") > 0, langs[best(F.col("ll"), n)]).alias("text_lang"),
-        readable().alias("accepted"))
+                           F.lit(None).cast("string").alias("text_lang"), "accepted")
+    votes = stash(rows.groupBy("host", "vote").agg(F.count("*").alias("n")).withColumn("suffix", suffix_of(F.col("host"))), "lang-votes")
+    total = np.ones(n)
+    for r in votes.filter("vote is not null").groupBy("vote").agg(F.sum("n").alias("n")).collect():
+        total[r.vote] += r.n
+    hosts = listed(votes, "host", "by_host").withColumn("suffix", suffix_of(F.col("host")))
+    priors = stash(merge_join(hosts, listed(votes, "suffix", "by_suffix"), "suffix").select("host", "by_host", "by_suffix"), "lang-priors")
+    # at most 26^2 + 26^3 declared values; lists of many languages are no longer small
+    said = listed(rows.select("declared", "vote", F.lit(1).alias("n")), "declared", "by_declared")
+    fused = merge_join(rows, priors, "host")
+    fused = fused.join(F.broadcast(said), "declared") if n <= BLOCK else merge_join(fused, stash(said, "lang-said"), "declared")
+
+    def run(batches):
+        for b in batches:
+            ll = b.column("ll").flatten().to_numpy(zero_copy_only=False).reshape(-1, n)
+            prior = smoothed(unlisted(b.column("by_host"), n), smoothed(unlisted(b.column("by_suffix"), n), total / total.sum()))
+            # P(declared | language), smoothed towards P(declared); "" is no declaration
+            declared = unlisted(b.column("by_declared"), n)
+            declared = (declared + SMOOTHING * (declared.sum(axis=1, keepdims=True) + 1) / total.sum()) / (total + SMOOTHING)
+            post = ll + np.log(prior) + np.log(declared)
+            sure = 1 / np.exp(post - post.max(axis=1, keepdims=True, initial=-np.inf)).sum(axis=1)
+            unsaid = pc.is_null(b.column("vote")).to_numpy(zero_copy_only=False)
+            strange = unsaid & (b.column("n_grams").to_numpy() > 0)
+            place = lambda k, none: pa.array([None if x else names[i] for i, x in zip(k, none.tolist(), strict=True)], pa.string())
+            yield pa.RecordBatch.from_pydict({
+                "payload": b.column("payload"), "lang": place(post.argmax(axis=1).tolist(), unsaid),
+                "posterior": pa.array(np.where(strange, 0.0, sure)), "text_lang": place(ll.argmax(axis=1).tolist(), unsaid),
+                "accepted": b.column("accepted")})
+
+    out = fused.select("payload", "n_grams", "accepted", "vote", "ll", "by_host", "by_suffix", "by_declared").mapInArrow(
+        run, T.StructType([rows.schema["payload"], *T.StructType.fromDDL(
+            "lang string, posterior double, text_lang string, accepted boolean").fields]))
+    return out.withColumn("posterior", F.round("posterior", 6))
 
 
 def padded(text: Column) -> Column:
@@ -206,25 +301,35 @@ def rows_of(df: DataFrame, payload: list[Column], text: Column, address: Column,
                      host_of(address).alias("host"), declared_in(raw).alias("declared"))
 
 
-def identify(rows: DataFrame, names: list[str], logp: np.ndarray) -> DataFrame:
+def identify(rows: DataFrame, names: list[str], models: Models) -> DataFrame:
     """One row per row of ``rows``: payload, lang, posterior, text_lang (what
     the text alone says) and accepted.
 
     A text without letters (null, empty, digits) has no language and isn't
-    accepted; nor is one of LEAST_TRIGRAMS or more that every model explains
-    worse than an even spread would.  A text of two languages is accepted, its
-    posterior tells how sure the first is.  Null addresses share one host.
+    accepted; nor is one of LEAST_LETTERS or more that are as evenly frequent
+    as no written language has them.  One of LEAST_TRIGRAMS or more that every
+    model explains worse than an even spread would is of a language without
+    labels: lang and text_lang are null, posterior is 0, and it is accepted.
+    A text of two languages is accepted, its posterior tells how sure the
+    first is.  Null addresses share one host.
     """
     session(rows)
-    return fuse(stash(add_likelihoods(rows, logp), "lang-rows"), names)
+    return fuse(stash(add_likelihoods(rows, models), "lang-rows"), names)
 
 
-def accepted_rows(docs: DataFrame, text_col: str = "text", address_col: str = "source", label_col: str = "lang") -> DataFrame:
-    """The rows of ``docs`` that ``identify`` accepts, with models counted on
-    them.  Acceptance rests on the text alone, so nothing is shuffled but the
-    models' counts."""
+def accepted_rows(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``identify`` accepts.  Acceptance rests on the
+    text alone, so there are no models to count and nothing is shuffled."""
     session(docs)
-    _, logp = text_models(docs.select(docs[text_col].alias("text"), docs[label_col].alias("lang")), "lang")
-    whole = [F.struct(*(named(docs, c).alias(c) for c in docs.columns)).alias("row")]
-    rows = add_likelihoods(rows_of(docs, whole, docs[text_col], docs[address_col], False), logp)
-    return rows.filter(readable()).select("payload.row.*")
+    whole = F.struct(*(named(docs, c).alias(c) for c in docs.columns)).alias("row")
+    rows = docs.select(whole, padded(text_or_empty(docs[text_col])).alias("text"))
+
+    def run(batches):
+        for b in batches:
+            data, off = byte_view(b.column("text"))
+            keep = [np.zeros(0, bool)]
+            for i, j in slices(np.diff(off), 1 << 20):
+                part, at = data[off[i]:off[j]], off[i:j + 1] - off[i]
+                keep.append(readable(part, at, np.diff(trigrams(part, at)[1])))
+            yield pa.RecordBatch.from_arrays([b.column("row").filter(pa.array(np.concatenate(keep)))], names=["row"])
+    return rows.mapInArrow(run, T.StructType([rows.schema["row"]])).select("row.*")

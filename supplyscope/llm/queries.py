@@ -100,8 +100,8 @@ def op10_language_id(spark, sf_dir):
     from supplyscope.llm import language
     from supplyscope.llm.quality import held_out
     docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
-    names, logp = language.text_models(docs.filter(~held_out(docs["doc_id"])).select("text", "lang"), "lang")
+    names, models = language.text_models(docs.filter(~held_out(docs["doc_id"])).select("text", "lang"), "lang")
     none = F.lit(None).cast("long")
     rows = language.rows_of(docs, [docs["doc_id"], none.alias("page_id")], docs["text"], docs["source"], False).unionByName(
         language.rows_of(pages, [none.alias("doc_id"), pages["page_id"]], pages["html"], pages["url"], True))
-    return language.identify(rows, names, logp).select("payload.*", "lang", "posterior", "text_lang", "accepted")
+    return language.identify(rows, names, models).select("payload.*", "lang", "posterior", "text_lang", "accepted")

@@ -212,3 +212,37 @@ def test_language_fuses_markup_and_host(spark):
     got = {r.payload.page_id: r for r in out.collect()}
     assert got[0].lang == "de" and got[100].lang == "de" and got[102].lang is None
     assert language.rows_of(df, [df["page_id"]], df["html"], df["url"], True).filter("payload.page_id = 101").first().declared == "fr"
+
+
+FINNISH = ("kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki ja omatunto "
+           "ja heidän on toimittava toisiaan kohtaan veljeyden hengessä ")
+RUSSIAN = "все люди рождаются свободными и равными в своем достоинстве и правах они наделены разумом и совестью "
+
+
+def test_language_models_every_label(spark):
+    """The least of 140 labels is named, whatever the models a task holds."""
+    rng = np.random.default_rng(2)
+    words = ["".join(chr(97 + c) for c in rng.integers(0, 26, 9)) for _ in range(140 * 6)]
+    train = [(" ".join(words[6 * k:6 * k + 6]), f"l{k:03}") for k in range(140) for _ in range(2 if k < 139 else 1)]
+    df = spark.createDataFrame(train, "text string, lang string")
+    docs = df.selectExpr("monotonically_increasing_id() doc_id", "*", "concat('http://', lang, '.x/') source")
+    got = []
+    for block in (256, 50):
+        names, models = language.text_models(df, "lang", block=block)
+        assert len(names) == 140
+        out = language.identify(language.rows_of(docs, [docs["lang"].alias("said")], docs["text"], docs["source"], False), names, models)
+        assert all(r.lang == r.text_lang == r.payload.said for r in out.collect())
+        got.append(rows(out))
+    assert got[0] == got[1]
+
+
+def test_language_keeps_texts_of_languages_without_labels(spark):
+    noise = "".join(chr(97 + c) for c in np.random.default_rng(4).integers(0, 26, 3000))
+    known = [(i, t * 3, lang, None) for i, (t, lang) in enumerate([("the text is in this language it ", "en"), ("das ist der text ", "de")])]
+    more = [(10, FINNISH * 9, None, None), (11, RUSSIAN * 9, None, None), (12, FINNISH, None, None), (13, noise, None, None), (14, "12 34", None, None)]
+    df = spark.createDataFrame(known + more, "doc_id long, text string, lang string, source string")
+    assert sorted(r.doc_id for r in language.accepted_rows(df).collect()) == [0, 1, 10, 11, 12]
+    names, models = language.text_models(df, "lang")
+    out = language.identify(language.rows_of(df, [df["doc_id"]], df["text"], df["source"], False), names, models).collect()
+    assert {r.payload.doc_id: (r.lang, r.accepted) for r in out} == {
+        0: ("en", True), 1: ("de", True), 10: (None, True), 11: (None, True), 12: (None, True), 13: (None, False), 14: (None, False)}
