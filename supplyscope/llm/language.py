@@ -129,8 +129,18 @@ def suffix_of(host: Column) -> Column:
 
 
 def declared_in(markup: Column) -> Column:
-    """The primary subtag that the first html tag declares, else empty."""
-    return F.lower(F.regexp_extract(F.substring(markup, 1, 4096), r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]{2,3})(?![A-Za-z])", 1))
+    """The primary subtag that the first html tag declares, else empty.
+
+    The whole markup is searched.  A tag in a comment counts only if there is
+    none outside; a comment that isn't closed runs to the end."""
+    def attributes(col: Column) -> Column:
+        # never fails once it has begun to match, so one scan is linear
+        return F.regexp_extract(col, r"(?i)<html\b([^>]*+)", 1)
+
+    bare = F.regexp_replace(markup, r"(?s)<!--.*?(?:-->|\z)", " ")
+    tag = F.when(bare.rlike(r"(?i)<html\b"), attributes(bare)).otherwise(attributes(markup))
+    lang = F.regexp_extract(tag, r"(?i)\blang\s*=\s*[\"']?([A-Za-z]{2,3})(?![A-Za-z])", 1)
+    return F.when(markup.rlike(r"(?i)<html\b"), F.lower(lang)).otherwise("")
 
 
 def visible(markup: Column) -> Column:

@@ -246,3 +246,13 @@ def test_language_keeps_texts_of_languages_without_labels(spark):
     out = language.identify(language.rows_of(df, [df["doc_id"]], df["text"], df["source"], False), names, models).collect()
     assert {r.payload.doc_id: (r.lang, r.accepted) for r in out} == {
         0: ("en", True), 1: ("de", True), 10: (None, True), 11: (None, True), 12: (None, True), 13: (None, False), 14: (None, False)}
+
+
+def test_language_declared_anywhere_in_the_markup(spark):
+    fill = "x " * 2500
+    pages = {f"<!-- {fill} --><html lang=de>": "de", f"<!-- <html lang=en> {fill} -->\n<!DOCTYPE html><HTML class='a' Lang='fr-CA'>": "fr",
+             " " * 9000 + '<html lang="es">': "es", "<html><p><html lang=de>": "", "<!-- open <html lang=it>" + fill: "it",
+             "<!-- open " * 20_000 + "<html " * 20_000: "", "<html dir=ltr>" + fill + "lang=de": "", "no markup lang=de": ""}
+    df = spark.createDataFrame(list(enumerate(pages)), "page_id long, html string")
+    got = df.select("page_id", language.declared_in(df["html"]).alias("d")).orderBy("page_id").collect()
+    assert [r.d for r in got] == list(pages.values())
