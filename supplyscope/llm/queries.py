@@ -95,12 +95,11 @@ def op9_secrets(spark, sf_dir):
 
 @query("op10_language_id")
 def op10_language_id(spark, sf_dir):
-    """Documents and web pages; the models are counted over all documents
-    that op1's rule doesn't hold out."""
+    """Documents and web pages; the models are counted over all labelled
+    documents."""
     from supplyscope.llm import language
-    from supplyscope.llm.quality import held_out
     docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
-    names, models = language.text_models(docs.filter(~held_out(docs["doc_id"])).select("text", "lang"), "lang")
+    names, models = language.text_models(docs.select("text", "lang"), "lang")
     none = F.lit(None).cast("long")
     rows = language.rows_of(docs, [docs["doc_id"], none.alias("page_id")], docs["text"], docs["source"], False).unionByName(
         language.rows_of(pages, [none.alias("doc_id"), pages["page_id"]], pages["html"], pages["url"], True))

@@ -256,3 +256,14 @@ def test_language_declared_anywhere_in_the_markup(spark):
     df = spark.createDataFrame(list(enumerate(pages)), "page_id long, html string")
     got = df.select("page_id", language.declared_in(df["html"]).alias("d")).orderBy("page_id").collect()
     assert [r.d for r in got] == list(pages.values())
+
+
+def test_language_query_counts_every_labelled_document(spark, tmp_path):
+    """A language found only in rows that op1 holds out has a model."""
+    from supplyscope.llm.queries import QUERIES
+    held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 4 == 2][:5]
+    docs = [(i, "the text is in this language it ", "en", "a") for i in range(200) if i not in held] + [(i, FINNISH, "fi", "b") for i in held]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "http://a.fi/", f"<p>{FINNISH}</p>")], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    out = QUERIES["op10_language_id"](spark, str(tmp_path)).collect()
+    assert {r.lang for r in out if r.doc_id in held or r.page_id == 1} == {"fi"} and all(r.accepted for r in out)
