@@ -43,6 +43,39 @@ def test_pii_confirms_accounts_and_scores_context(spark):
     assert "BatchEvalPython" not in pii.pii_spans(df)._jdf.queryExecution().toString()
 
 
+def account(country, rest):
+    """An account number with the right check digits."""
+    turned = "".join(str(int(c, 36)) for c in rest + country)
+    return f"{country}{98 - int(turned + '00') % 97:02}{rest}"
+
+
+def test_pii_accounts_before_other_words(spark):
+    de, spaced, gb, other = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", account("QQ", "1234567890ABCDE")
+    cases = [("IBAN ", [de], " Please pay"), ("", [spaced], " Bank"), ("IBAN ", [de], " BIC COBADEFF"), ("", [de, gb], " AND 12 MORE"),
+             ("", [spaced, spaced, de], " 3000"), ("X ", [other], " Z"), ("to ", [other], ""), ("ab ", [gb], ", " + de[:-1] + "1"),
+             ("é😀 ", [de], "\n"), ("AB12 ", [spaced], " X"), ("", [account("MT", "MALT01100" + "0012345MTLCAST001S")], " Next"),
+             ("", [account("GB", "AB12" + "34567890123456")[:4] + " AB12 3456 7890 1234 56"], " DE"), ("xx", [], de), ("", [], de + "x"),
+             ("", [], de[:-1] + " 0 Q"), ("IBAN " + "AB12 " * 3000, [de], " Please")]
+    texts, want = [], []
+    for before, numbers, after in cases:
+        at, spans = len(before), []
+        for n in numbers:
+            spans.append(f"iban:{at}:{at + len(n)}")
+            at += len(n) + 1
+        texts.append(before + " ".join(numbers) + after)
+        want.append(spans)
+    want[-2] = [f"iban:0:{len(cases[-2][2]) - 2}"]
+    got = pii.pii_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    got = {r.doc_id: ([x for x in r.spans.split(",") if x.startswith("iban")], r.n_iban) for r in got}
+    assert got == {i: (w, len(w)) for i, w in enumerate(want)}
+
+
+def test_pii_account_context_is_not_another_number(spark):
+    text = "IBAN GB82 WEST 1234 5698 7654 32 or so DE89370400440532013000"
+    r = pii.pii_spans(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert r.scored == "iban:5:32:1.0,iban:39:61:0.9"
+
+
 def test_pii_empty(no_docs):
     assert pii.pii_spans(no_docs).collect() == []
 
