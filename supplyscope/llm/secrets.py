@@ -3,7 +3,10 @@
 Plain patterns give the base spans.  On top, strings that may hold encoded
 key material are decoded (base64, base64url, hex) and reported only if the
 bytes parse: ASN.1 DER with nested lengths that fit, SSH wire fields that
-fill the blob, or a signed token whose header names its algorithm.
+fill the blob, or a signed token whose header names its algorithm.  PEM bodies
+may have escaped line ends, as in JSON.  A run that decodes to no key as a whole
+(a path, a name and a key joined by _, - or /) is searched for the places where
+encoded keys begin.
 """
 
 from __future__ import annotations
@@ -29,7 +32,19 @@ LEAST_ASSIGN, LEAST_ACCESS, LEAST_HEX = 6, 20, 24
 KINDS = ("assign", "access", "hex", "jwt", "ssh", "der")
 ORDER = {k: i for i, k in enumerate(KINDS)}
 ENCODED = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
-PEM = re.compile(r"-----BEGIN [A-Z0-9 ]+-----([A-Za-z0-9+/=\s]+)-----END [A-Z0-9 ]+-----")
+PEM = re.compile(r"-----BEGIN [A-Z0-9 ]+-----([A-Za-z0-9+/=\s\\]+)-----END [A-Z0-9 ]+-----")
+#: What stands between the base64 of a PEM body: white space, plain or escaped
+#: (once or more often), and the backslash of an escaped slash.
+BETWEEN = re.compile(r"\\+[nrt]?|\s")
+#: How base64 of a DER sequence, of SSH wire fields and of an OpenSSH key begins.
+BEGIN = re.compile(r"(?=M[A-P]|AAAA[A-P][GHWXmn23]|b3BlbnNzaC)")
+HEX_RUN = re.compile(r"(?<![0-9a-fA-F])30[0-9a-fA-F]{38,}")
+#: Characters of base64 that show a key's outer lengths and algorithm.
+GLANCE = 64
+#: Least bytes of a key within a run, as ENCODED's least length, and the tags
+#: that keys and certificates are made of; chance meets plain lengths too often.
+LEAST_INNER = 30
+TAGS = frozenset([1, 2, 3, 4, 5, 6, 10, 12, 18, 19, 20, 22, 23, 24, 30, 0x30, 0x31, *range(0xA0, 0xA4), *range(0x80, 0x84)])
 JWT = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
 #: Hex digits as "h", all else as a space: a fast test for a long hex run.
 HEX_BYTES = bytes(104 if chr(c) in "0123456789abcdef" else 32 for c in range(256))
@@ -112,6 +127,71 @@ def key_kind(blob: bytes) -> str | None:
     return None
 
 
+def inner_der(blob: bytes) -> bool:
+    """Whether ``blob`` is DER of a key's tags, an integer or sequence first."""
+    def usual(b: bytes) -> bool:
+        i = 0
+        while i + 2 <= len(b):
+            tag, n, i = b[i], b[i + 1], i + 2
+            if n >= 0x80:
+                width = n & 0x7F
+                n, i = int.from_bytes(b[i:i + width], "big"), i + width
+            if tag not in TAGS or tag & 0x20 and not usual(b[i:i + n]):
+                return False
+            i += n
+        return True
+    if len(blob) < LEAST_INNER or key_kind(blob) != "der":
+        return False
+    return blob[2 + (blob[1] & 0x7F if blob[1] >= 0x80 else 0)] in (0x02, 0x30) and usual(blob)
+
+
+def der_size(head: bytes) -> int:
+    """Bytes that the DER sequence at the start of ``head`` says it has, 0 if
+    that isn't one, or if the elements that open one another at its start
+    don't fit."""
+    i, end, depth, size = 0, 1 << 40, 0, 0
+    while i + 6 <= len(head):
+        tag, n, i = head[i], head[i + 1], i + 2
+        if n >= 0x80:
+            width = n & 0x7F
+            if not 1 <= width <= 4 or head[i] == 0:
+                return 0
+            n, i = int.from_bytes(head[i:i + width], "big"), i + width
+        if i + n > end or depth > 12 or depth == 0 and tag != 0x30:
+            return 0
+        end, depth, size = i + n, depth + 1, size or i + n
+        if not tag & 0x20:
+            break
+    return size
+
+
+def inner_keys(s: str) -> list[tuple[str, int, int]]:
+    """Keys that begin within an encoded run: DER as long as it says, SSH
+    fields up to the run's end."""
+    out, done = [], 0
+    for m in HEX_RUN.finditer(s):
+        size = 2 * der_size(bytes.fromhex(m[0][:min(GLANCE, len(m[0]) // 2 * 2)]))
+        if 0 < size <= len(m[0]) and inner_der(bytes.fromhex(m[0][:size])):
+            out.append(("der", m.start(), m.start() + size))
+    for m in BEGIN.finditer(s):
+        a = m.start()
+        if a < done or any(x <= a < y for _, x, y in out):
+            continue
+        head = s[a:a + GLANCE]
+        head = decoded(head[:len(head) // 4 * 4])
+        if s[a] == "M":
+            size = der_size(head)
+            b = a + -(-size * 4 // 3)
+            if size and b <= len(s) and inner_der(decoded(s[a:b])):
+                done = b + len(re.match("={0,2}", s[b:b + 2])[0])
+                out.append(("der", a, done))
+        elif head.startswith(b"openssh-key-v1\0") or re.match(rb"ssh-|ecdsa-|sk-", head[4:]):
+            if key_kind(decoded(s[a:])) == "ssh":
+                done = len(s)
+                out.append(("ssh", a, done))
+    return out
+
+
 def base_spans(text: str, low: str, raw: bytes) -> list[tuple[str, int, int]]:
     out = []
     if any(k in low for k in ("passw", "secret", "token", "api")):
@@ -130,7 +210,7 @@ def confirmed_spans(text: str, raw: bytes) -> list[tuple[str, int, int]]:
         out += [("jwt", m.start(), m.end()) for m in JWT.finditer(text) if signed_token(m[0])]
     if "-----BEGIN " in text:
         for m in PEM.finditer(text):
-            if kind := key_kind(decoded(m[1])):
+            if kind := key_kind(decoded(BETWEEN.sub("", m[1]))):
                 out.append((kind, m.start(), m.end()))
     if b"h" * 40 in raw.translate(CODE_BYTES):
         taken = [(a, b) for _, a, b in out]
@@ -141,6 +221,8 @@ def confirmed_spans(text: str, raw: bytes) -> list[tuple[str, int, int]]:
             blob = bytes.fromhex(s) if len(s) % 2 == 0 and re.fullmatch(r"[0-9a-fA-F]+", s) else decoded(s)
             if kind := key_kind(blob):
                 out.append((kind, m.start(), m.end()))
+            else:
+                out += [(k, m.start() + a, m.start() + b) for k, a, b in inner_keys(s)]
     return out
 
 

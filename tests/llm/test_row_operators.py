@@ -2,6 +2,7 @@
 
 import base64
 import json
+import random
 import struct
 
 import brute
@@ -136,6 +137,36 @@ def test_secrets_confirm_structure(spark):
         0: ["der"], 1: ["ssh"], 2: ["jwt"], 3: [], 4: [], 5: ["der"], 6: [], 7: ["der"]}
 
 
+def test_secrets_confirm_escaped_and_joined_keys(spark):
+    rng = random.Random(7)
+    integer = b"\x02\x40" + b"\x11" + rng.randbytes(63)
+    der = b"\x30\x82" + (5 * len(integer)).to_bytes(2, "big") + integer * 5
+    short = b"\x30\x24" + (b"\x02\x10" + b"\x21" * 16) * 2
+    wire = b"".join(struct.pack(">I", len(x)) + x for x in (b"ssh-ed25519", b"\7" * 32))
+    openssh = b"openssh-key-v1\0" + b"\0\0\0\4none" * 9
+    lines = base64.encodebytes(der).decode().split()
+    pem = lambda eol: "-----BEGIN PRIVATE KEY-----" + eol + eol.join(lines) + eol + "-----END PRIVATE KEY-----"
+    key, small, ssh, new = (base64.b64encode(x).decode() for x in (der, short, wire, openssh))
+    url = base64.urlsafe_b64encode(der).decode().rstrip("=")
+    cases = [('{"k": "', pem("\\n"), '"}', "der"), ('K="', pem("\\r\\n"), '"', "der"), ("x ", pem("\\\\n"), "", "der"),
+             ("", pem("\\n").replace("/", "\\/"), "", "der"), ("private_key_", key, " end", "der"), ("/etc/keys/", key, "", "der"),
+             ("a-b-", url, "_more-words", "der"), *(("MY/", small.rstrip("="), "-" * n, "der") for n in range(1, 6)), ("x=MIMIMI_", small, "", "der"), ("MY_", ssh, "", "ssh"), ("n", new, " ", "ssh"),
+             ("key_", der.hex(), "_", "der"), ("é😀 \\n", key, "", "der")]
+    df = spark.createDataFrame([(i, a + b + c) for i, (a, b, c, _) in enumerate(cases)], "doc_id long, text string")
+    for r in secrets.secret_spans(df).collect():
+        a, b, _, kind = cases[r.doc_id]
+        assert [x for x in r.spans.split(",") if x.split(":")[0] in ("der", "ssh")] == [f"{kind}:{len(a)}:{len(a) + len(b)}"], cases[r.doc_id]
+        assert r.n_confirmed == 1
+
+
+def test_secrets_of_noise_have_no_keys():
+    rng = random.Random(5)
+    texts = [base64.b64encode(rng.randbytes(200_000)).decode(), "MI" * 100_000, "AAAA" * 50_000, "3080" * 50_000, "b3BlbnNzaA" * 1000,
+             "-----BEGIN X-----" + "\\" * 50_000, "MIIE" * 50_000,
+             "x_" + "30" * 20 + "3_"]
+    assert [secrets.confirmed_spans(t, t.encode()) for t in texts] == [[]] * len(texts)
+
+
 def test_secrets_empty(no_docs):
     assert secrets.secret_spans(no_docs).collect() == []
 
