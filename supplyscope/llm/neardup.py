@@ -1,11 +1,13 @@
-"""N-gram Jaccard join by a MinHash LSH forest (operator 6).
-
-Each distinct shingle set gets a signature, cut into labels of ``TREES`` prefix
-trees of ``DEPTH`` values each.  Starting from whole labels, matched prefixes
-are shortened until a pair at the threshold is found with the target
-probability; pairs that share a prefix of that depth in any tree are
-candidates.  A tree's prefix group (a trie node) is cut into blocks, so a huge
-one is spread over many tasks.
+"""N-gram Jaccard join by MinHash LSH banding (operator 6).
+
+Each distinct shingle set gets a signature, cut into ``TREES`` bands of
+``DEPTH`` values each.  Bands are matched at one fixed depth, the greatest at
+which a pair at the threshold is found with the target probability, known
+before any data is seen; the values beyond it serve only the estimate of
+similarity.  This replaces an LSH forest: as all pairs are wanted, the prefixes
+of a forest would be shortened to that depth for every row, with the same
+candidates.  A band's prefix group is cut into blocks, so a huge one is spread
+over many tasks.
 
 Candidates that their signatures show to be too unlike are left out, the rest
 form families (components).  All pairs of a family are verified exactly on
