@@ -1,9 +1,11 @@
 """Removal of repeated byte strings by a difference cover and blockwise
-sorting of suffixes (operator 4).
+grouping of fingerprints (operator 4).
 
 A byte goes if a string of ``LENGTH`` bytes over it also starts elsewhere.
 Only the first LENGTH bytes of a suffix matter and only whether two are equal,
-so a suffix is ranked by a name of its window.
+so a suffix is known by a fingerprint (name) of its window.  Grouping by names
+replaces the sorting of suffixes: no suffix order is built, cover samples only
+prune and don't rank, and bytes are never compared.
 
 1. Cover sample.  Positions whose remainder modulo V is in a difference cover
    D are sampled: for any two positions some shift below V brings both into
@@ -24,7 +26,8 @@ their number follows the data, so a task's memory is bounded.
 
 Names are fingerprints whose width follows the data: wide enough in step 1
 that false ties (which cost only work) are rare, and in step 2 that one false
-tie anywhere has a probability below 2^-26.
+tie anywhere has a probability below 2^-26 if at most a quarter of the bytes
+start a suffix that is still open, and below 2^-22 if all do.
 """
 
 from __future__ import annotations
