@@ -104,3 +104,9 @@ def op10_language_id(spark, sf_dir):
     rows = language.rows_of(docs, [docs["doc_id"], none.alias("page_id")], docs["text"], docs["source"], False).unionByName(
         language.rows_of(pages, [none.alias("doc_id"), pages["page_id"]], pages["html"], pages["url"], True))
     return language.identify(rows, names, models).select("payload.*", "lang", "posterior", "text_lang", "accepted")
+
+
+@query("op12_spelling")
+def op12_spelling(spark, sf_dir):
+    from supplyscope.llm.spelling import spelling_groups
+    return spelling_groups(table(spark, sf_dir, "documents"), typo_every=97)

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import zlib
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 AZ = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -125,3 +126,40 @@ def targets(size_of, share=1.5, cap=2.0):
             left -= out[n]
             free.discard(n)
     return out
+
+
+def one_edit(a, b):
+    """Whether two words differ by exactly one inserted, deleted or replaced letter."""
+    a, b = sorted((a, b), key=len)
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    return len(b) - len(a) == 1 and any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+
+def spelling(docs, typo_every=97, min_length=5, min_count=3):
+    """(word, form, root, n, n_near, form_n) by comparing all words."""
+    counts = collections.Counter()
+    for d, t in docs:
+        for w in re.findall("[A-Za-zÀ-ÿ]+", t or ""):
+            w = w.translate(AZ)
+            h = zlib.crc32(f"{'' if d is None else d}:{w}".encode())
+            if typo_every and h % typo_every == 0:
+                w = w[:h % len(w)] + w[h % len(w) + 1:]
+            counts[w] += 1
+    n = {w: c for w, c in counts.items() if len(w) >= min_length and c >= min_count}
+    at = collections.defaultdict(set)
+    for w in n:
+        for x in [w, *(w[:i] + w[i + 1:] for i in range(len(w)))]:
+            at[x].add(w)
+    near = {w: {v for x in [w, *(w[:i] + w[i + 1:] for i in range(len(w)))] for v in at[x] if one_edit(w, v)} for w in n}
+    form = {}
+    for w, c in n.items():
+        best = min(near[w], key=lambda v: (-n[v], v), default=None)
+        form[w] = best if best and n[best] >= 2 * c else None
+    out = []
+    for w, c in n.items():
+        root = w
+        while form[root]:
+            root = form[root]
+        out.append((w, form[w], root, c, len(near[w]), n[form[w]] if form[w] else None))
+    return out
