@@ -110,3 +110,11 @@ def op10_language_id(spark, sf_dir):
 def op12_spelling(spark, sf_dir):
     from supplyscope.llm.spelling import spelling_groups
     return spelling_groups(table(spark, sf_dir, "documents"), typo_every=97)
+
+
+@query("op13_hard_negatives")
+def op13_hard_negatives(spark, sf_dir):
+    from supplyscope.llm.negatives import hard_negatives
+    rows, name = table(spark, sf_dir, "embeddings"), F.col("vec_id")
+    rows = rows.withColumn("label", F.when(name % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives(rows, rows["vec_id"] % 100 == 0)

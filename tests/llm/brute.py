@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import re
 import zlib
 
@@ -163,3 +164,23 @@ def spelling(docs, typo_every=97, min_length=5, min_count=3):
             root = form[root]
         out.append((w, form[w], root, c, len(near[w]), n[form[w]] if form[w] else None))
     return out
+
+
+def hard_negatives(rows, anchor, scale=256, positives=5, negatives=5):
+    """(anchor, positive, rank, negative, positive score, negative score) of
+    (id, vector, label) rows by scoring all pairs."""
+    def usable(v, label):
+        return label is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
+    ready = [(i, [math.floor(scale * float(x)) for x in v], label) for i, v, label in rows if usable(v, label)]
+
+    def order(x):
+        return -x[0], x[1] is None, x[1] or 0
+    out = []
+    for a, (i, v, label) in enumerate(ready):
+        if not anchor(i):
+            continue
+        scored = [(sum(x * y for x, y in zip(v, w)), j, m == label) for b, (j, w, m) in enumerate(ready) if a != b]
+        for s, p, _ in sorted((x for x in scored if x[2]), key=order)[:positives]:
+            hard = sorted((x for x in scored if not x[2] and 80 * s <= 100 * x[0] <= 100 * s), key=order)[:negatives]
+            out += [(i, p, r, j, s, t) for r, (t, j, _) in enumerate(hard, 1)]
+    return out
