@@ -118,3 +118,10 @@ def op13_hard_negatives(spark, sf_dir):
     rows, name = table(spark, sf_dir, "embeddings"), F.col("vec_id")
     rows = rows.withColumn("label", F.when(name % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
     return hard_negatives(rows, rows["vec_id"] % 100 == 0)
+
+
+@query("op11_sentencepiece")
+def op11_sentencepiece(spark, sf_dir):
+    from supplyscope.llm.pieces import decode, encode
+    model = tokenizer_model()
+    return decode(encode(table(spark, sf_dir, "documents"), model), model, digests=True)
