@@ -72,13 +72,14 @@ def counted(typo_every: int | None):
             for name, i, j in zip(b.column(0).to_pylist(), ends, ends[1:]):
                 seed = crc32(f"{'' if name is None else name}:".encode())
                 for piece in pieces(low[i:j].decode()):
-                    found = Counter(RUN.findall(piece))
+                    runs = RUN.findall(piece)
+                    total.update(runs)
                     if typo_every:
-                        for w in [w for w in found if not crc32(w.encode(), seed) % typo_every]:
+                        odd = {w for w in set(runs) if not crc32(w.encode(), seed) % typo_every}
+                        for w, n in Counter(w for w in runs if w in odd).items() if odd else ():
                             at = crc32(w.encode(), seed) % len(w)
-                            total[w[:at] + w[at + 1:]] += found.pop(w)
-                    for w, n in found.items():
-                        total[w] += n
+                            total[w] -= n
+                            total[w[:at] + w[at + 1:]] += n
                     if len(total) > HELD:
                         yield flush()
         yield flush()
@@ -131,38 +132,58 @@ def start(words: DataFrame, depth: int) -> DataFrame:
 
 def step(states: DataFrame) -> DataFrame:
     """One level: each state along the edges that it can take.  A row with
-    ``other`` is a pair of neighbours, the others are the next level's states."""
+    ``other`` is a pair of neighbours, the others are the next level's states.
+
+    What a pair of state and edge is tested by is computed before the join, so
+    that pairs which don't fit are dropped inside it."""
     depth, pos, size, s = (F.col(c) for c in ("depth", "pos", "size", "s"))
-    letter, lo, deep, words = (F.col(c) for c in ("letter", "lo", "deep", "words"))
+    letter, lo, deep, words, label, left = (F.col(c) for c in ("letter", "lo", "deep", "words", "label", "left"))
     path = states.where("edits = 0").select("back", "id", "n", "s", "node", "depth")
     edges = edges_of(path, ["back", "node", "depth"], F.substring("s", depth + 1, F.lit(1)))
-    both = merge_join(states, edges.drop("depth"), ["back", "node"])
+    # an edge's letters after the first
+    edges = edges.withColumns({"label": F.substring(lo, depth + 2, deep - depth - 1), "left": F.greatest(deep - depth - 1, F.lit(0))}).drop("depth")
 
     def at(i: Column) -> Column:
         return F.substring(s, i + 1, F.lit(1))
 
-    def taken(when: Column, at_word: Column, at_edge: Column) -> Column:
-        """The state after an edge whose letters from ``at_edge`` on must be the
-        word's from ``at_word`` on, and at a single word all the rest."""
-        left, label = size - at_word, deep - at_edge
-        fits = F.when(words == 1, left == label).otherwise(left >= label)
-        same = F.startswith(F.substring(s, at_word + 1, size), F.substring(lo, at_edge + 1, label))
-        return F.when(when & fits & same, F.struct(F.lit(1).alias("edits"), (at_word + label).alias("pos")))
-
-    own, may = at(depth), (F.col("edits") == 0) & (depth >= F.col("least"))
+    def rest(i: Column) -> Column:
+        return F.substring(s, i + 1, size)
+
+    edited = F.col("edits") == 1
+    states = states.withColumns({
+        # the word's next letter on its path, or after its edit, and the letter that follows
+        "own": F.when(edited, at(pos)).otherwise(at(depth)), "next": F.when(~edited, at(depth + 1)),
+        "rest": F.when(edited, rest(pos + 1)).otherwise(rest(depth)), "may": ~edited & (depth >= F.col("least"))})
+    own, after, may = F.col("own"), F.col("next"), F.col("may")
+
+    def taken(tail: Column, begin: Column) -> Column:
+        """Whether the word's letters from ``begin`` on, ``tail``, go on as the
+        edge does after its first letter; at a single word they are all the rest."""
+        n = size - begin
+        return F.when(words == 1, n == left).otherwise(n >= left) & F.startswith(tail, label)
+
+    one = F.when(letter == "", 0).otherwise(1)  # a word's end has no letter
+    walk = edited & (letter == own) & taken(F.col("rest"), pos + one)
+    path_on = ~edited & (letter == own) & (words > 1)
     other = may & (letter != own)
-    moves = F.array(
-        F.when((F.col("edits") == 0) & (letter == own) & (words > 1), F.struct(F.lit(0).alias("edits"), deep.alias("pos"))),
-        taken(other & (letter != "") & (own != ""), depth + 1, depth + 1),  # another letter
-        taken(other & (letter != ""), depth, depth + 1),                    # one letter more
-        taken(other & (own != "") & (letter == at(depth + 1)), depth + 1, depth),  # one letter less
-        taken((F.col("edits") == 1) & (letter == at(pos)), pos, depth))
-    moved = both.withColumn("move", F.explode(F.filter(moves, lambda m: m.isNotNull())))
+    changed = other & (letter != "") & (own != "") & taken(rest(depth + 1), depth + 1)
+    more = other & (letter != "") & taken(F.col("rest"), depth)
+    fewer = other & (own != "") & (letter == after) & taken(rest(depth + 2), depth + 1 + one)
+    fits = path_on | walk | (other & (changed | more | fewer))
+    right = edges.withColumnsRenamed({"back": "_back", "node": "_node"}).hint("merge")
+    both = states.join(right, (F.col("back") == F.col("_back")) & (F.col("node") == F.col("_node")) & fits)
+
+    def to(i: Column, when: Column, edits: int) -> Column:
+        return F.when(when, F.struct(F.lit(edits).alias("edits"), (i + left).alias("pos")))
+
+    moves = F.array_compact(F.array(
+        F.when(path_on, F.struct(F.lit(0).alias("edits"), deep.alias("pos"))), to(pos + 1, walk, 1), to(depth + 1, changed, 1),
+        to(depth, more, 1), to(depth + 2, fewer, 1)))
     half = F.floor(size / 2).cast("int")
     # the back trie keeps what the front one can't find: words that differ in their first half
-    missed = ~F.col("back") | ~F.right(s, half).eqNullSafe(F.right(lo, half))
-    found = words == 1
-    return moved.where(~found | missed).select(
+    found, missed = words == 1, ~F.col("back") | ~F.right(s, half).eqNullSafe(F.right(lo, half))
+    moved = both.where(~found | missed).withColumn("move", F.explode(moves))
+    return moved.select(
         "back", "id", "n", "s", "size", "least", F.col("move.pos").alias("pos"), F.col("child").alias("node"),
         deep.alias("depth"), F.col("move.edits").alias("edits"),
         F.when(found, F.when(F.col("back"), F.reverse(lo)).otherwise(lo)).alias("other"),
