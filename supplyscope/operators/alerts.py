@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from supplyscope.functions.columns import dec_text, hash_id, int_text, money_text, nonempty
 from supplyscope.operators.models import mode_late_rates, next_week_forecast, rate_of_mode
+from supplyscope.operators.ranks import first_rows
 from supplyscope.operators.sampling import ITEM_KEY
 
 # Thresholds.
@@ -59,8 +60,10 @@ def fraud_orders(orders: DataFrame) -> DataFrame:
 
 
 def top_fraud_orders(orders: DataFrame, limit: int = 500) -> DataFrame:
-    """TOP1: fraud lines by sales desc (ties in item order), first ``limit``."""
-    return fraud_orders(orders).orderBy(F.col("sales").desc(), F.col("item_seq").asc()).limit(limit)
+    """TOP1: fraud lines by sales desc (ties in item order), first ``limit``;
+    found by thresholds (``first_rows``)."""
+    keys = [-F.col("sales"), F.col("item_seq.order_id"), F.col("item_seq.line_number")]
+    return first_rows(fraud_orders(orders), keys, [F.col("sales").desc(), F.col("item_seq").asc()], limit)
 
 
 def fraud_alerts(orders: DataFrame, run_ts: str) -> DataFrame:

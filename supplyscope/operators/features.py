@@ -42,12 +42,14 @@ def add_discount_amount(df: DataFrame) -> DataFrame:
     return df.withColumn("discount_amount", F.round(amt, 4).cast("double"))
 
 
-def add_high_value(df: DataFrame, q: float = 0.75) -> DataFrame:
+def add_high_value(df: DataFrame, q: float = 0.75, threshold: float | None = None) -> DataFrame:
     """PRJ15: sales >= the q-quantile of sales (linear interpolation).
 
-    The exact quantile is fitted first, its single value sent to every task.
+    The exact quantile is fitted first, unless given as ``threshold``; its
+    single value is sent to every task.
     """
-    return df.withColumn("is_high_value", (F.col("sales") >= exact_quantile(df, "sales", q)).cast("int"))
+    cut = exact_quantile(df, "sales", q) if threshold is None else F.lit(threshold)
+    return df.withColumn("is_high_value", (F.col("sales") >= cut).cast("int"))
 
 
 def row_features(items: DataFrame) -> DataFrame:

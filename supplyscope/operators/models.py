@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from supplyscope.functions.columns import dec_round, hash_id, status_code
-from supplyscope.operators.sampling import ITEM_KEY, hash_unit, train_test_split
+from supplyscope.operators.ranks import first_rows
+from supplyscope.operators.sampling import ITEM_KEY, train_test_split
 from supplyscope.schemas import PREDICTIONS, conform
 
 # Fixed values.
@@ -69,12 +70,13 @@ def delivery_predictions(scored: DataFrame, run_ts: str, prob_col: str = "late_p
                          floor: float = LATE_THRESHOLD, top: int | None = None) -> DataFrame:
     """FLT7 + SNK6 rows: every score >= floor, in the predictions schema.
 
-    ``top`` (TOP3) keeps only the highest scores (ties by item order); stored
-    predictions are never cut."""
+    ``top`` (TOP3) keeps only the highest scores (ties by item order), found by
+    thresholds (``first_rows``); stored predictions are never cut."""
     p = F.col(prob_col)
     best = scored.where(p >= floor)
     if top is not None:
-        best = best.orderBy(p.desc(), F.col("item_seq").asc()).limit(top)
+        keys = [-p, F.col("item_seq.order_id"), F.col("item_seq.line_number")]
+        best = first_rows(best, keys, [p.desc(), F.col("item_seq").asc()], top)
     out = best.select(
         hash_id(F.lit("delivery"), *ITEM_KEY).alias("id"),
         F.lit(run_ts).alias("created_at"),
@@ -96,6 +98,12 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
     return df.withColumn("weight", (n["zero"] + n["one"]) / (k * own))
 
 
+def split_lines(encoded: DataFrame, seed: int = 42) -> DataFrame:
+    """SMP3: lines with every feature and a label, ceil(20 %) of each class
+    with ``is_test`` = 1."""
+    return train_test_split(encoded.dropna(subset=DELIVERY_FEATURES + ["late_delivery_risk"]), 0.2, seed)
+
+
 def train_delivery_forest(encoded: DataFrame, num_trees: int = 100, max_depth: int = 10,
                           seed: int = 42):
     """MLD1: random forest on the training side of the hash split.
@@ -104,8 +112,7 @@ def train_delivery_forest(encoded: DataFrame, num_trees: int = 100, max_depth: i
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import VectorAssembler
 
-    data = encoded.dropna(subset=DELIVERY_FEATURES + ["late_delivery_risk"])
-    data = train_test_split(data, 0.2, seed)
+    data = split_lines(encoded, seed)
     vec = VectorAssembler(inputCols=DELIVERY_FEATURES, outputCol="features")
     train = class_weights(vec.transform(data.where("is_test = 0")), "late_delivery_risk")
     rf = RandomForestClassifier(labelCol="late_delivery_risk", featuresCol="features",
@@ -187,8 +194,8 @@ def inventory_rule_predictions(inventory: DataFrame, run_ts: str) -> DataFrame:
 
 
 def split_products(inventory: DataFrame, seed: int = 42, test_fraction: float = 0.2) -> DataFrame:
-    """Adds ``is_test``: a hash draw by product, about ``test_fraction``."""
-    return inventory.withColumn("is_test", (hash_unit(seed, "product_name") < test_fraction).cast("int"))
+    """Adds ``is_test``: 1 for ceil(``test_fraction`` x n) products, by hash."""
+    return train_test_split(inventory, test_fraction, seed, ("product_name",), None)
 
 
 def train_inventory_tree(inventory: DataFrame, seed: int = 42, max_depth: int = 4):

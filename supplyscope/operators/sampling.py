@@ -7,9 +7,13 @@ number of executors.  ``hash_unit`` gives a uniform value in [0, 1).
 
 from __future__ import annotations
 
+import math
+from fractions import Fraction
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from supplyscope.operators.ranks import BAND
 from supplyscope.sources.tables import ITEM_SEQ_FIELDS
 
 # Key of an order line: the fields of its item_seq struct.
@@ -28,64 +32,119 @@ def hash_unit(seed: int, *cols) -> Column:
     return h.cast("double") / F.lit(float(16 ** 13))
 
 
+def hash_cutoffs(df: DataFrame, draw: Column, wanted, groups=(), band: int = BAND) -> dict[tuple, str]:
+    """For each group its ``k``-th smallest draw (hex text), k = ``wanted``'s
+    value for the group: rows with ``draw <= cutoff`` are its first k.
+
+    ``wanted(counts)`` maps rows per group to k per group; a group that it
+    leaves out, or gives 0, has no cutoff.  Digits are refined three at a time:
+    one aggregate counts the rows of each next prefix, combined map-side, and
+    names the prefix that holds the k-th row, until at most ``band`` rows share
+    it; those are ordered.  So a draw costs a few counts, and no row is
+    shuffled or sorted but the last band's.  Groups (classes, strata) are few."""
+    names = [f"g{i}" for i in range(len(groups))]
+    rows = df.select(*[F.col(g).alias(n) for g, n in zip(groups, names, strict=True)], draw.alias("h"))
+    digits, prefix, left, cutoffs = 3, {}, {}, {}
+
+    def mine(keys) -> Column:
+        """Rows under their group's prefix, for the groups in ``keys``."""
+        hit = F.lit(False)
+        for key in keys:
+            same = F.col("h").startswith(prefix[key])
+            for n, v in zip(names, key, strict=True):
+                same = same & F.col(n).eqNullSafe(F.lit(v))
+            hit = hit | same
+        return hit
+
+    counts = rows.groupBy(*names, F.substring("h", 1, digits).alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
+    total: dict = {}
+    for r in counts:
+        key = tuple(r[n] for n in names)
+        total[key] = total.get(key, 0) + r.n
+    for key, k in wanted(total).items():
+        if k >= total[key] > 0:
+            cutoffs[key] = "g"  # past every hex digit
+        elif k > 0:
+            prefix[key], left[key] = "", k
+    while prefix:
+        small = []
+        for key in prefix:
+            under = sorted((r.p, r.n) for r in counts if tuple(r[n] for n in names) == key)
+            for p, n in under:
+                if left[key] <= n:
+                    prefix[key] = p
+                    if n <= band or digits >= 32:
+                        small.append(key)
+                    break
+                left[key] -= n
+        if small:
+            nth = Window.partitionBy(*names).orderBy("h")
+            ordered = rows.where(mine(small)).withColumn("rank", F.row_number().over(nth))
+            at = F.lit(False)
+            for key in small:
+                same = F.col("rank") == left[key]
+                for n, v in zip(names, key, strict=True):
+                    same = same & F.col(n).eqNullSafe(F.lit(v))
+                at = at | same
+            cutoffs |= {tuple(r[n] for n in names): r.h for r in ordered.where(at).collect()}
+            prefix = {key: p for key, p in prefix.items() if key not in small}
+        if prefix:
+            digits += 3
+            counts = rows.where(mine(prefix)).groupBy(*names, F.substring("h", 1, digits).alias("p")).agg(
+                F.count(F.lit(1)).alias("n")).collect()
+    return cutoffs
+
+
+def below_cutoff(cutoffs: dict[tuple, str], draw: Column, groups=()) -> Column:
+    """Whether a row is among the first of its group."""
+    hit = F.lit(False)
+    for key, cut in cutoffs.items():
+        same = draw <= cut
+        for g, v in zip(groups, key, strict=True):
+            same = same & F.col(g).eqNullSafe(F.lit(v))
+        hit = hit | same
+    return hit
+
+
 def fraud_plus_sample(items: DataFrame, cap: int = 6000, seed: int = 42,
                       key=ITEM_KEY) -> DataFrame:
     """SMP1 + SET1: every fraud row plus exactly min(cap, n) non-fraud rows
-    in hash order.  The cap is a global top-k (TakeOrderedAndProject: a
-    per-partition top-k, then a merge of at most partitions x cap rows)."""
-    flag = F.col("order_status") == "SUSPECTED_FRAUD"
-    draw = hash_key(seed, *key)
-    fraud = items.where(flag)
-    rest = (items.where(~flag).withColumn("_h", draw)
-            .orderBy("_h").limit(cap).drop("_h"))
-    return fraud.unionByName(rest)
+    in hash order: one filter by a cutoff that counting finds."""
+    flag, draw = F.col("order_status") == "SUSPECTED_FRAUD", hash_key(seed, *key)
+    cut = hash_cutoffs(items.where(~flag), draw, lambda n: {k: cap for k in n})
+    return items.where(flag | (~flag & below_cutoff(cut, draw)))
 
 
 def stratified_sample(items: DataFrame, target: int = 4000, seed: int = 42,
-                      stratum: str = "order_status", salt_buckets: int = 64,
-                      key=ITEM_KEY) -> DataFrame:
+                      stratum: str = "order_status", key=ITEM_KEY) -> DataFrame:
     """SMP2: all fraud rows plus, per non-fraud stratum, the first
     min(max(int(share x budget), 10), n) rows in hash order, where
     budget = max(target - fraud, 1000).
 
-    Skew: a stratum may hold a large share of the rows.  The per-stratum
-    top-quota is found in two steps: first within (stratum, salt) buckets,
-    so a hot stratum is spread over ``salt_buckets`` tasks, then over the
-    survivors (at most buckets x quota per stratum).  Exact, because a row in
-    the stratum's top-quota is in its bucket's top-quota.
-    """
-    flag = F.col("order_status") == "SUSPECTED_FRAUD"
-    fraud = items.where(flag)
-    rest = items.where(~flag).withColumn("_h", hash_key(seed, *key))
-    # One aggregate pass gives every count: rows per (stratum, fraud flag);
-    # the totals are a window over that few-row frame.
-    counts = items.groupBy(stratum, flag.alias("_f")).agg(F.count(F.lit(1)).alias("_n"))
-    everything = Window.partitionBy()
-    counts = counts.withColumns({
-        "_nf": F.sum(F.when(F.col("_f"), F.col("_n")).otherwise(0)).over(everything),
-        "_nr": F.sum(F.when(~F.col("_f"), F.col("_n")).otherwise(0)).over(everything)})
-    budget = F.greatest(F.lit(target) - F.col("_nf"), F.lit(1000))
-    quota = counts.where(~F.col("_f")).select(stratum, F.least(
-        F.greatest((F.col("_n") / F.col("_nr") * budget).cast("bigint"), F.lit(10)),
-        F.col("_n")).alias("_quota"))
-    # no quota exceeds this, so Spark keeps so many rows of a bucket at most before it shuffles
-    most = max(target, 1000, 10)
-    salted = rest.withColumn("_salt", F.pmod(F.conv(F.substring("_h", 14, 6), 16, 10).cast("bigint"),
-                                             F.lit(salt_buckets)))
-    w1 = Window.partitionBy(stratum, "_salt").orderBy("_h")
-    step1 = salted.withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= most).join(quota, stratum)
-    w2 = Window.partitionBy(stratum).orderBy("_h")
-    step2 = step1.withColumn("_r2", F.row_number().over(w2)).where(F.col("_r2") <= F.col("_quota"))
-    picked = step2.drop("_h", "_salt", "_quota", "_r1", "_r2")
-    return fraud.unionByName(picked)
+    Quotas come from the first count of ``hash_cutoffs``; the sample is one
+    filter, so a hot stratum costs no more than any other.  Rows without a
+    stratum belong to none."""
+    flag, draw = F.col("order_status") == "SUSPECTED_FRAUD", hash_key(seed, *key)
+    both = items.withColumn("_fraud", flag).where("_fraud IS NOT NULL")
+
+    def quotas(counts):
+        fraud = sum(n for (_, f), n in counts.items() if f)
+        rest = sum(n for (_, f), n in counts.items() if not f)
+        budget = max(target - fraud, 1000)
+        return {(s, f): min(max(int(n / rest * budget), 10), n)
+                for (s, f), n in counts.items() if not f and s is not None}
+
+    cut = hash_cutoffs(both, draw, quotas, (stratum, "_fraud"))
+    return both.where(F.col("_fraud") | below_cutoff(cut, draw, (stratum, "_fraud"))).drop("_fraud")
 
 
 def train_test_split(df: DataFrame, test_fraction: float = 0.2, seed: int = 42,
-                     key=ITEM_KEY) -> DataFrame:
-    """SMP3: adds ``is_test`` (1 for about ``test_fraction`` of the rows).
-
-    Each row is drawn independently from its key hash, so every class is
-    split in the same proportion (stratified in expectation) with no
-    per-class sort; this is how Spark's own ``randomSplit`` scales.
-    """
-    return df.withColumn("is_test", (hash_unit(seed, *key) < test_fraction).cast("int"))
+                     key=ITEM_KEY, label: str | None = "late_delivery_risk") -> DataFrame:
+    """SMP3: adds ``is_test``: 1 for exactly ceil(``test_fraction`` x n) rows of
+    each class of ``label`` (of all rows without one), in hash order.
+
+    Rows that share a key lie on the same side."""
+    groups, draw = (label,) if label else (), hash_key(seed, *key)
+    share = Fraction(str(test_fraction))
+    cut = hash_cutoffs(df, draw, lambda counts: {g: math.ceil(share * n) for g, n in counts.items()}, groups)
+    return df.withColumn("is_test", below_cutoff(cut, draw, groups).cast("int"))

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from supplyscope.operators import clean, encode, features, sampling, tables
-from supplyscope.operators.ranks import exact_quantile
 from supplyscope.plans.context import run_for
 from supplyscope.plans.registry import register
 from supplyscope.plans.sqlparts import (DIRTY, FEAT, INVENTORY, ITEMS, SEQ, SEQ_TEXT, WEEKLY,
@@ -35,6 +34,15 @@ def feats(spark: SparkSession, d: str) -> DataFrame:
     return run_for(spark, d, materialize=False).feats
 
 
+def flagged(spark: SparkSession, d: str) -> DataFrame:
+    """The order lines with the high-value flag."""
+    return run_for(spark, d, materialize=False).flagged
+
+
+def draw_lines(spark: SparkSession, d: str) -> DataFrame:
+    return run_for(spark, d, materialize=False).draw_lines
+
+
 def inventory(spark: SparkSession, d: str) -> DataFrame:
     return run_for(spark, d, materialize=False).inventory
 
@@ -177,16 +185,16 @@ def q_prj28(spark, d):
 SELECT order_id, line_number, part_key, supp_key, {', '.join(FEATURE_COLS)} FROM feat""")
 def q_features(spark, d):
     """PRJ9-15: calendar, season, delay, fraud flag, margin, discount, high value."""
-    return feats(spark, d).select(*KEYS, *FEATURE_COLS)
+    return flagged(spark, d).select(*KEYS, *FEATURE_COLS)
 
 
 @register("prj15_high_value_share", with_(FEAT) + """
 SELECT count(*) AS n, CAST(sum(is_high_value) AS BIGINT) AS high_value,
        (SELECT quantile_cont(sales, 0.75) FROM items) AS p75 FROM feat""")
 def q_prj15(spark, d):
-    f = feats(spark, d)
-    return f.select(F.count(F.lit(1)).alias("n"), F.sum("is_high_value").cast("bigint").alias("high_value")).withColumn(
-        "p75", exact_quantile(f, "sales", 0.75))
+    run = run_for(spark, d, materialize=False)
+    return run.flagged.select(F.count(F.lit(1)).alias("n"), F.sum("is_high_value").cast("bigint").alias("high_value")).withColumn(
+        "p75", F.lit(run.high_value).cast("double"))
 
 
 @register("prj16_label_codes", with_(ITEMS) + """
@@ -267,7 +275,7 @@ orders_t AS (
 
 @register("prj20_orders_table", with_(ORDERS_SQL) + "\nSELECT * FROM orders_t")
 def q_prj20(spark, d):
-    return orders_table(feats(spark, d))
+    return orders_table(flagged(spark, d))
 
 
 @register("prj21_browse_normalise", """
@@ -393,7 +401,7 @@ SELECT order_id, line_number, part_key, supp_key, order_status FROM
   (SELECT * FROM hashed WHERE order_status <> 'SUSPECTED_FRAUD' ORDER BY h LIMIT 6000)""")
 def q_smp1(spark, d):
     """SMP1 + SET1: all fraud rows + 6000 hash-drawn others."""
-    return sampling.fraud_plus_sample(items(spark, d)).select(*KEYS, "order_status")
+    return sampling.fraud_plus_sample(draw_lines(spark, d)).select(*KEYS, "order_status")
 
 
 @register("smp2_stratified_sample", with_(SMP_SQL) + """,
@@ -408,18 +416,17 @@ SELECT order_id, line_number, part_key, supp_key, order_status FROM hashed WHERE
 UNION ALL
 SELECT order_id, line_number, part_key, supp_key, order_status FROM r WHERE rn <= quota""")
 def q_smp2(spark, d):
-    """SMP2 + SET2: stratified sample (salted two-step per-stratum top-k)."""
-    return sampling.stratified_sample(items(spark, d)).select(*KEYS, "order_status")
+    """SMP2 + SET2: stratified sample (a hash cutoff per stratum)."""
+    return sampling.stratified_sample(draw_lines(spark, d)).select(*KEYS, "order_status")
 
 
-@register("smp3_train_test_split", with_(ITEMS) + """
-SELECT late_delivery_risk, CAST(('0x' || substr(md5('42|' || """ + SEQ_TEXT + """), 1, 13))::BIGINT / 4503599627370496.0 < 0.2 AS INTEGER) AS is_test,
-       count(*) AS n
-FROM items GROUP BY 1, 2""")
+@register("smp3_train_test_split", with_(SMP_SQL) + """,
+ranked AS (SELECT *, row_number() OVER (PARTITION BY late_delivery_risk ORDER BY h) AS rn,
+                  count(*) OVER (PARTITION BY late_delivery_risk) AS n FROM hashed)
+SELECT order_id, line_number, part_key, supp_key, late_delivery_risk, CAST(rn <= ceil(n * 0.2) AS INTEGER) AS is_test FROM ranked""")
 def q_smp3(spark, d):
-    """SMP3: hash split, counted per class and side."""
-    s = sampling.train_test_split(items(spark, d))
-    return s.groupBy("late_delivery_risk", "is_test").agg(F.count(F.lit(1)).alias("n"))
+    """SMP3: every line with its side; ceil(0.2 n) test lines of each class."""
+    return sampling.train_test_split(draw_lines(spark, d)).select(*KEYS, "late_delivery_risk", "is_test")
 
 
 # ---------------------------------------------------------------- CSV sources

@@ -55,7 +55,7 @@ SELECT order_id, order_date, product_name, customer_segment, market, order_regio
 FROM fraud_top""")
 def q_top1(spark, d):
     """TOP1 + FLT1: fraud lines by sales desc, first 500."""
-    return alerts.top_fraud_orders(feats(spark, d), 500).select(
+    return alerts.top_fraud_orders(run_for(spark, d).feats, 500).select(
         "order_id", "order_date", "product_name", "customer_segment", "market", "order_region",
         "sales", "delivery_status", "delay_days")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from supplyscope.functions.columns import millions, pct_text, severity_rank
 from supplyscope.operators import alerts as al
 from supplyscope.operators import conflicts, models, reports, tables
-from supplyscope.plans.catalog import feats, inventory, weekly
+from supplyscope.plans.catalog import feats, flagged, inventory, weekly
 from supplyscope.plans.catalog_alerts import A_COLS, agent_alerts, all_alerts, conflict_alerts
 from supplyscope.plans.catalog_models import all_preds
 from supplyscope.plans.registry import register
@@ -259,7 +259,7 @@ SELECT order_id, order_date_s AS order_date, product_name, category, department,
 def q_flt5(spark, d):
     """FLT5 + DQ7: keyword search over the orders table, first 100."""
     from supplyscope.plans.catalog import orders_table
-    return orders_table(reports.search_orders(feats(spark, d), "gizmo", 100))
+    return orders_table(reports.search_orders(flagged(spark, d), "gizmo", 100))
 
 
 @register("top5_newest_predictions", W + """

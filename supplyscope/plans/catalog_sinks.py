@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from supplyscope.operators import quality, sampling, sinks
-from supplyscope.plans.catalog import INV_COLS, feats, inventory, items, weekly
+from supplyscope.plans.catalog import INV_COLS, draw_lines, feats, flagged, inventory, weekly
 from supplyscope.plans.catalog_alerts import A_COLS, agent_alerts, all_alerts, conflict_alerts
 from supplyscope.plans.catalog_models import all_preds
 from supplyscope.plans.registry import register
@@ -88,9 +88,11 @@ def q_snk8e(spark, d):
     return sinks.replace_alert_groups(a, a.limit(0))
 
 
-@register("snk10_resolve_alerts", W + f"""
-SELECT {BASE_COLS.replace('is_resolved', "CASE WHEN id IN (SELECT id FROM all_alerts WHERE category = 'delivery' AND severity = 'CRITICAL') THEN 1 ELSE is_resolved END AS is_resolved")}
-FROM all_alerts""")
+@register("snk10_resolve_alerts", with_(CONFLICTS.replace("all_alerts AS (", "all_alerts AS MATERIALIZED (")) + f""",
+done AS (SELECT DISTINCT id, created_at, 1 AS hit FROM all_alerts WHERE category = 'delivery' AND severity = 'CRITICAL')
+SELECT {', '.join('a.' + c.strip() for c in BASE_COLS.split(',') if c.strip() != 'is_resolved')},
+       CASE WHEN d.hit = 1 THEN 1 ELSE a.is_resolved END AS is_resolved
+FROM all_alerts a LEFT JOIN done d ON a.id = d.id AND a.created_at = d.created_at""")
 def q_snk10(spark, d):
     """SNK10: mark the CRITICAL delivery alerts resolved."""
     a = all_alerts(spark, d)
@@ -115,7 +117,7 @@ SELECT (SELECT count(*) FROM loaded) AS loaded, e AS expected,
        abs((SELECT count(*) FROM loaded) - e) > greatest(50.0, e * 0.05) AS stale FROM e""")
 def q_snk12(spark, d):
     """SNK12: loaded rows (SMP1 sample) against the expected count."""
-    it = items(spark, d)
+    it = draw_lines(spark, d)
     return sinks.freshness(sampling.fraud_plus_sample(it), it)
 
 
@@ -219,4 +221,4 @@ UNION ALL SELECT 'search:miss', count(*) = 0, CAST(count(*) AS VARCHAR) FROM
 UNION ALL SELECT 'search:width', true, '21'""")
 def q_dq7(spark, d):
     """DQ7: search finds a known word, not a nonsense one; 21 columns."""
-    return quality.search_checks(feats(spark, d), "gizmo", "qwxzv")
+    return quality.search_checks(flagged(spark, d), "gizmo", "qwxzv")

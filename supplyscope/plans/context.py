@@ -16,7 +16,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from supplyscope.operators import alerts, conflicts, features, models, tables
-from supplyscope.session import configure, output_root
+from supplyscope.operators.ranks import exact_quantiles
+from supplyscope.session import configure, output_root, written
 from supplyscope.sources import tables as src
 
 RUN_TS = "2026-01-01T00:00:00"
@@ -44,12 +45,27 @@ class Run:
 
     @cached_property
     def feats(self) -> DataFrame:
-        """Featurised order lines.  When materialised, the per-row features
-        are stored and the high-value flag is added on read: its quantile
-        then scans the stored column instead of re-running the joins."""
-        if not self.materialize:
-            return features.featurize(self.items)
-        return features.add_high_value(self.cut(features.row_features(self.items), "order_features"))
+        """Order lines with the per-row features; when materialised, stored.
+        The high-value flag, whose quantile takes jobs of its own, is added by
+        ``flagged`` for those who select it."""
+        return self.cut(features.row_features(self.items), "order_features")
+
+    @cached_property
+    def high_value(self) -> float | None:
+        """PRJ15: the 0.75-quantile of sales.  The column is written once, so
+        the passes over it don't repeat the joins."""
+        return exact_quantiles(written(self.feats.select("sales"), "sales"), ["sales"], 0.75)["sales"]
+
+    @property
+    def flagged(self) -> DataFrame:
+        return features.add_high_value(self.feats, threshold=self.high_value)
+
+    @cached_property
+    def draw_lines(self) -> DataFrame:
+        """The columns that samples and splits draw from, stored: each draw
+        counts and filters them, the lines are joined once."""
+        return written(self.items.select("order_id", "line_number", "part_key", "supp_key", "order_status",
+                                         "late_delivery_risk", "item_seq"), "draw-lines")
 
     @cached_property
     def inventory(self) -> DataFrame:

@@ -45,7 +45,7 @@ def _learned_predictions(store: TableStore, run: Run, root: str, reuse: bool) ->
                     lambda: models.train_delivery_forest(encoded)[0])
     tree = _saved(f"{root}/models/inventory_tree", load(models.load_tree), lambda: models.train_inventory_tree(split))
     store.overwrite("feature_importance", models.feature_importances(run.spark, forest))
-    store.overwrite("delivery_report", models.delivery_held_out(forest, models.train_test_split(encoded, 0.2, 42)))
+    store.overwrite("delivery_report", models.delivery_held_out(forest, models.split_lines(encoded)))
     store.overwrite("inventory_report", models.inventory_held_out(tree, split))
     delivery = models.delivery_predictions(models.score_delivery(forest, encoded), run.run_ts)
     return run.cut(delivery.unionByName(models.inventory_model_predictions(tree, run.inventory, run.run_ts))
@@ -76,7 +76,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str | None = None,
     store.create_tables()
     run = Run(spark, sf_dir, run_ts=run_ts)
 
-    store.overwrite("orders", orders_table(run.feats))
+    store.overwrite("orders", orders_table(run.flagged))
     store.upsert("inventory", run.inventory, ["product_name"])
     store.overwrite("weekly_demand", tables.weekly_table(run.weekly))
     store.overwrite("weekly_demand_features", run.weekly)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # SQL settings the jobs are written against (all runtime-settable, applied
 # to a given session by ``configure``).  Static broadcast is off because the
@@ -88,3 +89,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def output_root(spark: SparkSession, name: str) -> str:
     """A folder for written tables, next to the checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a parquet table of its own in the shared folder, read back."""
+    path = f"{output_root(df.sparkSession, 'work')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -48,3 +48,19 @@ def test_lines_are_not_shuffled_on_few_values(spark, sf_small, name):
             assert re.search(r"Aggregate|WindowGroupLimit|Sort|Project", below), (above, below)
             if "smp2" not in name:
                 assert "Aggregate" in below, (above, below)
+
+
+TABLES_READ = 6  # a footer job for each parquet table that the lines come from
+
+
+@pytest.mark.parametrize("name", ["agg1_inventory", "agg2_span_days", "agg3_weekly_demand", "agg9_revenue_by_market", "agg16_risk_histogram",
+                                  "mld2_delivery_predictions_rule", "mld4b_demand_forecast", "mld4_seasonal_forecast", "prj17_18_scaling"])
+def test_building_runs_no_job(spark, sf_small, name):
+    """Queries that don't select the high-value flag fit nothing while built."""
+    from supplyscope.plans import context
+    context._RUNS.clear()
+    spark.sparkContext.setJobGroup(f"build-{name}", name)
+    load_all().QUERIES[name](spark, sf_small)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(f"build-{name}")
+    spark.sparkContext.setJobGroup("tests", "tests")
+    assert len(jobs) <= TABLES_READ
