@@ -18,6 +18,7 @@ from __future__ import annotations
 import codecs
 import hashlib
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ SPACE_BYTES = SPACE.encode()
 PIECES, TRAINER, NORMALIZER = 1, 2, 3
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 #: Parts a task remembers, and the longest of them.
-MEMO_ENTRIES, MEMO_LONGEST = 300_000, 64
+MEMO_ENTRIES, MEMO_LONGEST = 500_000, 64
 #: Bytes of a text that are normalised at once.
 CHUNK = 1 << 20
 
@@ -226,56 +227,50 @@ class Encoder:
         self.library = sentencepiece.SentencePieceProcessor(model_proto=self.model.neutral)
         self.splits = not any(SPACE in p.lstrip(SPACE) for p in self.model.pieces)
         self.boundary = re.compile(f"(?<=[^{SPACE}])(?={SPACE})")
-        # bytes a piece stands for; for byte pieces see ``part``
-        self.size = np.array([len(p.encode()) for p in self.model.pieces], np.int64)
-        self.single = np.array([k == BYTE for k in self.model.kinds])
-        self.memo: dict[str, tuple[bytes, bytes]] = {}
+        # normalised bytes of a piece; of byte pieces see ``sizes``
+        self.size = np.array([len(p.encode()) * (k != BYTE) for p, k in zip(self.model.pieces, self.model.kinds, strict=True)])
+        self.byte = np.full(len(self.size), -1)
+        for i, (p, k) in enumerate(zip(self.model.pieces, self.model.kinds, strict=True)):
+            if k == BYTE:
+                self.byte[i] = int(p[1:-1], 16)
+        self.memo: dict[str, bytes] = {}
         self.begin = [self.library.bos_id()] * begin
         self.end = [self.library.eos_id()] * end
 
-    def part(self, text: str, ids: list[int]) -> tuple[bytes, bytes]:
-        """Ids, and the normalised bytes that each covers, as bytes.  Of an
-        unknown character's byte pieces the last covers it and the others
-        nothing; without byte pieces the unknown id covers the characters up to
-        the next known piece."""
-        a = np.array(ids, np.int32)
-        sizes = self.size[a]
-        if self.single[a].any():
-            first = self.library.piece_to_id("<0x00>")
-            at = 0
-            while at < len(a):
-                if not self.single[a[at]]:
-                    at += 1
-                    continue
-                c = int(a[at]) - first
-                n = 1 if c < 0x80 else 2 if c < 0xE0 else 3 if c < 0xF0 else 4
-                sizes[at:at + n] = 0
-                sizes[at + n - 1] = n
-                at += n
-        unknown = np.flatnonzero(a == self.library.unk_id())
-        if len(unknown):
-            sizes = self.around(text, a, sizes)
-        return a.tobytes(), sizes.astype(np.int32).tobytes()
-
-    def around(self, text: str, a: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """Sizes with unknown ids: each reaches to where the known pieces
-        after it begin."""
-        raw, at, out = text.encode(), 0, sizes.copy()
-        for i, x in enumerate(a):
-            if x == self.library.unk_id():
-                rest = self.model.pieces[a[i + 1]].encode() if i + 1 < len(a) else b""
-                end = raw.index(rest, at + 1) if rest else len(raw)
-                out[i] = end - at
-            at += int(out[i])
+    def sizes(self, text: str, a: np.ndarray) -> np.ndarray:
+        """The normalised bytes that each id covers.  Of an unknown character's
+        byte pieces the last covers it and the others nothing; without byte
+        pieces the unknown id covers the characters up to the next known piece."""
+        out, value = self.size[a], self.byte[a]
+        lead = np.flatnonzero((value >= 0) & ((value < 0x80) | (value >= 0xC0)))
+        if len(lead):
+            n = 1 + (value[lead] >= 0xC0) + (value[lead] >= 0xE0) + (value[lead] >= 0xF0)
+            out[lead + n - 1] = n
+        unknown = self.library.unk_id()
+        if (a == unknown).any():
+            raw, at = text.encode(), 0
+            for i, x in enumerate(a.tolist()):
+                if x == unknown:
+                    after = self.model.pieces[a[i + 1]].encode() if i + 1 < len(a) else b""
+                    out[i] = (raw.index(after, at + 1) if after else len(raw)) - at
+                at += int(out[i])
         return out
 
-    def known(self, parts: list[str]) -> dict[str, tuple[bytes, bytes]]:
-        new = list(set(parts).difference(self.memo))
+    def known(self, todo: list) -> dict[str, bytes]:
+        """Ids, as bytes, of the parts that the memo doesn't hold, all in one
+        call of the library."""
+        parts = set().union(*(t[2] for t in todo))
+        new = list(parts.difference(self.memo))
         if len(self.memo) + len(new) > MEMO_ENTRIES:
             self.memo.clear()
-            new = list(set(parts))
-        got = {p: self.part(p, ids) for p, ids in zip(new, self.library.encode(new, num_threads=1), strict=True)}
-        self.memo.update((p, x) for p, x in got.items() if len(p) <= MEMO_LONGEST)
+            new = list(parts)
+        if not new:
+            return {}
+        found = self.library.encode(new, num_threads=1)
+        flat = np.fromiter(chain.from_iterable(found), np.int32).tobytes()
+        end = np.cumsum([4 * len(x) for x in found]).tolist()
+        got = {p: flat[i:j] for p, i, j in zip(new, [0, *end], end)}
+        self.memo.update(got if max(map(len, new)) <= MEMO_LONGEST else {p: x for p, x in got.items() if len(p) <= MEMO_LONGEST})
         return got
 
     def pieces_of(self, text: str) -> list[str]:
@@ -285,25 +280,48 @@ class Encoder:
             return self.boundary.split(text)
         return [SPACE + w for w in text[1:].split(SPACE)]
 
+    def placed(self, text: str, parts: list[str], b, e, got) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """ids of a normalised stretch and the source bytes of each piece."""
+        memo = self.memo
+        a = np.frombuffer(b"".join([memo[p] if p in memo else got[p] for p in parts]), np.int32)
+        size = self.sizes(text, a)
+        stop = np.cumsum(size)
+        if len(a) and stop[-1] != len(b):
+            raise ValueError("pieces do not cover the normalised text")
+        begin = b[np.minimum(stop - size, len(b) - 1)]
+        return a, begin, np.where(size > 0, e[np.maximum(stop - 1, 0)], begin)
+
+    def encode_all(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each text the ids, and the begin and end of each piece's source
+        bytes.  Parts of several texts go to the library together."""
+        done: list[list] = [[] for _ in texts]
+        todo: list = []
+        held = 0
+
+        def flush():
+            got = self.known(todo)
+            for k, text, parts, b, e in todo:
+                done[k].append(self.placed(text, parts, b, e, got))
+            todo.clear()
+
+        for k, data in enumerate(texts):
+            for text, b, e in self.normal.chunks(data):
+                todo.append((k, text, self.pieces_of(text), b, e))
+                held += len(b)
+                if held >= CHUNK:
+                    flush()
+                    held = 0
+        if todo:
+            flush()
+
+        def whole(stretches, size):
+            first, last = np.zeros(len(self.begin), np.int64), np.full(len(self.end), size)
+            ids = [np.array(self.begin, np.int32), *(x[0] for x in stretches), np.array(self.end, np.int32)]
+            return np.concatenate(ids), *(np.concatenate([first, *(x[i] for x in stretches), last]) for i in (1, 2))
+        return [whole(x, len(data)) for x, data in zip(done, texts, strict=True)]
+
     def encode(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """ids and the begin and end of each piece's source bytes."""
-        ids, begins, ends = [np.array(self.begin, np.int32)], [np.zeros(len(self.begin), np.int64)], [np.zeros(len(self.begin), np.int64)]
-        for text, b, e in self.normal.chunks(data):
-            parts = self.pieces_of(text)
-            got, memo = self.known(parts), self.memo
-            found = [memo.get(p) or got[p] for p in parts]
-            a = np.frombuffer(b"".join([x[0] for x in found]), np.int32)
-            size = np.frombuffer(b"".join([x[1] for x in found]), np.int32)
-            stop = np.cumsum(size, dtype=np.int64)
-            if len(a) and stop[-1] != len(b):
-                raise ValueError("pieces do not cover the normalised text")
-            start = stop - size
-            ids.append(a)
-            begins.append(b[np.minimum(start, len(b) - 1)])
-            ends.append(np.where(size > 0, e[np.maximum(stop - 1, 0)], b[np.minimum(start, len(b) - 1)]))
-        n = len(self.end)
-        return (np.concatenate([*ids, np.array(self.end, np.int32)]), np.concatenate([*begins, np.full(n, len(data))]),
-                np.concatenate([*ends, np.full(n, len(data))]))
+        return self.encode_all([data])[0]
 
 
 codecs.register_error("one-by-one", lambda e: ("\ufffd", e.start + 1))
@@ -377,11 +395,10 @@ def encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str
             places = off.tolist()
             done = 0
             while done < b.num_rows:
-                rows, held, i = [], 0, done
-                while i < b.num_rows and (not rows or held < 4 * CHUNK):
-                    rows.append(encoder.encode(data[places[i]:places[i + 1]].tobytes()))
-                    held += places[i + 1] - places[i]
+                i = done + 1
+                while i < b.num_rows and places[i + 1] - places[done] <= 4 * CHUNK:
                     i += 1
+                rows = encoder.encode_all([data[places[k]:places[k + 1]].tobytes() for k in range(done, i)])
                 size = np.cumsum([0] + [len(r[0]) for r in rows]).astype(np.int32)
                 cols = [pa.ListArray.from_arrays(pa.array(size), pa.array(np.concatenate([r[k] for r in rows]).astype(np.int32)))
                         for k in range(3)]
