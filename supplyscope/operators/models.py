@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from supplyscope.functions.columns import dec_round, hash_id, status_code
+from supplyscope.operators.boosting import Boosted, boost
 from supplyscope.operators.ranks import first_rows
 from supplyscope.operators.sampling import ITEM_KEY, train_test_split
 from supplyscope.schemas import PREDICTIONS, conform
@@ -30,6 +31,8 @@ DELIVERY_FEATURES = ["shipping_mode_enc", "days_scheduled", "market_enc", "custo
 INVENTORY_FEATURES = ["simulated_stock", "avg_daily_demand", "days_remaining", "reorder_threshold",
                       "total_sold", "avg_per_order", "product_price"]
 INVENTORY_LABELS = {0: "safe", 1: "low", 2: "critical"}
+FOREST_PARAMETERS = {"num_trees": 100, "max_depth": 10, "seed": 42}
+BOOST_PARAMETERS = {"rounds": 100, "depth": 4, "rate": 0.1, "seed": 42}
 LATE_THRESHOLD = 0.60
 FORECAST_WEEKS = 8
 MIN_HISTORY = 20
@@ -220,26 +223,36 @@ def delivery_held_out(model, data: DataFrame) -> DataFrame:
     return classification_report(scored.withColumn("_p", (F.col("pred_label") == "late").cast("int")), "late_delivery_risk", "_p")
 
 
-def inventory_held_out(model, split: DataFrame) -> DataFrame:
-    """MLD6 + AGG24: the classification report of the products held out."""
+def train_inventory_boosted(inventory: DataFrame, **parameters) -> Boosted:
+    """MLD6: boosted trees for the three stock classes on the 7 inventory
+    features (zero-filled).  Rows with ``is_test`` = 1, if the column is there,
+    are left out."""
+    if "is_test" in inventory.columns:
+        inventory = inventory.where("is_test = 0")
+    data = inventory.fillna(0, subset=INVENTORY_FEATURES).withColumn("status_enc", status_code("status"))
+    return boost(data, INVENTORY_FEATURES, "status_enc", len(INVENTORY_LABELS), **(parameters or BOOST_PARAMETERS))
+
+
+def _classified(model, inventory: DataFrame) -> DataFrame:
+    """Products with the model's class as ``prediction``."""
+    data = inventory.fillna(0, subset=INVENTORY_FEATURES)
+    if isinstance(model, Boosted):
+        return model.transform(data)
     from pyspark.ml.feature import VectorAssembler
+    return model.transform(VectorAssembler(inputCols=INVENTORY_FEATURES, outputCol="features").transform(data))
+
 
+def inventory_held_out(model, split: DataFrame) -> DataFrame:
+    """MLD6 + AGG24: the classification report of the products held out."""
     from supplyscope.operators.reports import classification_report
-    data = split.where("is_test = 1").fillna(0, subset=INVENTORY_FEATURES).withColumn("_y", status_code("status"))
-    vec = VectorAssembler(inputCols=INVENTORY_FEATURES, outputCol="features")
-    out = model.transform(vec.transform(data)).withColumn("_p", F.col("prediction").cast("int"))
-    return classification_report(out, "_y", "_p")
+    out = _classified(model, split.where("is_test = 1").withColumn("_y", status_code("status")))
+    return classification_report(out.withColumn("_p", F.col("prediction").cast("int")), "_y", "_p")
 
 
 def inventory_model_predictions(model, inventory: DataFrame, run_ts: str) -> DataFrame:
     """MLD7 with a learned model."""
-    from pyspark.ml.feature import VectorAssembler
-
-    data = inventory.fillna(0, subset=INVENTORY_FEATURES)
-    vec = VectorAssembler(inputCols=INVENTORY_FEATURES, outputCol="features")
-    out = model.transform(vec.transform(data))
     code = F.col("prediction").cast("int")
-    res = out.select(
+    res = _classified(model, inventory).select(
         hash_id(F.lit("inventory"), "product_name").alias("id"), F.lit(run_ts).alias("created_at"),
         F.lit("inventory").alias("prediction_type"), "product_name",
         F.lit(None).cast("bigint").alias("order_id"), code.cast("double").alias("predicted_value"),
@@ -308,43 +321,81 @@ FORECAST_SCHEMA = T.StructType([
 ])
 
 
-def _fit_one(pdf: pd.DataFrame, weeks: int, min_rows: int, harmonics: int) -> pd.DataFrame:
-    """Trend + yearly Fourier terms by least squares for one product."""
+#: Trend of the forecast: places where the slope may change, in the first part
+#: of the history, and the scale of the (double exponential) prior of a change.
+CHANGEPOINTS, CHANGE_RANGE, CHANGE_PRIOR = 25, 0.8, 0.1
+#: Days of history from which on a yearly season is fitted.
+SEASON_DAYS = 730
+
+
+class TrendFit:
+    """A piecewise-linear trend whose slope changes are shrunken, plus yearly
+    Fourier terms, by penalised least squares.
+
+    Time runs from 0 to 1 over the history and values are divided by their
+    largest.  The prior of a slope change is double exponential: solved as a
+    ridge whose weights follow the changes found so far, so that most shrink to
+    nothing and the few that the data ask for stay."""
+
+    def __init__(self, days: np.ndarray, y: np.ndarray, harmonics: int, prior: float):
+        self.first, self.span = days.min(), max(float(np.ptp(days)), 1.0)
+        self.scale = max(float(np.abs(y).max()), 1e-9)
+        self.harmonics = harmonics if np.ptp(days) >= SEASON_DAYS else 0
+        t = np.unique(days)
+        inner = t[1:max(2, int(np.ceil(CHANGE_RANGE * len(t))))]
+        count = min(CHANGEPOINTS, len(inner)) if len(t) > 2 else 0
+        places = inner[np.round(np.linspace(0, len(inner) - 1, count)).astype(int)] if count else np.zeros(0)
+        self.changes = (np.unique(places) - self.first) / self.span
+        x, goal, k = self.design(days), y / self.scale, len(self.changes)
+        gram, right = x.T @ x, x.T @ goal
+        noise, change = float(np.var(goal)) + 1e-9, np.full(k, prior)
+        for _ in range(30):
+            weight = np.concatenate([np.full(2, 1 / 25.0), 1 / (prior * np.maximum(change, 1e-5)), np.full(x.shape[1] - 2 - k, 1 / 100.0)])
+            self.coef = np.linalg.solve(gram + np.diag(noise * weight + 1e-12), right)
+            change = np.abs(self.coef[2:2 + k])
+            noise = max(float(np.mean((goal - x @ self.coef) ** 2)), 1e-9)
+        self.noise, self.mean_change = noise, float(change.mean()) if k else 0.0
+
+    def design(self, days: np.ndarray) -> np.ndarray:
+        t = (days - self.first) / self.span
+        cols = [np.ones_like(t), t, *(np.maximum(t - c, 0.0) for c in self.changes)]
+        for k in range(1, self.harmonics + 1):
+            angle = 2 * math.pi * k * days / 365.25
+            cols += [np.sin(angle), np.cos(angle)]
+        return np.column_stack(cols)
+
+    def forecast(self, days: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Value and width of the 80 % band.  Beyond the history the slope may
+        go on changing as often and as much as it did: over a time h that adds
+        a variance of (changes a unit of time) x 2 (mean change)^2 x h^3 / 3."""
+        ahead = np.maximum((days - self.first) / self.span - 1.0, 0.0)
+        spread = self.noise + len(self.changes) * 2 * self.mean_change ** 2 * ahead ** 3 / 3
+        return self.design(days) @ self.coef * self.scale, 2 * BAND_Z * np.sqrt(spread) * self.scale
+
+
+def _fit_one(pdf: pd.DataFrame, weeks: int, min_rows: int, harmonics: int, prior: float = CHANGE_PRIOR) -> pd.DataFrame:
+    """One product's forecast; too short a history gives none."""
     pdf = pdf.dropna(subset=["ds", "y"])
     if len(pdf) < min_rows:
         return pd.DataFrame(columns=["product_name", "ds", "yhat", "ci"])
     ds = pd.to_datetime(pdf["ds"])
-    t = ((ds - pd.Timestamp("1970-01-05")).dt.days.to_numpy() / 7.0)
-    y = pdf["y"].to_numpy(dtype=float)
-
-    def design(tt):
-        cols = [np.ones_like(tt), tt - t.min()]
-        for k in range(1, harmonics + 1):
-            ang = 2 * math.pi * k * tt * 7.0 / 365.25
-            cols += [np.sin(ang), np.cos(ang)]
-        return np.column_stack(cols)
-
-    try:
-        coef, *_ = np.linalg.lstsq(design(t), y, rcond=None)
-    except np.linalg.LinAlgError:
-        return pd.DataFrame(columns=["product_name", "ds", "yhat", "ci"])
-    sigma = float(np.sqrt(np.mean((y - design(t) @ coef) ** 2)))
-    last = ds.max()
+    zero, last = pd.Timestamp("1970-01-05"), ds.max()
+    fit = TrendFit((ds - zero).dt.days.to_numpy(dtype=float), pdf["y"].to_numpy(dtype=float), harmonics, prior)
     fds = [last + pd.Timedelta(days=6 + 7 * i) for i in range(weeks)]
-    ft = np.array([(d - pd.Timestamp("1970-01-05")).days / 7.0 for d in fds])
-    yhat = np.maximum(design(ft) @ coef, 0.0)
+    yhat, band = fit.forecast(np.array([(d - zero).days for d in fds], dtype=float))
     return pd.DataFrame({
         "product_name": pdf["product_name"].iloc[0],
         "ds": [d.date() for d in fds],
-        "yhat": np.round(yhat, 1),
-        "ci": round(max(2 * BAND_Z * sigma, 0.0), 1),
+        "yhat": np.round(np.maximum(yhat, 0.0), 1),
+        "ci": np.round(np.maximum(band, 0.0), 1),
     })
 
 
 def seasonal_forecast(series: DataFrame, key: str = "product_name", y: str = "weekly_qty",
                       ds: str = "ds", weeks: int = FORECAST_WEEKS, min_rows: int = MIN_HISTORY,
-                      harmonics: int = 3) -> DataFrame:
-    """MLD4: per-product fit in ``applyInPandas``.
+                      harmonics: int = 3, prior: float = CHANGE_PRIOR) -> DataFrame:
+    """MLD4: per-product trend with slope changes and yearly season
+    (``TrendFit``) in ``applyInPandas``; ``prior`` is the scale of a change.
 
     Input is already aggregated to weekly rows, so a group holds at most
     (weeks x categories x markets) rows of one product — bounded however
@@ -353,7 +404,7 @@ def seasonal_forecast(series: DataFrame, key: str = "product_name", y: str = "we
     data = series.select(F.col(key).alias("product_name"), F.col(ds).alias("ds"),
                          F.col(y).cast("double").alias("y"))
     return data.groupBy("product_name").applyInPandas(
-        lambda pdf: _fit_one(pdf, weeks, min_rows, harmonics), FORECAST_SCHEMA)
+        lambda pdf: _fit_one(pdf, weeks, min_rows, harmonics, prior), FORECAST_SCHEMA)
 
 
 def next_week_forecast(demand_preds: DataFrame) -> DataFrame:

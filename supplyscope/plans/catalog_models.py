@@ -147,3 +147,17 @@ def q_tree(spark, d):
     inv = inventory(spark, d)
     model = models.train_inventory_tree(inv)
     return models.inventory_model_predictions(model, inv, RUN_TS)
+
+
+@register("mld6_inventory_boosted")
+def q_boosted(spark, d):
+    """MLD6 + MLD7: boosted trees (100 rounds, depth 4, rate 0.1) for the
+    three stock classes, fitted on the training products, for every product."""
+    run = run_for(spark, d)
+    return models.inventory_model_predictions(run.boosted_and_split[0], run.inventory, RUN_TS)
+
+
+@register("mld6_agg24_boosted_held_out")
+def q_boosted_report(spark, d):
+    """MLD6 + AGG24: the boosted classifier's report on held-out products."""
+    return models.inventory_held_out(*run_for(spark, d).boosted_and_split)

@@ -107,6 +107,13 @@ class Run:
         with their side of the split."""
         return models.train_delivery_forest(self.encoded)
 
+    @cached_property
+    def boosted_and_split(self):
+        """MLD6: the boosted stock classifier of this run (trained once) and
+        the products with their side of the split."""
+        split = models.split_products(self.inventory)
+        return models.train_inventory_boosted(split), split
+
     @property
     def forest(self):
         return self.forest_and_split[0]

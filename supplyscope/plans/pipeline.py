@@ -13,6 +13,8 @@ import logging
 from pyspark.sql import DataFrame, SparkSession
 
 from supplyscope.operators import alerts, conflicts, encode, models, quality, reports, tables
+from supplyscope.operators.boosting import Boosted
+from supplyscope.operators.reuse import Records, content_digest, step_key
 from supplyscope.operators.sinks import TableStore
 from supplyscope.plans.catalog import orders_table
 from supplyscope.plans.context import Run
@@ -22,53 +24,68 @@ from supplyscope.sources import tables as src
 log = logging.getLogger("supplyscope")
 
 
-def _saved(path: str, load, fit):
-    """MLD8: the model saved at ``path``, or a new one, saved there."""
-    try:
-        return load(path)
-    except Exception:  # noqa: BLE001 - no model there, or not a readable one
-        model = fit()
-        models.save_model(model, path)
-        return model
-
-
-def _learned_predictions(store: TableStore, run: Run, root: str, reuse: bool) -> DataFrame:
-    """MLD1-2, MLD6-8: predictions of the learned models, with their held-out
-    reports, importances and label codes stored."""
-    columns = ["shipping_mode", "market", "customer_segment", "department"]
-    if not (reuse and store.exists("label_codes")):
-        store.overwrite("label_codes", encode.fit_label_codes(run.feats, columns))
-    encoded = encode.apply_label_codes(run.feats, store.read("label_codes"), columns)
+ENCODED = ["shipping_mode", "market", "customer_segment", "department"]
+
+
+def _learned_predictions(store: TableStore, run: Run, records: Records, digests: dict) -> tuple[DataFrame, dict]:
+    """MLD1-2, MLD6-8: predictions of the learned models by type, and the key
+    of each.  Models of the same input, features and parameters are used again;
+    for new ones label codes, held-out reports and importances are stored."""
+    spark = run.spark
+    forest_key = step_key("delivery_forest", digests["lines"], models.DELIVERY_FEATURES, models.FOREST_PARAMETERS)
+    boost_key = step_key("inventory_boosted", digests["inventory"], models.INVENTORY_FEATURES, models.BOOST_PARAMETERS)
+    codes, _ = records.model("label_codes", step_key("label_codes", digests["lines"], ENCODED, {}), run.run_ts, spark.read.parquet,
+                             lambda: encode.fit_label_codes(run.feats, ENCODED), lambda m, path: m.write.parquet(path))
+    if codes.isEmpty():
+        raise ValueError("stored label codes are empty")
+    encoded = encode.apply_label_codes(run.feats, codes, ENCODED)
+    forest, old = records.model("delivery_forest", forest_key, run.run_ts, models.load_forest,
+                                lambda: models.train_delivery_forest(encoded, **models.FOREST_PARAMETERS)[0], models.save_model)
+    if not old:
+        store.overwrite("feature_importance", models.feature_importances(spark, forest))
+        store.overwrite("delivery_report", models.delivery_held_out(forest, models.split_lines(encoded)))
     split = models.split_products(run.inventory)
-    load = (lambda f: f) if reuse else (lambda f: _never)
-    forest = _saved(f"{root}/models/delivery_forest", load(models.load_forest),
-                    lambda: models.train_delivery_forest(encoded)[0])
-    tree = _saved(f"{root}/models/inventory_tree", load(models.load_tree), lambda: models.train_inventory_tree(split))
-    store.overwrite("feature_importance", models.feature_importances(run.spark, forest))
-    store.overwrite("delivery_report", models.delivery_held_out(forest, models.split_lines(encoded)))
-    store.overwrite("inventory_report", models.inventory_held_out(tree, split))
-    delivery = models.delivery_predictions(models.score_delivery(forest, encoded), run.run_ts)
-    return run.cut(delivery.unionByName(models.inventory_model_predictions(tree, run.inventory, run.run_ts))
-                   .unionByName(run.demand_preds), "learned_predictions")
-
-
-def _never(path: str):
-    raise FileNotFoundError(path)
+    boosted, old = records.model("inventory_boosted", boost_key, run.run_ts, lambda path: Boosted.load(spark, path),
+                                 lambda: models.train_inventory_boosted(split, **models.BOOST_PARAMETERS),
+                                 lambda m, path: m.save(spark, path))
+    if not old:
+        store.overwrite("inventory_report", models.inventory_held_out(boosted, split))
+    return {"delivery": models.delivery_predictions(models.score_delivery(forest, encoded), run.run_ts),
+            "inventory": models.inventory_model_predictions(boosted, run.inventory, run.run_ts),
+            "demand": run.demand_preds}, {"delivery": forest_key, "inventory": boost_key, "demand": "linear"}
+
+
+def _stored_predictions(store: TableStore, run: Run, records: Records, learned: bool) -> DataFrame:
+    """SNK6 + SNK13: this input's predictions, appended unless an earlier run
+    of the same input, features and parameters has stored them."""
+    digests = {"lines": content_digest(run.feats, [c for c in run.feats.columns if c != "item_seq"]),
+               "inventory": content_digest(run.inventory, run.inventory.columns)}
+    if learned:
+        frames, keys = _learned_predictions(store, run, records, digests)
+    else:
+        frames = {"delivery": run.delivery_preds, "inventory": run.inventory_preds, "demand": run.demand_preds}
+        keys = dict.fromkeys(frames, "rule")
+    stamps = {}
+    for kind, frame in frames.items():
+        key = step_key(f"{kind}_predictions", digests["lines"], [], {"model": keys[kind]})
+        stamps[kind], skipped = records.rows(f"{kind}_predictions", key, run.run_ts, lambda f=frame: store.append("predictions", f))
+        log.info("%s predictions: %s", kind, "stored by an earlier run" if skipped else "stored")
+    return run.cut(records.stored(store.read("predictions"), stamps), "stored_predictions")
 
 
 def run_pipeline(spark: SparkSession, sf_dir: str, root: str | None = None,
-                 run_ts: str | None = None, learned_models: bool = False, reuse: bool = True) -> dict:
+                 run_ts: str | None = None, learned_models: bool = False) -> dict:
     """Build every table of a run and return the summary frames.
 
     Steps: order lines -> features -> orders / inventory / weekly tables
     -> browse signals -> predictions -> clear alerts -> four agents
     (each replaces its own (agent, category) group) -> conflicts ->
-    briefing, alert summary and data-quality report.  Predictions are
-    appended with the run's stamp.
+    briefing, alert summary and data-quality report.
 
+    A rerun on the same input, features and parameters appends no predictions
+    and refits no model (``operators.reuse``); what changed is made anew.
     ``learned_models`` scores lines with the forest and products with the
-    tree; models and label codes saved by an earlier run under ``root`` are
-    used again unless ``reuse`` is false.
+    boosted trees.
     """
     run_ts = run_ts or _dt.datetime.now().replace(microsecond=0).isoformat()
     root = root or output_root(spark, "tables")
@@ -84,8 +101,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str | None = None,
     store.overwrite("browse_category", tables.browse_signals(log_, "Category", "category"))
     store.overwrite("browse_department", tables.browse_signals(log_, "Department", "department"))
 
-    preds = _learned_predictions(store, run, root, reuse) if learned_models else run.preds
-    store.append("predictions", preds)
+    preds = _stored_predictions(store, run, Records(spark, root), learned_models)
 
     store.clear_alerts()
     jobs = {
@@ -108,7 +124,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str | None = None,
     checks = (quality.min_rows({n: store.read(n) for n in ("orders", "inventory", "weekly_demand",
                                                             "predictions", "alerts")})
               .unionByName(quality.summary_sanity(store.read("orders"), final, store.read("inventory")))
-              .unionByName(quality.prediction_checks(store.read("predictions")))
+              .unionByName(quality.prediction_checks(preds))
               .unionByName(quality.alert_coverage(final))
               .unionByName(quality.inventory_checks(store.read("inventory"))))
     store.overwrite("quality_checks", checks)

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from supplyscope.session import written
+
 __all__ = [
     "TABLES", "read_table", "order_items", "dirty_order_items", "browse_log",
     "read_order_csv", "read_access_log", "run_sql", "table_exists",
@@ -220,13 +222,69 @@ def browse_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def read_order_csv(spark: SparkSession, path: str) -> DataFrame:
-    """SRC1: raw order-item CSV (Latin-1, header).  Read as text (no schema
-    inference pass over the data) and renamed to engine names; the cleaning
-    operators parse and coerce."""
-    df = (spark.read.option("header", True).option("encoding", "ISO-8859-1")
-          .option("mode", "PERMISSIVE").csv(path))
-    return df.withColumnsRenamed({k: v for k, v in RAW_TO_ENGINE.items() if k in df.columns})
+#: Types of the raw order CSV's columns that are not text (SRC1).
+RAW_TYPES = {
+    "Order Id": T.LongType(), "Late_delivery_risk": T.IntegerType(), "Product Status": T.IntegerType(),
+    **{h: T.DoubleType() for h, c in RAW_TO_ENGINE.items() if c in (
+        "days_real", "days_scheduled", "quantity", "discount_rate", "profit_ratio", "sales", "profit", "item_total", "benefit",
+        "product_price", "item_price", "discount", "sales_per_customer")},
+}
+#: Columns without which nothing can be computed.
+RAW_REQUIRED = tuple(h for h, c in RAW_TO_ENGINE.items() if c in (
+    "order_id", "order_date", "ship_date", "product_name", "category", "department", "market", "order_region", "customer_segment",
+    "quantity", "discount_rate", "sales", "product_price", "profit", "shipping_mode", "days_scheduled", "days_real", "order_status",
+    "delivery_status", "late_delivery_risk"))
+BAD_ROW = "_bad_row"
+
+
+class HeaderError(ValueError):
+    """The CSV's header breaks the contract."""
+
+
+def scan_order_csv(spark: SparkSession, path: str, typed: bool = False) -> DataFrame:
+    """SRC1: the raw order-item CSV (Latin-1, header) under a fixed contract, in
+    the file's names, with ``_bad_row``: the whole line where a row breaks it,
+    else null.
+
+    The header must hold every required column once, in every file in the same
+    order (Spark checks each file's against the schema); columns without a
+    meaning here stay text.  A row with too few or too many fields is bad; with
+    ``typed`` also one whose number can't be read (without, numbers stay text
+    for the tolerant coercion of the cleaning step).  No pass infers types."""
+    def reader():
+        return spark.read.option("header", True).option("encoding", "ISO-8859-1")
+
+    header = reader().option("inferSchema", False).csv(path).columns
+    missing, twice = [c for c in RAW_REQUIRED if c not in header], sorted({c for c in header if header.count(c) > 1})
+    if missing or twice:
+        raise HeaderError(f"order CSV: missing columns {missing}, repeated columns {twice}")
+    fields = [T.StructField(c, RAW_TYPES.get(c, T.StringType()) if typed else T.StringType()) for c in header]
+    return (reader().schema(T.StructType([*fields, T.StructField(BAD_ROW, T.StringType())]))
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_ROW)
+            .option("enforceSchema", False).option("columnPruning", False).csv(path))
+
+
+def is_bad(scan: DataFrame):
+    """Whether a row of ``scan_order_csv`` breaks the contract.  Spark refuses
+    queries that read nothing but the bad-row column, a count for instance, so
+    the condition reads a second column, whatever its value."""
+    other = F.length(F.concat_ws("", F.col(RAW_REQUIRED[0]).cast("string"))) >= 0
+    return F.col(BAD_ROW).isNotNull() & other
+
+
+def split_scan(scan: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good rows, bad lines) of ``scan_order_csv``; the bad lines are written
+    as a table of their own, to be counted and looked at."""
+    good = scan.where(~is_bad(scan)).drop(BAD_ROW)
+    return good, written(scan.where(is_bad(scan)), "bad-rows").select(F.col(BAD_ROW).alias("line"))
+
+
+def read_order_csv(spark: SparkSession, path: str, typed: bool = False) -> DataFrame:
+    """SRC1: the contract's good rows in engine names (``split_scan`` gives the
+    others); the cleaning operators parse and coerce."""
+    scan = scan_order_csv(spark, path, typed)
+    good = scan.where(~is_bad(scan)).drop(BAD_ROW)
+    return good.withColumnsRenamed({k: v for k, v in RAW_TO_ENGINE.items() if k in good.columns})
 
 
 ACCESS_LOG_SCHEMA = T.StructType([

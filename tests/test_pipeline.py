@@ -88,15 +88,23 @@ def test_every_critical_product_gets_an_alert(spark):
     assert out.count() == 50 and out.select("id").distinct().count() == 50
 
 
-def test_learned_models_change_predictions_and_are_reused(spark, sf_small):
+def test_learned_models_are_reused_and_reruns_append_nothing(spark, sf_small, monkeypatch):
     from supplyscope.plans.pipeline import run_pipeline
+    monkeypatch.setitem(models.FOREST_PARAMETERS, "num_trees", 12)
+    monkeypatch.setitem(models.BOOST_PARAMETERS, "rounds", 2)
     root = tempfile.mkdtemp(prefix="supplyscope-learned-", dir="/tmp")
-    for ts in ("2026-01-01T00:00:00", "2026-01-02T00:00:00"):
-        run_pipeline(spark, sf_small, root=root, run_ts=ts, learned_models=True)
+    first = run_pipeline(spark, sf_small, root=root, run_ts="2026-01-01T00:00:00", learned_models=True)
     st = TableStore(spark, root)
+    n = st.read("predictions").count()
+    alerts_before = st.read("alerts").count()
+    fits = []
+    monkeypatch.setattr(models, "train_delivery_forest", lambda *a, **k: fits.append("forest"))
+    monkeypatch.setattr(models, "train_inventory_boosted", lambda *a, **k: fits.append("boosted"))
+    run_pipeline(spark, sf_small, root=root, run_ts="2026-01-02T00:00:00", learned_models=True)
     p = st.read("predictions")
-    stamps = {r["created_at"]: r["count"] for r in p.groupBy("created_at").count().collect()}
-    assert len(stamps) == 2 and len(set(stamps.values())) == 1
+    assert fits == [] and p.count() == n
+    assert [r.created_at for r in p.select("created_at").distinct().collect()] == ["2026-01-01T00:00:00"]
+    assert st.read("alerts").count() == alerts_before and first["failed_agents"] == []
     d = p.where("prediction_type = 'delivery'")
     assert d.where("predicted_value < 0.6").count() == 0 and d.select("predicted_value").distinct().count() > 10
     report = st.read("delivery_report").collect()
