@@ -28,12 +28,6 @@ EVIDENCE = 48
 SMOOTHING = 20.0
 #: Texts of fewer trigrams are too short to say that no model explains them.
 LEAST_TRIGRAMS = 32
-#: Letters (bytes) drawn evenly from a-z meet their like with probability 1 / 26
-#: = 0.0385; the flattest written languages have about 0.05 (Czech), most 0.06
-#: or more.  From LEAST_LETTERS on, chance bridges that gap for neither.
-FLAT = 0.042
-LEAST_LETTERS = 1024
-
 IS_LETTER = np.zeros(256, bool)
 IS_LETTER[97:123] = IS_LETTER[128:] = True
 #: Letters after lower-casing A-Z, any other byte as a space.
@@ -149,26 +143,6 @@ def visible(markup: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(bare, r"<[^>]*+>", " "), r"&[A-Za-z0-9#]{1,10};", " ")
 
 
-def uneven(data: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """Whether each text's letters, unless there are few, are as unevenly
-    frequent as in any written language; noise and encoded bytes are even."""
-    c = FOLD[data]
-    place = np.flatnonzero(c != 32)
-    out = np.ones(len(off) - 1, bool)
-    first = np.searchsorted(place, off)
-    for k in np.flatnonzero(np.diff(first) >= LEAST_LETTERS):
-        n = np.bincount(c[place[first[k]:first[k + 1]]])
-        total = int(n.sum())
-        out[k] = (n * (n - 1)).sum() >= FLAT * total * (total - 1)
-    return out
-
-
-def readable(data: np.ndarray, off: np.ndarray, n_grams: np.ndarray) -> np.ndarray:
-    """Whether each text has letters and, unless short, they are no noise.
-    No model has a say, so a language without labels is as good as another."""
-    return (n_grams > 0) & uneven(data, off)
-
-
 def add_likelihoods(rows: DataFrame, models: Models) -> DataFrame:
     """(payload, host, declared, n_grams, accepted, vote, ll): log likelihoods
     by language, scaled to at most EVIDENCE trigrams; vote is the place of the
@@ -206,7 +180,7 @@ def score(shipped, before: int, n_lang: int, last: bool):
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(j - i + 1) * ll.shape[1], pa.int32()), pa.array(ll.ravel()))
                 cols = {x: b.column(x) for x in ("payload", "host", "declared")}
                 if last:
-                    cols |= {"n_grams": pa.array(n, pa.int64()), "accepted": pa.array(readable(data, off, n)),
+                    cols |= {"n_grams": pa.array(n, pa.int64()), "accepted": pa.array(n > 0),
                              "vote": vote(ll, n)}
                 else:
                     cols["text"] = b.column("text")
@@ -316,30 +290,29 @@ def identify(rows: DataFrame, names: list[str], models: Models) -> DataFrame:
     the text alone says) and accepted.
 
     A text without letters (null, empty, digits) has no language and isn't
-    accepted; nor is one of LEAST_LETTERS or more that are as evenly frequent
-    as no written language has them.  One of LEAST_TRIGRAMS or more that every
-    model explains worse than an even spread would is of a language without
-    labels: lang and text_lang are null, posterior is 0, and it is accepted.
-    A text of two languages is accepted, its posterior tells how sure the
-    first is.  Null addresses share one host.
+    accepted; any other is, whatever its script: a byte from 128 on counts as
+    part of a letter.  One of LEAST_TRIGRAMS or more that every model explains
+    worse than an even spread would is of a language without labels: lang and
+    text_lang are null, posterior is 0.  A text of two languages is named by
+    the likelier, its posterior tells how sure that is.  Null addresses share
+    one host; repeated rows count each time; null ids pass through; an empty
+    table gives no rows; long texts are scored whole, in pieces of a batch;
+    columns travel in the struct ``payload``, so names can't clash.
     """
     session(rows)
     return fuse(stash(add_likelihoods(rows, models), "lang-rows"), names)
 
 
-def accepted_rows(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that ``identify`` accepts.  Acceptance rests on the
-    text alone, so there are no models to count and nothing is shuffled."""
-    session(docs)
-    whole = F.struct(*(named(docs, c).alias(c) for c in docs.columns)).alias("row")
-    rows = docs.select(whole, padded(text_or_empty(docs[text_col])).alias("text"))
+def language_rows(docs: DataFrame, text_col: str = "text", label_col: str = "lang", address_col: str = "source") -> DataFrame:
+    """The rows of ``docs`` that ``identify`` accepts, with the language that it
+    names in ``label_col`` (where it names none, the label stays).
 
-    def run(batches):
-        for b in batches:
-            data, off = byte_view(b.column("text"))
-            keep = [np.zeros(0, bool)]
-            for i, j in slices(np.diff(off), 1 << 20):
-                part, at = data[off[i]:off[j]], off[i:j + 1] - off[i]
-                keep.append(readable(part, at, np.diff(trigrams(part, at)[1])))
-            yield pa.RecordBatch.from_arrays([b.column("row").filter(pa.array(np.concatenate(keep)))], names=["row"])
-    return rows.mapInArrow(run, T.StructType([rows.schema["row"]])).select("row.*")
+    Models are counted over the labelled rows of ``docs`` itself.  Edge cases
+    are those of ``identify``; all columns stay, whatever their names."""
+    session(docs)
+    names, models = text_models(docs.select(docs[text_col].alias("text"), docs[label_col].alias("label")), "label")
+    rows = rows_of(docs, [named(docs, c).alias(c) for c in docs.columns], docs[text_col], docs[address_col], False)
+    out = identify(rows, names, models).where("accepted")
+    row = F.col("payload")
+    found = F.coalesce(F.col("lang"), row.getField(label_col).cast("string")).alias(label_col)
+    return out.select(*[found if c == label_col else row.getField(c).alias(c) for c in docs.columns])

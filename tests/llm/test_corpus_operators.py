@@ -197,8 +197,9 @@ def test_language(spark, odd_docs, no_docs):
     odd = language.identify(language.rows_of(odd_docs, [odd_docs["doc_id"]], odd_docs["text"], odd_docs["source"], False), names, logp)
     assert odd.count() == odd_docs.count()
     assert all(r.lang is None and not r.accepted for r in odd.collect() if r.payload.doc_id in (1, 2, 7))
-    assert language.accepted_rows(odd_docs).columns == odd_docs.columns
-    assert language.accepted_rows(no_docs).collect() == []
+    kept = language.language_rows(odd_docs)
+    assert kept.columns == odd_docs.columns and kept.count() == odd_docs.count() - 4
+    assert language.language_rows(no_docs).collect() == []
 
 
 def test_language_fuses_markup_and_host(spark):
@@ -236,16 +237,35 @@ def test_language_models_every_label(spark):
     assert got[0] == got[1]
 
 
+SCRIPTS = {
+    "zh": "人人生而自由在尊严和权利上一律平等他们赋有理性和良心并应以兄弟关系的精神相对待人人有资格享有本宣言所载的一切权利和自由",
+    "ja": "すべての人間は生まれながらにして自由でありかつ尊厳と権利とについて平等である人間は理性と良心とを授けられており",
+    "ko": "모든 인간은 태어날 때부터 자유로우며 그 존엄과 권리에 있어 동등하다 인간은 천부적으로 이성과 양심을 부여받았으며 ",
+    "th": "มนุษย์ทั้งหลายเกิดมามีอิสระและเสมอภาคกันในเกียรติศักดิ์และสิทธิต่างมีเหตุผลและมโนธรรม",
+    "ar": "يولد جميع الناس أحرارا متساوين في الكرامة والحقوق وقد وهبوا عقلا وضميرا وعليهم أن يعامل بعضهم بعضا بروح الإخاء ",
+    "hi": "सभी मनुष्यों को गौरव और अधिकारों के मामले में जन्मजात स्वतन्त्रता और समानता प्राप्त है ",
+}
+
+
 def test_language_keeps_texts_of_languages_without_labels(spark):
-    noise = "".join(chr(97 + c) for c in np.random.default_rng(4).integers(0, 26, 3000))
     known = [(i, t * 3, lang, None) for i, (t, lang) in enumerate([("the text is in this language it ", "en"), ("das ist der text ", "de")])]
-    more = [(10, FINNISH * 9, None, None), (11, RUSSIAN * 9, None, None), (12, FINNISH, None, None), (13, noise, None, None), (14, "12 34", None, None)]
-    df = spark.createDataFrame(known + more, "doc_id long, text string, lang string, source string")
-    assert sorted(r.doc_id for r in language.accepted_rows(df).collect()) == [0, 1, 10, 11, 12]
+    more = [(10, FINNISH * 9, None, None), (11, RUSSIAN * 9, None, None), (12, FINNISH, None, None), (14, "12 34", None, None)]
+    scripts = [(20 + 10 * i + k, t * k, None, None) for i, t in enumerate(SCRIPTS.values()) for k in (1, 3, 9)]
+    df = spark.createDataFrame(known + more + scripts, "doc_id long, text string, lang string, source string")
+    kept = {r.doc_id: r.lang for r in language.language_rows(df).collect()}
+    assert kept == {r[0]: r[2] for r in known + more + scripts if r[0] != 14}
     names, models = language.text_models(df, "lang")
     out = language.identify(language.rows_of(df, [df["doc_id"]], df["text"], df["source"], False), names, models).collect()
     assert {r.payload.doc_id: (r.lang, r.accepted) for r in out} == {
-        0: ("en", True), 1: ("de", True), 10: (None, True), 11: (None, True), 12: (None, True), 13: (None, False), 14: (None, False)}
+        r[0]: (r[2], r[0] != 14) for r in known + more + scripts}
+
+
+def test_language_names_texts_of_any_script(spark):
+    """With labels the six scripts are named, in rows without labels too."""
+    rows_ = [(10 * i + k, t * k, lang if k < 4 else None, None) for i, (lang, t) in enumerate(SCRIPTS.items()) for k in range(1, 6)]
+    df = spark.createDataFrame(rows_, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r.lang for r in language.language_rows(df).collect()}
+    assert got == {10 * i + k: lang for i, lang in enumerate(SCRIPTS) for k in range(1, 6)}
 
 
 def test_language_declared_anywhere_in_the_markup(spark):

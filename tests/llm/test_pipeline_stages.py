@@ -4,6 +4,8 @@ import brute
 import corpus_pipeline
 import pytest
 
+from supplyscope.llm import language
+
 
 @pytest.fixture(scope="module")
 def stages(spark, sf_small, tmp_path_factory):
@@ -30,6 +32,12 @@ def test_columns_stay(stages):
 def test_each_stage(spark, stages, sf_small, pairs):
     before, after = stages["language_id"]
     assert ids(after) == ids(before.filter("text rlike '[A-Za-z]'"))
+    # what the operator says of these documents is what goes on
+    names, models = language.text_models(before.select("text", "lang"), "lang")
+    said = language.identify(language.rows_of(before, [before["doc_id"]], before["text"], before["source"], False), names, models)
+    want = {r.payload.doc_id: r.lang for r in said.filter("accepted AND lang IS NOT NULL").collect()}
+    got = {r.doc_id: r.lang for r in after.select("doc_id", "lang").collect()}
+    assert len(want) > 100 and all(got[d] == x for d, x in want.items())
     before, after = stages["exact_dedup"]
     best = {}
     for d, t in pairs(before):
