@@ -14,16 +14,17 @@ from pyspark.sql import functions as F
 
 from supplyscope.llm.decontaminate import contamination
 from supplyscope.llm.exact import exact_groups
-from supplyscope.llm.language import accepted_rows
+from supplyscope.llm.language import language_rows
 from supplyscope.llm.mixing import Mix, mixed_rows
 from supplyscope.llm.neardup import near_duplicates
 from supplyscope.llm.work import begin_stage, end_stages, stash
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without letters and long ones whose letters are noise."""
+    """Names each document's language in ``lang``, from its text and its
+    source; drops those without a letter of any script."""
     begin_stage(spark)
-    return accepted_rows(docs)
+    return language_rows(docs)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
