@@ -2,7 +2,7 @@
 
 A trie frontier in relations.  States (word, position, node, edits) are joined,
 level by level, with the edge table of a trie of all words; a state that ends on
-a word with one edit makes the two neighbours.  Three things keep the frontier
+a word with one edit makes the two neighbours.  Four things keep the frontier
 small without losing a pair:
 
 * the trie is compressed: a node is a place where words part, its edge carries
@@ -10,6 +10,9 @@ small without losing a pair:
   of it, so the levels follow the branchings on a path, not the letters;
 * two unlike words part at a node of the trie, so a word walks its own path
   without edits and makes its one edit only there;
+* an edge tells, in two sets of 64 bits, which sizes and endings the words below
+  it have; an edited state has only exact letters left, so it goes no further
+  where no word of its size and ending is;
 * there are two tries, of the words and of the words turned round.  An edit in
   the later half of a word is found from the front, the others from the back, so
   none happens near a root, where nearly every letter goes on.
@@ -38,6 +41,8 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 #: Words a task holds before it passes their counts on.
 HELD = 200_000
+#: Last letters that an edge tells of the words below it.
+ENDINGS = (3, 5)
 #: Characters of a text that are split at once.
 PIECE = 1 << 20
 
@@ -106,12 +111,19 @@ def shared(a: Column, b: Column) -> Column:
     return (F.array_position(same, False) - 1).cast("int")
 
 
+def ending(size: Column, s: Column, letters: int) -> Column:
+    """One bit of 64 for a word's size and last letters."""
+    place = F.pmod(F.xxhash64(size.cast("int"), F.right(s, F.lit(letters))), F.lit(64)).cast("int")
+    return F.call_function("shiftleft", F.lit(1).cast("long"), place)
+
+
 def edges_of(states: DataFrame, keys: list, letter: Column) -> DataFrame:
     """The edge table of a level: for each node and next letter the child (the
-    least row number below it), the number of words, one word, and the depth to
-    which all of them agree."""
+    least row number below it), the number of words, one word, the depth to
+    which all of them agree, and bits of the sizes and endings below."""
     grouped = states.groupBy(*keys, letter.alias("letter")).agg(
-        F.min("id").alias("child"), F.count("*").alias("words"), F.min("s").alias("lo"), F.max("s").alias("hi"), F.min("n").alias("lo_n"))
+        F.min("id").alias("child"), F.count("*").alias("words"), F.min("s").alias("lo"), F.max("s").alias("hi"), F.min("n").alias("lo_n"),
+        *[F.bit_or(ending(F.col("size"), F.col("s"), k)).alias(f"end{k}") for k in ENDINGS])
     deep = F.when(F.col("words") == 1, F.char_length("lo")).otherwise(shared(F.col("lo"), F.col("hi")))
     return grouped.withColumn("deep", deep).drop("hi")
 
@@ -125,7 +137,7 @@ def start(words: DataFrame, depth: int) -> DataFrame:
                     F.struct(F.lit(True).alias("back"), F.reverse("word").alias("s"), (size - half).alias("least")))
     rows = words.select("id", "n", size.alias("size"), F.inline(sides)).withColumn("letter", F.substring("s", 1, depth))
     edges = edges_of(rows.drop("letter"), ["back"], F.substring("s", 1, depth)).where("words > 1")
-    return merge_join(rows, edges.drop("lo", "lo_n"), ["back", "letter"]).select(
+    return merge_join(rows, edges.select("back", "letter", "child", "deep"), ["back", "letter"]).select(
         "back", "id", "n", "s", "size", "least", F.col("deep").alias("pos"), F.col("child").alias("node"),
         F.col("deep").alias("depth"), F.lit(0).alias("edits"))
 
@@ -138,7 +150,7 @@ def step(states: DataFrame) -> DataFrame:
     that pairs which don't fit are dropped inside it."""
     depth, pos, size, s = (F.col(c) for c in ("depth", "pos", "size", "s"))
     letter, lo, deep, words, label, left = (F.col(c) for c in ("letter", "lo", "deep", "words", "label", "left"))
-    path = states.where("edits = 0").select("back", "id", "n", "s", "node", "depth")
+    path = states.where("edits = 0").select("back", "id", "n", "s", "size", "node", "depth")
     edges = edges_of(path, ["back", "node", "depth"], F.substring("s", depth + 1, F.lit(1)))
     # an edge's letters after the first
     edges = edges.withColumns({"label": F.substring(lo, depth + 2, deep - depth - 1), "left": F.greatest(deep - depth - 1, F.lit(0))}).drop("depth")
@@ -160,7 +172,13 @@ def step(states: DataFrame) -> DataFrame:
         """Whether the word's letters from ``begin`` on, ``tail``, go on as the
         edge does after its first letter; at a single word they are all the rest."""
         n = size - begin
-        return F.when(words == 1, n == left).otherwise(n >= left) & F.startswith(tail, label)
+        # the words below end as this one does, if its last letters are still to come
+        after = n - left
+        ends = after >= 0
+        for k in ENDINGS:
+            bit = ending(deep + after, s, k)
+            ends = ends & ((after < k) | (F.col(f"end{k}").bitwiseAND(bit) != 0))
+        return F.startswith(tail, label) & F.when(words == 1, after == 0).otherwise(ends)
 
     one = F.when(letter == "", 0).otherwise(1)  # a word's end has no letter
     walk = edited & (letter == own) & taken(F.col("rest"), pos + one)
