@@ -4,19 +4,25 @@ Two layers:
   * functional forms, DataFrame in -> DataFrame out (upsert, keyed alert
     replace, group replace, resolve, delete, freshness) — checked against
     SQL;
-  * ``TableStore``: parquet tables under one root folder.  A full rewrite
-    goes to a new version folder and becomes current only when complete,
-    so a table can be rewritten from a plan that reads it, and a failed
-    job leaves the previous version intact.  Alerts are partitioned by
-    (agent, category) and replaced with dynamic partition overwrite.
+  * ``TableStore``: tables of Spark's catalog, written with ``INSERT``.
+    Alerts are partitioned by (agent, category) and replaced with dynamic
+    partition overwrite.
 """
 
 from __future__ import annotations
 
+import hashlib
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from supplyscope.schemas import TABLE_SCHEMAS, conform
+from supplyscope.session import written
+from supplyscope.sources.tables import table_exists
+
+PARTITIONS = {"alerts": ("agent", "category")}
+RESOLUTIONS = "id long, created_at string"
 
 
 # ------------------------------------------------------------------ functional forms
@@ -113,78 +119,92 @@ def predictions_exist(predictions: DataFrame, prediction_type: str) -> DataFrame
 # ------------------------------------------------------------------ table store
 
 class TableStore:
-    """Versioned parquet tables under ``root`` (any Hadoop filesystem)."""
+    """Tables of Spark's catalog, in a database of their own whose files lie
+    under ``root``.
+
+    Tables are external parquet tables, so that a session with a new catalog
+    finds them again by their place (``exists``).  A frame that is computed from
+    the table it replaces is written elsewhere first."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        jvm = spark._jvm
-        self._Path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._Path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
-
-    # -- paths
-    def _versions(self, name: str) -> list[int]:
-        p = self._Path(f"{self.root}/{name}")
-        if not self._fs.exists(p):
-            return []
-        out = []
-        for st in self._fs.listStatus(p):
-            n = st.getPath().getName()
-            if n.startswith("v=") and self._fs.exists(self._Path(f"{st.getPath()}/_COMMITTED")):
-                out.append(int(n[2:]))
-        return sorted(out)
-
-    def current(self, name: str) -> str | None:
-        v = self._versions(name)
-        return f"{self.root}/{name}/v={v[-1]}" if v else None
-
-    def _commit(self, path: str) -> None:
-        self._fs.create(self._Path(f"{path}/_COMMITTED")).close()
+        self.database = "supplyscope_" + hashlib.sha256(self.root.encode()).hexdigest()[:16]
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{self.root}'")
+
+    def _name(self, name: str) -> str:
+        return f"{self.database}.{name}"
+
+    def _path(self, name: str) -> str:
+        return f"{self.root}/{name}"
 
     def exists(self, name: str) -> bool:
-        """SRC6 for stored tables."""
-        return self.current(name) is not None
+        """SRC6: is the table in the catalog, or are its files under ``root``
+        (then it is registered again)."""
+        if table_exists(self.spark, self._name(name)):
+            return True
+        try:
+            found = self.spark.read.parquet(self._path(name)).schema
+        except AnalysisException as e:
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            return False
+        self._create(name, TABLE_SCHEMAS.get(name, found))
+        return True
+
+    def _create(self, name: str, schema) -> None:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        parts = f" PARTITIONED BY ({', '.join(PARTITIONS[name])})" if name in PARTITIONS else ""
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self._name(name)} ({columns}) USING parquet{parts} LOCATION '{self._path(name)}'")
+        if parts and self.spark.conf.get("spark.sql.catalogImplementation", "in-memory") == "hive":
+            self.spark.catalog.recoverPartitions(self._name(name))
 
-    # -- create / read
     def create_tables(self) -> None:
-        """SNK2: each table with its fixed schema, if absent."""
+        """SNK2: each table with its fixed schema, if absent; one that is there
+        keeps its rows."""
         for name, schema in TABLE_SCHEMAS.items():
-            if not self.exists(name):
-                self.overwrite(name, self.spark.createDataFrame([], schema))
+            self._create(name, schema)
 
     def read(self, name: str) -> DataFrame:
-        path = self.current(name)
-        if path is None:
+        if not self.exists(name):
             raise FileNotFoundError(name)
-        df = self.spark.read.parquet(path)
-        if name == "alerts":
-            df = self._with_resolutions(df)
-        if name in TABLE_SCHEMAS:
-            df = conform(df, TABLE_SCHEMAS[name])
-        return df
-
-    # -- writes
-    def overwrite(self, name: str, df: DataFrame, partition_by=None) -> str:
-        """SNK1 / SNK3 / SNK5 / SNK9: full replace into a new version folder."""
-        v = (self._versions(name) or [0])[-1] + 1
-        path = f"{self.root}/{name}/v={v}"
-        w = df.write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
-        self._commit(path)
-        return path
+        df = self.spark.table(self._name(name))
+        if name == "alerts" and self.exists("resolutions"):
+            df = resolve(df, self.spark.table(self._name("resolutions")))
+        return conform(df, TABLE_SCHEMAS[name]) if name in TABLE_SCHEMAS else df
+
+    def _insert(self, name: str, df: DataFrame, mode: str, partitions: str = "static") -> None:
+        """Rows into a table that exists, by its columns' names.  Which
+        partitions an overwrite replaces is a setting of the session."""
+        setting, conf = "spark.sql.sources.partitionOverwriteMode", self.spark.conf
+        before = conf.get(setting)
+        conf.set(setting, partitions)
+        try:
+            columns = self.spark.table(self._name(name)).columns
+            df.select(*columns).write.insertInto(self._name(name), overwrite=mode == "overwrite")
+        finally:
+            conf.set(setting, before)
+
+    def overwrite(self, name: str, df: DataFrame) -> None:
+        """SNK1 / SNK3 / SNK5: the table's whole content is replaced; a table
+        that is absent, or has other columns, is made."""
+        same = self.exists(name) and sorted(self.spark.table(self._name(name)).columns) == sorted(df.columns)
+        staged = written(df, name)
+        if same:
+            self._insert(name, staged, "overwrite")
+            return
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._name(name)}")
+        staged.write.mode("overwrite").option("path", self._path(name)).saveAsTable(self._name(name))
 
     def append(self, name: str, df: DataFrame) -> None:
-        """SNK6: add rows to the current version."""
-        path = self.current(name)
-        if path is None:
-            self.overwrite(name, df)
+        """SNK6: rows are added."""
+        if self.exists(name):
+            self._insert(name, df, "append")
         else:
-            df.write.mode("append").parquet(path)
+            self.overwrite(name, df)
 
     def upsert(self, name: str, new: DataFrame, keys, order_col: str | None = None) -> None:
-        """SNK4 on the stored table (rewrite into a new version)."""
+        """SNK4 on the stored table."""
         base = self.read(name) if self.exists(name) else new.limit(0)
         self.overwrite(name, upsert(base, new, keys, order_col))
 
@@ -192,32 +212,21 @@ class TableStore:
         """SNK8: replace the (agent, category) groups present in ``new``
         with dynamic partition overwrite (other partitions untouched; an
         empty batch writes nothing)."""
-        df = conform(new, TABLE_SCHEMAS["alerts"])
-        path = self.current("alerts")
-        if path is None:
-            self.overwrite("alerts", df, partition_by=["agent", "category"])
-            return
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("agent", "category").parquet(path))
+        self._create("alerts", TABLE_SCHEMAS["alerts"])
+        self._insert("alerts", written(conform(new, TABLE_SCHEMAS["alerts"]), "alerts"), "overwrite", "dynamic")
 
     def clear_alerts(self) -> None:
-        """SNK9: an empty alerts table (new version)."""
-        self.overwrite("alerts", self.spark.createDataFrame([], TABLE_SCHEMAS["alerts"]),
-                       partition_by=["agent", "category"])
+        """SNK9: no alert is left, nor any resolution of one."""
+        self._create("alerts", TABLE_SCHEMAS["alerts"])
+        self._insert("alerts", self.spark.createDataFrame([], TABLE_SCHEMAS["alerts"]), "overwrite")
         if self.exists("resolutions"):
-            self.overwrite("resolutions", self.spark.createDataFrame([], "id long, created_at string"))
+            self._insert("resolutions", self.spark.createDataFrame([], RESOLUTIONS), "overwrite")
 
     def resolve_alerts(self, ids: DataFrame) -> None:
         """SNK10: record resolutions of stored alerts by id and run stamp
         (append-only table, applied on read)."""
-        stored = self.spark.read.parquet(self.current("alerts"))
         wanted = ids.select(F.col("id").cast("bigint")).distinct()
-        self.append("resolutions", stored.join(wanted, "id", "left_semi").select("id", "created_at"))
-
-    def _with_resolutions(self, alerts: DataFrame) -> DataFrame:
-        if not self.exists("resolutions"):
-            return alerts
-        return resolve(alerts, self.spark.read.parquet(self.current("resolutions")))
+        self.append("resolutions", self.spark.table(self._name("alerts")).join(wanted, "id", "left_semi").select("id", "created_at"))
 
     def delete_where(self, name: str, pred) -> None:
         """SNK11 on a stored table."""

@@ -213,14 +213,17 @@ def q_prj16(spark, d):
     return encode.fit_label_codes(items(spark, d))
 
 
-@register("prj19_apply_codes", with_(ITEMS) + """,
+PRJ19_SQL = with_(ITEMS) + """,
 codes AS (SELECT 'market' AS c, market AS v, CAST(dense_rank() OVER (ORDER BY market) - 1 AS INTEGER) AS code
           FROM (SELECT DISTINCT market FROM items)),
 seg AS (SELECT customer_segment AS v, CAST(dense_rank() OVER (ORDER BY customer_segment) - 1 AS INTEGER) AS code
         FROM (SELECT DISTINCT customer_segment FROM items))
 SELECT i.order_id, i.line_number, i.part_key, i.supp_key, coalesce(c.code, -1) AS market_enc,
        coalesce(s.code, -1) AS customer_segment_enc
-FROM items i LEFT JOIN codes c ON i.market = c.v LEFT JOIN seg s ON i.customer_segment = s.v""")
+FROM items i LEFT JOIN codes c ON i.market = c.v LEFT JOIN seg s ON i.customer_segment = s.v"""
+
+
+@register("prj19_apply_codes", PRJ19_SQL)
 def q_prj19(spark, d):
     """PRJ19: re-apply a stored mapping to rows (unseen -> -1)."""
     it = items(spark, d)

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from supplyscope.operators import encode, models, tables
-from supplyscope.plans.catalog import feats, inventory, weekly
+from supplyscope.operators import encode, models, sinks, tables
+from supplyscope.operators.reuse import Records, content_digest, step_key
+from supplyscope.plans.catalog import KEYS, PRJ19_SQL, feats, inventory, weekly
 from supplyscope.plans.context import run_for
 from supplyscope.plans.registry import register
 from supplyscope.plans.sqlparts import SEQ, SEQ_TEXT, with_
 from supplyscope.plans.sqlparts_alerts import PREDS, RUN_TS, hid
+from supplyscope.session import output_root
 
 PRED_COLS = "id, created_at, prediction_type, product_name, order_id, predicted_value, confidence_score, label"
 
@@ -104,6 +108,37 @@ def q_jon1(spark, d):
         "product_name", "label", "predicted_value", "confidence_score")
 
 
+# ---------------------------------------------------------------- reuse
+
+@register("mld8_reuse_label_codes", PRJ19_SQL)
+def q_mld8(spark, d):
+    """MLD8: a fitted model (label codes) is stored under its input's digest;
+    the same input, though its rows come in another order, finds it again, and
+    what it gives is what a new fit gives."""
+    lines, columns = run_for(spark, d).feats, ["market", "customer_segment"]
+    records = Records(spark, output_root(spark, f"records/{uuid.uuid4().hex}"))
+    for frame in (lines, lines.repartition(7)):
+        key = step_key("label_codes", content_digest(frame, columns), columns, {})
+        codes, reused = records.model("label_codes", key, RUN_TS, spark.read.parquet, lambda: encode.fit_label_codes(lines, columns),
+                                      lambda m, path: m.write.parquet(path))
+    assert reused
+    return encode.apply_label_codes(lines, codes, columns).select(*KEYS, "market_enc", "customer_segment_enc")
+
+
+@register("snk13_rerun_appends_once", with_(PREDS) + f"\nSELECT {PRED_COLS} FROM preds")
+def q_snk13_rerun(spark, d):
+    """SNK13: predictions of the same input are appended once, however often
+    the step runs."""
+    run, root = run_for(spark, d), output_root(spark, f"stores/{uuid.uuid4().hex}")
+    store, records = sinks.TableStore(spark, root), Records(spark, root)
+    digest = content_digest(run.feats, ["order_id", "line_number", "product_name", "sales", "quantity", "late_delivery_risk"])
+    for stamp in (RUN_TS, "2026-01-02T00:00:00"):
+        for kind in ("delivery", "inventory", "demand"):
+            rows = run.preds.where(F.col("prediction_type") == kind)
+            records.rows(kind, step_key(kind, digest, [], {}), stamp, lambda r=rows: store.append("predictions", r))
+    return store.read("predictions")
+
+
 # ---------------------------------------------------------------- learned forms (rows checks)
 
 @register("mld1_mld2_delivery_forest")

@@ -3,15 +3,19 @@ data-quality checks."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from supplyscope.operators import quality, sampling, sinks
-from supplyscope.plans.catalog import INV_COLS, draw_lines, feats, flagged, inventory, weekly
+from supplyscope.operators import quality, sampling, sinks, tables
+from supplyscope.plans.catalog import INV_COLS, ORDERS_SQL, draw_lines, feats, flagged, inventory, orders_table, weekly
 from supplyscope.plans.catalog_alerts import A_COLS, agent_alerts, all_alerts, conflict_alerts
-from supplyscope.plans.catalog_models import all_preds
+from supplyscope.plans.catalog_models import PRED_COLS, all_preds
 from supplyscope.plans.registry import register
 from supplyscope.plans.sqlparts import SEQ, with_
 from supplyscope.plans.sqlparts_alerts import CONFLICTS
+from supplyscope.schemas import PREDICTION_TYPES, TABLE_SCHEMAS
+from supplyscope.session import output_root
 
 W = with_(CONFLICTS)
 BASE_COLS = ("id, created_at, agent, severity, category, product_name, order_id, message, "
@@ -222,3 +226,93 @@ UNION ALL SELECT 'search:width', true, '21'""")
 def q_dq7(spark, d):
     """DQ7: search finds a known word, not a nonsense one; 21 columns."""
     return quality.search_checks(flagged(spark, d), "gizmo", "qwxzv")
+
+
+# ---------------------------------------------------------------- stored tables
+
+def _store(spark):
+    """An empty store of its own for each query that writes one."""
+    return sinks.TableStore(spark, output_root(spark, f"stores/{uuid.uuid4().hex}"))
+
+
+@register("snk1_snk5_derived_tables", W + """
+SELECT 'inventory' AS name, count(*) AS n, CAST(sum(simulated_stock) AS DOUBLE) AS total FROM inventory_t
+UNION ALL SELECT 'weekly_demand', count(*), CAST(sum(weekly_qty) AS DOUBLE) FROM weekly""")
+def q_snk1(spark, d):
+    """SNK1 + SNK5: derived tables written, and written again over other rows."""
+    st, inv, week = _store(spark), inventory(spark, d), tables.weekly_table(weekly(spark, d))
+    for name, frame in (("inventory", inv), ("weekly_demand", week)):
+        st.overwrite(name, frame.limit(3))
+        st.overwrite(name, frame)
+    return (st.read("inventory").select(F.lit("inventory").alias("name"), F.count(F.lit(1)).alias("n"), F.sum("simulated_stock").cast("double").alias("total"))
+            .unionByName(st.read("weekly_demand").select(F.lit("weekly_demand").alias("name"), F.count(F.lit(1)).alias("n"),
+                                                         F.sum("total_quantity").alias("total"))))
+
+
+@register("snk2_create_tables", W + f"""
+SELECT {', '.join(INV_COLS)} FROM inventory_t""")
+def q_snk2(spark, d):
+    """SNK2: the five tables made twice; rows stored in between stay."""
+    st = _store(spark)
+    st.create_tables()
+    st.append("inventory", inventory(spark, d))
+    st.create_tables()
+    assert all(st.exists(name) for name in TABLE_SCHEMAS)
+    return st.read("inventory")
+
+
+@register("snk3_replace_orders", with_(ORDERS_SQL) + "\nSELECT * FROM orders_t")
+def q_snk3(spark, d):
+    """SNK3: the stored orders replaced whole, read back."""
+    st, orders = _store(spark), orders_table(flagged(spark, d))
+    st.create_tables()
+    st.append("orders", orders.limit(10))
+    st.overwrite("orders", orders)
+    return st.read("orders")
+
+
+@register("snk6_append_predictions", W + f"""
+SELECT {PRED_COLS} FROM preds""")
+def q_snk6(spark, d):
+    """SNK6: predictions appended type by type, read back."""
+    st, preds = _store(spark), all_preds(spark, d)
+    st.create_tables()
+    for kind in PREDICTION_TYPES:
+        st.append("predictions", preds.where(F.col("prediction_type") == kind))
+    return st.read("predictions")
+
+
+@register("snk9_clear_alerts", W + f"""
+SELECT {BASE_COLS} FROM agent_alerts WHERE category = 'inventory'""")
+def q_snk9(spark, d):
+    """SNK9: all stored alerts cleared, resolutions with them; then one
+    category is stored, and it is open."""
+    st, a = _store(spark), agent_alerts(spark, d)
+    st.write_alerts(a)
+    st.resolve_alerts(a.where("category = 'inventory'").select("id"))
+    st.clear_alerts()
+    assert st.read("alerts").isEmpty()
+    st.write_alerts(a.where("category = 'inventory'"))
+    return st.read("alerts")
+
+
+@register("src6_table_exists", W + """
+SELECT 'inventory' AS name, true AS found, count(*) AS n FROM inventory_t UNION ALL SELECT 'no_such_table', false, 0""")
+def q_src6(spark, d):
+    """SRC6: a stored table is found, with its rows; another is not."""
+    st = _store(spark)
+    st.overwrite("inventory", inventory(spark, d))
+    n = F.count(F.lit(1)).alias("n")
+    one = st.read("inventory").select(F.lit("inventory").alias("name"), F.lit(st.exists("inventory")).alias("found"), n)
+    return one.unionByName(st.read("inventory").limit(0).select(F.lit("no_such_table").alias("name"), F.lit(st.exists("no_such_table")).alias("found"), n))
+
+
+@register("dq5_insert_resolve_round_trip", W + f"""
+SELECT {BASE_COLS.replace('is_resolved', "CASE WHEN category = 'inventory' AND severity = 'CRITICAL' THEN 1 ELSE is_resolved END AS is_resolved")}
+FROM agent_alerts""")
+def q_dq5(spark, d):
+    """DQ5: alerts stored, some resolved by id, all read back."""
+    st, a = _store(spark), agent_alerts(spark, d)
+    st.write_alerts(a)
+    st.resolve_alerts(a.where("category = 'inventory' AND severity = 'CRITICAL'").select("id"))
+    return st.read("alerts")
