@@ -4,7 +4,7 @@ Fingerprints are the least k-gram hash of each run of consecutive k-grams of
 one window (10 words: 5-grams, runs of 6).  Two texts that share 10 words in a
 row share all hashes of that run and so its least one: a document word span
 that equals an item's window is always found.  Matching fingerprints are
-extended to whole windows, which are compared by a 64-bit hash of their words.
+extended to whole windows: those of equal hash are compared word by word.
 
 Items are processed in blocks of bounded size, each sent to the tasks as
 sorted arrays; a benchmark of one block takes a single pass over the documents
@@ -58,12 +58,13 @@ def present(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
 
 class Items:
     """A block of benchmark items as arrays: fingerprints, and for each window
-    length the sorted window hashes with the items they occur in."""
+    length the sorted window hashes with the items they occur in and, for each
+    of these, a place where the window's words stand."""
 
     def __init__(self, names: list[str], texts: list[str]):
         data, off = byte_view(pa.array(texts, pa.large_string()))
         w = Words(data, off)
-        self.names = names
+        self.names, self.words = names, w
         self.prints = np.unique(w.grams(GRAM)[selected(w, None if len(w.hash) < WINDOW else w.grams(GRAM))]
                                 if len(w.hash) >= WINDOW else np.zeros(0, np.uint64))
         at: dict[int, list] = {}
@@ -76,9 +77,19 @@ class Items:
         for size, parts in at.items():
             item, start = (np.concatenate(x) for x in zip(*parts, strict=True))
             h = w.gram_at(start, size)
-            pair = np.unique(np.rec.fromarrays([h, item], names="h,i"))
-            keys, begin = np.unique(pair["h"], return_index=True)
-            self.windows[size] = (keys, np.append(begin, len(pair)), pair["i"].astype(np.int64))
+            order = np.lexsort((start, item, h))
+            h, item, start = h[order], item[order], start[order]
+            new = np.r_[True, (h[1:] != h[:-1]) | (item[1:] != item[:-1])]
+            # an item's further windows of one hash count only if their words differ
+            keep, seen = new.copy(), set()
+            for i in np.flatnonzero(~new).tolist():
+                if new[i - 1]:
+                    seen = {w.window(int(start[i - 1]), size)}
+                words = w.window(int(start[i]), size)
+                keep[i] = words not in seen
+                seen.add(words)
+            keys, begin = np.unique(h[keep], return_index=True)
+            self.windows[size] = (keys, np.append(begin, int(keep.sum())), item[keep].astype(np.int64), start[keep])
 
     @classmethod
     def of(cls, arrays: dict) -> Items:
@@ -91,7 +102,7 @@ class Items:
         """Hit mask of the words, and (text, item) index pairs."""
         mark = np.zeros(len(w.hash) + 1, np.int32)
         text, pairs = w.text_of(), []
-        for size, (keys, begin, items) in self.windows.items():
+        for size, (keys, begin, items, place) in self.windows.items():
             if size == WINDOW:
                 g = w.grams(GRAM)
                 near = selected(w, g)
@@ -104,14 +115,21 @@ class Items:
             start = start[text[start] == text[start + size - 1]]
             h = w.gram_at(start, size)
             found = present(h, keys)
-            start, h = start[found], h[found]
-            np.add.at(mark, start, 1)
-            np.add.at(mark, start + size, -1)
-            if len(start):
-                t, k = np.unique(np.stack([text[start], np.searchsorted(keys, h)]), axis=1)
-                many = begin[k + 1] - begin[k]
-                at = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many) + np.repeat(begin[k], many)
-                pairs.append(np.stack([np.repeat(t, many), items[at]]))
+            start, k = start[found], np.searchsorted(keys, h[found])
+            if not len(start):
+                continue
+            many = begin[k + 1] - begin[k]
+            at = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many) + np.repeat(begin[k], many)
+            start = np.repeat(start, many)
+            # the hash proposes, the words decide
+            theirs = {p: self.words.window(p, size) for p in set(place[at].tolist())}
+            mine = {p: w.window(p, size) for p in set(start.tolist())}
+            same = np.array([mine[p] == theirs[q] for p, q in zip(start.tolist(), place[at].tolist(), strict=True)])
+            start, at = start[same], at[same]
+            hit = np.unique(start)
+            np.add.at(mark, hit, 1)
+            np.add.at(mark, hit + size, -1)
+            pairs.append(np.unique(np.stack([text[start], items[at]]), axis=1))
         both = np.unique(np.concatenate(pairs, axis=1), axis=1) if pairs else np.zeros((2, 0), np.int64)
         return np.cumsum(mark[:-1]) > 0, both
 

@@ -7,6 +7,8 @@ of a non-ASCII character is 0x80 or more, so bytes decide it exactly.
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 
 MASK = (1 << 64) - 1
@@ -26,17 +28,19 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 BYTE = mix(np.arange(1, 257, dtype=np.uint64) * STEP)
-
-
-def powers(n: int, base: int = int(GRAM)) -> np.ndarray:
-    out = np.full(max(n, 1), base, np.uint64)
-    out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
+#: Masks of the first 0 to 8 bytes of a little-endian 64-bit value.
+FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+#: Words of more bytes are digested instead of folded eight bytes at a time.
+LONG_WORD = 256
 
 
 class Words:
     """Words of texts laid end to end: ``hash`` by word, ``first`` the index
-    of each text's first word (one more entry for the end)."""
+    of each text's first word (one more entry for the end).
+
+    A word of up to eight bytes is hashed without loss; a longer one is folded
+    eight bytes at a time through a mixing that is not linear, a very long one
+    digested: words made of a few repeated parts are as safe as any."""
 
     def __init__(self, data: np.ndarray, off: np.ndarray):
         low = LOWER[data]
@@ -45,20 +49,34 @@ class Words:
         cut[off] = True
         before = np.empty_like(is_word)
         before[:1], before[1:] = False, is_word[:-1]
-        start = np.flatnonzero(is_word & (~before | cut[:-1]))
+        self.start = np.flatnonzero(is_word & (~before | cut[:-1]))
         after = np.empty_like(is_word)
         after[-1:], after[:-1] = False, is_word[1:]
         end = np.flatnonzero(is_word & (~after | cut[1:])) + 1
-        size = end - start
-        self.first = np.searchsorted(start, off)
+        self.size = end - self.start
+        self.first = np.searchsorted(self.start, off)
         self.count = np.diff(self.first)
-        if not len(start):
+        self.low = low
+        if not len(self.start):
             self.hash = np.zeros(0, np.uint64)
             return
-        head = np.cumsum(size) - size
-        place = np.arange(int(size.sum())) - np.repeat(head, size)
-        value = BYTE[low[is_word]] * powers(int(size.max()))[place]
-        self.hash = mix(np.add.reduceat(value, head) + size.astype(np.uint64) * STEP)
+        padded = np.concatenate([low, np.zeros(8, np.uint8)])
+        eight = np.ndarray((len(low) + 1,), "<u8", padded, strides=(1,))
+        self.hash = mix(eight[self.start] & FIRST[np.minimum(self.size, 8)])
+        more = np.flatnonzero((self.size > 8) & (self.size <= LONG_WORD))
+        done = 8
+        while len(more):
+            left = np.minimum(self.size[more] - done, 8)
+            self.hash[more] = mix(self.hash[more] * GRAM + (eight[self.start[more] + done] & FIRST[left]))
+            done += 8
+            more = more[self.size[more] > done]
+        for i in np.flatnonzero(self.size > LONG_WORD):
+            word = low[self.start[i]:self.start[i] + self.size[i]].tobytes()
+            self.hash[i] = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
+
+    def window(self, i: int, n: int) -> bytes:
+        """The n words from ``i`` on, one zero byte between them."""
+        return b"\0".join(self.low[a:a + k].tobytes() for a, k in zip(self.start[i:i + n].tolist(), self.size[i:i + n].tolist(), strict=True))
 
     def grams(self, k: int) -> np.ndarray:
         """Hash of the k words from each word on; those that would cross the
@@ -66,17 +84,17 @@ class Words:
         n = len(self.hash) - k + 1
         if n <= 0:
             return np.zeros(0, np.uint64)
-        acc = self.hash[:n].copy()
-        for j in range(1, k):
-            acc *= GRAM
-            acc += self.hash[j:n + j]
-        return mix(acc + np.uint64(k))
+        return self.gram(lambda j: self.hash[j:n + j], k)
 
     def gram_at(self, at: np.ndarray, k: int) -> np.ndarray:
-        acc = self.hash[at]
+        return self.gram(lambda j: self.hash[at + j], k)
+
+    @staticmethod
+    def gram(word, k: int) -> np.ndarray:
+        acc = mix(word(0) + np.uint64(k))
         for j in range(1, k):
-            acc = acc * GRAM + self.hash[at + j]
-        return mix(acc + np.uint64(k))
+            acc = mix(acc * GRAM + word(j))
+        return acc
 
     def text_of(self) -> np.ndarray:
         """Index of each word's text."""

@@ -5,9 +5,10 @@ import zlib
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from supplyscope.llm import language, quality, repeats
+from supplyscope.llm import decontaminate, language, neardup, quality, repeats
 from supplyscope.llm.components import components
 from supplyscope.llm.exact import exact_groups
 from supplyscope.llm.mixing import Mix, mix_report, mixed_rows
@@ -287,3 +288,78 @@ def test_language_query_counts_every_labelled_document(spark, tmp_path):
     spark.createDataFrame([(1, "http://a.fi/", f"<p>{FINNISH}</p>")], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
     out = QUERIES["op10_language_id"](spark, str(tmp_path)).collect()
     assert {r.lang for r in out if r.doc_id in held or r.page_id == 1} == {"fi"} and all(r.accepted for r in out)
+
+
+def alternating(order, a, b):
+    """Words a and b in the order of the Thue-Morse sequence, where sums of
+    powers cancel, and the same with a and b exchanged."""
+    bits = [0]
+    for _ in range(order):
+        bits += [1 - x for x in bits]
+    return "".join((a, b)[x] for x in bits), "".join((b, a)[x] for x in bits)
+
+
+@pytest.mark.parametrize("a, b", [("a", "b"), ("é", "z"), ("TgER", "CYet")])
+def test_words_made_of_repeated_parts_are_told_apart(spark, a, b):
+    """Long words whose polynomials agree are no hit (op3) and no link (op6)."""
+    one, other = alternating(10, a, b)
+    head = "one two three four five six seven eight nine "
+    docs = spark.createDataFrame([(1, head + one), (2, head + other), (3, one), (4, other)], "doc_id long, text string")
+    items = spark.createDataFrame([("x", head + one)], "item_id string, text string")
+    got = {r.id: (r.n_hit, r.contaminated) for r in decontaminate.contamination(docs, items).collect()}
+    assert got == {1: (10, True), 2: (0, False), 3: (0, False), 4: (0, False)}
+    alone = docs.filter("doc_id > 2")
+    assert all(r.n_links == 0 and r.kept for r in neardup.near_duplicates(alone).collect())
+
+
+def test_hash_proposes_and_words_decide(spark, monkeypatch):
+    """With a hash of 4 bits nearly everything collides; the result stays."""
+    from supplyscope.llm import textscan
+    whole = textscan.Words.gram
+    monkeypatch.setattr(textscan.Words, "gram", staticmethod(lambda word, k: whole(word, k) & np.uint64(15)))
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice(["a", "b", "c"], n)) for n in rng.integers(0, 60, 60)]
+    items = [(f"i{k}", " ".join(rng.choice(["a", "b", "c"], n))) for k, n in enumerate((3, 10, 12, 25, 7, 10, 40, 0))]
+    block = decontaminate.Items([i for i, _ in items], [t for _, t in items])
+    got = [(n, int(mask.sum()), len(set(names)), brute.sha(",".join(sorted(set(names)))), bool(mask.any()))
+           for n, mask, names in decontaminate.scan(block, pa.array(texts))]
+    assert got == [x[1:] for x in brute.contamination(list(enumerate(texts)), items)]
+
+
+def test_words_hash_each_word_alike_wherever_it_stands():
+    rng = np.random.default_rng(6)
+    words = ["".join(rng.choice(list("abé0"), n)) for n in (1, 2, 7, 8, 9, 15, 16, 17, 24, 25, 255, 256, 257, 300) for _ in range(40)]
+    from supplyscope.llm.textscan import Words
+    from supplyscope.llm.work import byte_view
+    order = rng.permutation(len(words))
+    a = Words(*byte_view(pa.array([" ".join(words)]))).hash
+    b = Words(*byte_view(pa.array([words[i] for i in order]))).hash
+    assert (a[order] == b).all()
+    assert len(set(a.tolist())) == len(set(words))
+
+
+def passages(lengths, seed):
+    """Documents of unlike words with a passage of n words twice, for each n;
+    their words have 3 to 8 letters."""
+    rng = np.random.default_rng(seed)
+    def word():
+        return "".join(chr(97 + c) for c in rng.integers(0, 26, rng.integers(3, 9)))
+    docs = []
+    for n in lengths:
+        shared = " ".join(word() for _ in range(n))
+        docs += [" ".join([*(word() for _ in range(30)), shared, *(word() for _ in range(30))]) for _ in range(2)]
+        docs.append(" ".join(word() for _ in range(90)))
+    return docs
+
+
+def test_repeats_of_planted_passages(spark):
+    """Passages of 51 to 120 words on both sides of 400 bytes: those of 400 or
+    more go, byte for byte as a plain version says, shorter ones stay."""
+    docs = list(enumerate(passages(range(51, 121, 3), 8)))
+    out = repeats.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()
+    got = sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in out)
+    want = sorted(brute.repeats(docs))
+    assert got == want
+    removed = {d: n for d, _, n, _, _ in want}
+    assert any(removed[3 * k] for k in range(24)) and any(not removed[3 * k] for k in range(24))
+    assert not any(removed[3 * k + 2] for k in range(24))
