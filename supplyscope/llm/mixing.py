@@ -97,6 +97,28 @@ def order_hash(id_col: Column, text: Column, seed: int) -> Column:
     return F.xxhash64(id_col, text, F.lit(seed))
 
 
+def apart(rows: DataFrame, many: DataFrame) -> DataFrame:
+    """``rows`` with a place of its own for every row: of those that share one
+    of the places ``many``, copies of an id and text, each hashes its number in.
+
+    Numbers come from a table that is written first: a row's place in its
+    partition, plus the group's rows in the partitions before, so a group of
+    any size is numbered by many tasks."""
+    if many.isEmpty():
+        return rows
+    both = merge_join(rows, many.withColumn("many", F.lit(True)), "place", "left")
+    copies = stash(both.where("many").drop("many").withColumn("m", F.monotonically_increasing_id()), "mix-copied-rows")
+    copies = copies.withColumn("part", F.shiftright("m", 33))
+    sizes = copies.groupBy("place", "part").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("place").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
+    local = F.row_number().over(Window.partitionBy("place", "part").orderBy("m"))
+    numbered = merge_join(copies.withColumn("local", local), sizes, ["place", "part"])
+    number = F.col("before") + F.col("local")
+    copies = numbered.withColumn("place", F.xxhash64("place", number))
+    return both.where("many IS NULL").select(*rows.columns).unionByName(copies.select(*rows.columns))
+
+
 def block_of(place: Column, blocks: Column) -> Column:
     """The block of a place: equal ranges of the hash."""
     unit = F.shiftrightunsigned(place, 11).cast("double") / F.lit(float(2 ** 53))
@@ -107,7 +129,12 @@ def block_of(place: Column, blocks: Column) -> Column:
 class Mix:
     """Plan of a mix: ``sized`` (payload, key, size, place), ``sources`` (key,
     source_size, target, blocks, passes, cut) and ``instances`` (key, block,
-    pass, shard)."""
+    pass, shard).
+
+    Null and empty texts have size 0, null sources are a source of their own;
+    rows that repeat an id (or have none) and a text are rows of their own, each
+    at a place of its own in the order; an empty table gives an empty mix; a long
+    text is one row like any other; only id, text and source are read."""
 
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                  share: float = SHARE, cap: float = CAP, weights: tuple = WEIGHTS, block_rows: int = BLOCK_ROWS,
@@ -118,6 +145,8 @@ class Mix:
             docs[id_col].alias("id"), docs[source_col].cast("string").alias("source"), source_key(docs[source_col]).alias("key"),
             F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
             order_hash(docs[id_col], text, seed).alias("place")), "mix-sized")
+        self.many = stash(self.sized.groupBy("place").agg(F.count("*").alias("n")).where("n > 1").select("place"), "mix-many")
+        self.sized = apart(self.sized, self.many)
         totals = self.sized.groupBy("key").agg(F.first("source").alias("source"), F.sum("size").alias("source_size"),
                                                F.count("*").alias("n_rows"))
         sources = targets(totals, share, cap, weights)
@@ -187,7 +216,8 @@ class Mix:
 
 def mix_report(mix: Mix) -> DataFrame:
     """One row per input row: id, size, source_size, target (its source's),
-    taken (words the mix takes, repeats counted), shards (of its instances)."""
+    taken (words the mix takes, repeats counted), shards (of its instances).
+    Edge cases are those of ``Mix``."""
     rows = mix.with_source(mix.sized, mix.n_sources, "source_size", "target", "blocks", "passes", "last", "cut")
     rows = rows.withColumn("block", block_of(F.col("place"), F.col("blocks")))
     dealt = stash(mix.instances.groupBy("key", "block").agg(
@@ -202,12 +232,14 @@ def mix_report(mix: Mix) -> DataFrame:
 
 
 def mixed_rows(docs: DataFrame, mix: Mix, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The mix itself: the columns of ``docs`` and ``mix_shard``, ``mix_pass``;
-    one partition or more a shard, each shuffled."""
+    """The mix itself: the columns of ``docs``, whatever their names, and
+    ``mix_shard``, ``mix_pass``; a shard's rows lie in one partition, shuffled,
+    maybe beside other shards.  Edge cases are those of ``Mix``; which of rows
+    with equal id and text is taken, is not told by their other columns."""
     text = text_or_empty(docs[text_col])
     rows = docs.select(F.struct(*(named(docs, c).alias(c) for c in docs.columns)).alias("payload"), source_key(docs[source_col]).alias("key"),
                        order_hash(docs[id_col], text, mix.seed).alias("place"))
-    rows = mix.with_source(rows, mix.n_sources, "blocks", "passes", "last", "cut")
+    rows = mix.with_source(apart(rows, mix.many), mix.n_sources, "blocks", "passes", "last", "cut")
     rows = rows.withColumn("block", block_of(F.col("place"), F.col("blocks")))
     taken = merge_join(rows, mix.instances, ["key", "block"]).filter(mix.chosen())
     out = taken.repartition("shard").sortWithinPartitions("shard", F.xxhash64("place", "pass", F.lit(mix.seed)), "place")

@@ -154,6 +154,35 @@ def test_mix_odd_rows(odd_docs, no_docs):
     assert mixed_rows(no_docs, Mix(no_docs)).collect() == []
 
 
+def check_words_by_source(df):
+    """Each source's taken words are near its target, whatever rows repeat;
+    sources are told by their size."""
+    sizes, largest = {}, {}
+    for r in df.select("text", "source").collect():
+        n = len(re.findall(r"[^\x20\x09-\x0D]+", r.text or ""))
+        sizes[r.source] = sizes.get(r.source, 0) + n
+        largest[r.source] = max(largest.get(r.source, 0), n)
+    want, taken = brute.targets(sizes), {}
+    mix = Mix(df)
+    got = mix_report(mix).collect()
+    assert len(got) == df.count() and len({n for n in sizes.values() if n}) == sum(n > 0 for n in sizes.values())
+    for r in got:
+        taken[r.source_size] = taken.get(r.source_size, 0) + r.taken
+        assert r.taken <= 2 * r.size
+    for s, n in sizes.items():
+        assert n == 0 or abs(taken[n] - want[s]) <= 1.5 * largest[s], (s, taken[n], want[s])
+    words = sum(len(re.findall(r"[^\x20\x09-\x0D]+", r.text or "")) for r in mixed_rows(df, mix).select("text").collect())
+    assert words == sum(taken.values())
+    assert sorted(map(str, map(tuple, got))) == rows(mix_report(Mix(df.repartition(2))))
+
+
+def test_mix_of_repeated_rows(spark, odd_docs):
+    check_words_by_source(odd_docs)
+    same = [(None, "five words of one text", "a")] * 600 + [(7, "some words", "b")] * 300 + [(8, "a b c", "b")] * 3
+    more = [(i, "word " * (i % 9), "c") for i in range(100)] + [(i, "w " * 11, None) for i in range(50)]
+    check_words_by_source(spark.createDataFrame(same + more, "doc_id long, text string, source string").repartition(5))
+
+
 def test_mix_shards_have_equal_quotas(small):
     mix = Mix(small, block_rows=2, shard_words=3000)
     per = [r["count"] for r in mix.instances.groupBy("shard").count().collect()]
