@@ -139,21 +139,27 @@ def start(words: DataFrame, depth: int) -> DataFrame:
     edges = edges_of(rows.drop("letter"), ["back"], F.substring("s", 1, depth)).where("words > 1")
     return merge_join(rows, edges.select("back", "letter", "child", "deep"), ["back", "letter"]).select(
         "back", "id", "n", "s", "size", "least", F.col("deep").alias("pos"), F.col("child").alias("node"),
-        F.col("deep").alias("depth"), F.lit(0).alias("edits"))
+        F.col("deep").alias("depth"), F.lit(0).alias("edits"), F.col("size").alias("want"))
 
 
 def step(states: DataFrame) -> DataFrame:
     """One level: each state along the edges that it can take.  A row with
     ``other`` is a pair of neighbours, the others are the next level's states.
 
-    What a pair of state and edge is tested by is computed before the join, so
-    that pairs which don't fit are dropped inside it."""
+    A state that knows its next letter (on its own path, after its edit, or when
+    its edit leaves a letter out) is joined with the one edge of that letter.
+    One whose edit is any other letter is joined with the single words of its
+    node by all the letters that are left, and with the other edges pair by
+    pair, whose sizes and endings are compared as bits."""
     depth, pos, size, s = (F.col(c) for c in ("depth", "pos", "size", "s"))
     letter, lo, deep, words, label, left = (F.col(c) for c in ("letter", "lo", "deep", "words", "label", "left"))
     path = states.where("edits = 0").select("back", "id", "n", "s", "size", "node", "depth")
     edges = edges_of(path, ["back", "node", "depth"], F.substring("s", depth + 1, F.lit(1)))
     # an edge's letters after the first
-    edges = edges.withColumns({"label": F.substring(lo, depth + 2, deep - depth - 1), "left": F.greatest(deep - depth - 1, F.lit(0))}).drop("depth")
+    edges = stash(edges.select(
+        "back", "node", "letter", "child", "words", "lo", "lo_n", "deep", *[f"end{k}" for k in ENDINGS],
+        F.substring(lo, depth + 2, deep - depth - 1).alias("label"), F.greatest(deep - depth - 1, F.lit(0)).alias("left")), "spelling-edges")
+    keys, kept = ["back", "node"], ["back", "id", "n", "s", "size", "least"]
 
     def at(i: Column) -> Column:
         return F.substring(s, i + 1, F.lit(1))
@@ -161,51 +167,64 @@ def step(states: DataFrame) -> DataFrame:
     def rest(i: Column) -> Column:
         return F.substring(s, i + 1, size)
 
-    edited = F.col("edits") == 1
-    states = states.withColumns({
-        # the word's next letter on its path, or after its edit, and the letter that follows
-        "own": F.when(edited, at(pos)).otherwise(at(depth)), "next": F.when(~edited, at(depth + 1)),
-        "rest": F.when(edited, rest(pos + 1)).otherwise(rest(depth)), "may": ~edited & (depth >= F.col("least"))})
-    own, after, may = F.col("own"), F.col("next"), F.col("may")
+    def bits(want: Column, name: str) -> dict:
+        """What the endings of the words sought are, for words of a size."""
+        return {f"{name}{k}": ending(want, s, k) for k in ENDINGS}
 
-    def taken(tail: Column, begin: Column) -> Column:
+    def goes_on(tail: Column, begin: Column, name: str) -> Column:
         """Whether the word's letters from ``begin`` on, ``tail``, go on as the
-        edge does after its first letter; at a single word they are all the rest."""
-        n = size - begin
-        # the words below end as this one does, if its last letters are still to come
-        after = n - left
+        edge does after its first letter, and may end as a word below it does;
+        at a single word they are all the rest."""
+        after = size - begin - left
         ends = after >= 0
         for k in ENDINGS:
-            bit = ending(deep + after, s, k)
-            ends = ends & ((after < k) | (F.col(f"end{k}").bitwiseAND(bit) != 0))
-        return F.startswith(tail, label) & F.when(words == 1, after == 0).otherwise(ends)
-
-    one = F.when(letter == "", 0).otherwise(1)  # a word's end has no letter
-    walk = edited & (letter == own) & taken(F.col("rest"), pos + one)
-    path_on = ~edited & (letter == own) & (words > 1)
-    other = may & (letter != own)
-    changed = other & (letter != "") & (own != "") & taken(rest(depth + 1), depth + 1)
-    more = other & (letter != "") & taken(F.col("rest"), depth)
-    fewer = other & (own != "") & (letter == after) & taken(rest(depth + 2), depth + 1 + one)
-    fits = path_on | walk | (other & (changed | more | fewer))
-    right = edges.withColumnsRenamed({"back": "_back", "node": "_node"}).hint("merge")
-    both = states.join(right, (F.col("back") == F.col("_back")) & (F.col("node") == F.col("_node")) & fits)
-
-    def to(i: Column, when: Column, edits: int) -> Column:
-        return F.when(when, F.struct(F.lit(edits).alias("edits"), (i + left).alias("pos")))
-
-    moves = F.array_compact(F.array(
-        F.when(path_on, F.struct(F.lit(0).alias("edits"), deep.alias("pos"))), to(pos + 1, walk, 1), to(depth + 1, changed, 1),
-        to(depth, more, 1), to(depth + 2, fewer, 1)))
+            # endings that reach back before these letters say nothing
+            ends = ends & ((after < k) | (F.col(f"end{k}").bitwiseAND(F.col(f"{name}{k}")) != 0))
+        return F.when(words == 1, after == 0).otherwise(ends) & F.startswith(tail, label)
+
+    def moved(rows: DataFrame, new_pos: Column, edits: Column, want: Column) -> DataFrame:
+        return rows.select(*kept, new_pos.alias("pos"), F.col("child").alias("node"), deep.alias("depth"), edits.alias("edits"),
+                           want.alias("want"), (words == 1).alias("found"), "lo", "lo_n")
+
+    edited, own = F.col("edits") == 1, at(depth)
+    may = ~edited & (depth >= F.col("least"))
+
+    def ask(edits: int, what: Column, place: Column, want: Column) -> Column:
+        return F.struct(F.lit(edits).alias("edits"), what.alias("letter"), place.alias("place"), want.alias("want"))
+
+    asks = F.array(F.when(edited, ask(1, at(pos), pos, F.col("want"))), F.when(~edited, ask(0, own, depth, size)),
+                   F.when(may & (own != "") & (at(depth + 1) != own), ask(1, at(depth + 1), depth + 1, size - 1)))
+    asked = states.select(*kept, "node", F.explode(asks).alias("ask")).where("ask IS NOT NULL").select(*kept, "node", "ask.*")
+    asked = asked.withColumns(bits(F.col("want"), "end_of"))
+    begin = F.col("place") + F.when(letter == "", 0).otherwise(1)  # a word's end has no letter
+    known = merge_join(asked, edges, [*keys, "letter"])
+    stays = F.col("edits") == 0
+    known = known.where((stays & (words > 1)) | (~stays & goes_on(rest(begin), begin, "end_of")))
+    out = moved(known, F.when(stays, deep).otherwise(begin + left), F.col("edits"), F.col("want"))
+
+    # the first unlike letter is another one, or one more
+    free = states.where(may).select(*kept, "node", "depth", own.alias("own"))
+    tails = F.array(F.when(F.col("own") != "", F.struct(rest(depth + 1).alias("label"), size.alias("want"))),
+                    F.struct(rest(depth).alias("label"), (size + 1).alias("want")))
+    single = free.select(*kept, "node", "own", F.explode(tails).alias("tail")).where("tail IS NOT NULL").select(*kept, "node", "own", "tail.*")
+    alone = edges.where((words == 1) & (letter != "")).select(*keys, "label", "letter", "child", "words", "lo", "lo_n", "deep")
+    single = merge_join(single, alone, [*keys, "label"]).where(letter != F.col("own"))
+    out = out.unionByName(moved(single, size, F.lit(1), F.col("want")))
+
+    free = free.withColumns({**bits(size, "same"), **bits(size + 1, "more"), "same_rest": rest(depth + 1), "more_rest": rest(depth)})
+    changed = (F.col("own") != "") & goes_on(F.col("same_rest"), depth + 1, "same")
+    longer = goes_on(F.col("more_rest"), depth, "more")
+    many = edges.where(words > 1).withColumnsRenamed({"back": "_back", "node": "_node"}).hint("merge")
+    pairs = free.join(many, (F.col("back") == F.col("_back")) & (F.col("node") == F.col("_node")) & (letter != F.col("own")) & (changed | longer))
+    for when, i, want in ((changed, depth + 1, size), (longer, depth, size + 1)):
+        out = out.unionByName(moved(pairs.where(when).drop("node"), i + left, F.lit(1), want))
+
     half = F.floor(size / 2).cast("int")
     # the back trie keeps what the front one can't find: words that differ in their first half
-    found, missed = words == 1, ~F.col("back") | ~F.right(s, half).eqNullSafe(F.right(lo, half))
-    moved = both.where(~found | missed).withColumn("move", F.explode(moves))
-    return moved.select(
-        "back", "id", "n", "s", "size", "least", F.col("move.pos").alias("pos"), F.col("child").alias("node"),
-        deep.alias("depth"), F.col("move.edits").alias("edits"),
-        F.when(found, F.when(F.col("back"), F.reverse(lo)).otherwise(lo)).alias("other"),
-        F.when(found, F.col("lo_n")).alias("other_n"))
+    found, missed = F.col("found"), ~F.col("back") | ~F.right(s, half).eqNullSafe(F.right(lo, half))
+    return out.where(~found | missed).select(
+        *kept, "pos", "node", "depth", "edits", "want",
+        F.when(found, F.when(F.col("back"), F.reverse(lo)).otherwise(lo)).alias("other"), F.when(found, F.col("lo_n")).alias("other_n"))
 
 
 def neighbours(words: DataFrame, min_length: int) -> DataFrame:
