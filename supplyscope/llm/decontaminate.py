@@ -172,7 +172,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     Null and empty texts have no words; an empty benchmark hits nothing; null
     ids and repeated rows pass through.  A null item id is written as an empty
-    string.
+    string; rows that share an item id are one item.  An empty table gives no
+    rows; a long text is scanned whole; ``carry`` is a struct, so names can't
+    clash.
     """
     spark = session(docs)
     c = Carried(docs, id_col, text_col, carry)

@@ -238,7 +238,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     A class is a connected component of links.  Texts without words (null,
     empty, punctuation) have no shingles and no links: each is a class of its
     own.  Rows that repeat an id and text are linked copies.  A class of null
-    ids has a null class_id.
+    ids has a null class_id.  An empty table gives no rows; a long text is one
+    set of shingles like any other; ``carry`` is a struct, so names can't clash.
     """
     session(docs)
     c = Carried(docs, id_col, text_col, carry)

@@ -179,7 +179,10 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
     Null and empty texts have all statistics 0 and are scored like any row; a
     row without a label is scored too.  Without labels of both kinds the score
-    is the smoothed share of good labels.
+    is the smoothed share of good labels.  Repeated rows and rows without an id
+    (which belong to no label) are scored each; a long text is measured whole,
+    in a batch of its own; an empty table gives no rows; other columns are not
+    read, so their names can't clash.
     """
     spark = session(docs)
     known = stash(document_stats(docs, id_col, text_col), "quality-stats")

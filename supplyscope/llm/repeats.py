@@ -342,7 +342,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     and, with ``with_text``, kept (binary: the remaining bytes).
 
     Null and empty texts and texts under ``length`` bytes lose nothing;
-    repeated rows count as copies of each other; null ids pass through.
+    repeated rows count as copies of each other; null ids pass through; an
+    empty table gives no rows; other columns are not read, so their names can't
+    clash.  A text is never split: one much longer than ``chunk_bytes`` is a
+    chunk of its own and takes some 40 bytes of memory for each of its bytes.
     """
     r = Repeats(docs, id_col, text_col, length, cover, chunk_bytes, bucket_names)
     v, d = r.cover
