@@ -5,6 +5,11 @@ Each stage takes (spark, docs, sf_dir) and calls one operator of
 ``supplyscope.llm``; all but the last return the columns of ``docs``.  A stage's
 inner tables are emptied when the next stage begins, so its result must be
 written first.
+
+Every stage takes nulls in any column, empty and long texts, repeated rows,
+empty tables and extra columns of any name as its operator does: null and empty
+texts go in the first stage (no letters); rows without an id stay and are the
+smallest where a stage keeps the largest id; an empty table gives no rows.
 """
 
 from __future__ import annotations
