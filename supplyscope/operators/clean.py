@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from supplyscope.operators.ranks import exact_quantiles
+from supplyscope.session import written
 
 # Private or unused raw columns dropped at load.
 PRIVATE_COLUMNS = (
@@ -64,11 +65,13 @@ def _numeric_cols(df: DataFrame, cols=None):
 def fill_median(df: DataFrame, cols=None) -> DataFrame:
     """PRJ6: NULLs of each numeric column -> that column's exact median.
 
-    All medians come from the same two passes (``exact_quantiles``).
+    All medians come from the same passes (``exact_quantiles``), over rows that
+    are stored once, so that neither they nor the result repeat what ``df`` takes.
     """
     cols = _numeric_cols(df, cols)
     if not cols:
         return df
+    df = written(df, "fill-median")
     stats = exact_quantiles(df, cols, 0.5)
     fills = {}
     for f in df.schema.fields:
