@@ -13,7 +13,7 @@ from supplyscope.plans.context import run_for
 from supplyscope.plans.registry import register
 from supplyscope.plans.sqlparts import SEQ, SEQ_TEXT, with_
 from supplyscope.plans.sqlparts_alerts import PREDS, RUN_TS, hid
-from supplyscope.session import output_root
+from supplyscope.session import output_root, written
 
 PRED_COLS = "id, created_at, prediction_type, product_name, order_id, predicted_value, confidence_score, label"
 
@@ -160,7 +160,7 @@ def q_forest_report(spark, d):
 @register("mld6_agg24_tree_held_out")
 def q_tree_report(spark, d):
     """MLD6 + AGG24: the stock tree's report on held-out products."""
-    split = models.split_products(inventory(spark, d))
+    split = models.split_products(written(inventory(spark, d), "inventory"))
     return models.inventory_held_out(models.train_inventory_tree(split), split)
 
 
@@ -179,7 +179,7 @@ def q_seasonal(spark, d):
 @register("mld6_inventory_tree")
 def q_tree(spark, d):
     """MLD6 + MLD7: decision tree on the inventory features."""
-    inv = inventory(spark, d)
+    inv = written(inventory(spark, d), "inventory")
     model = models.train_inventory_tree(inv)
     return models.inventory_model_predictions(model, inv, RUN_TS)
 
