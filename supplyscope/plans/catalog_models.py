@@ -59,8 +59,9 @@ SELECT {', '.join('p.' + c for c in PRED_COLS.split(', '))} FROM dpred p JOIN (
   SELECT {hid("'delivery|' || " + SEQ_TEXT)} AS id FROM scored WHERE late_prob >= 0.6 ORDER BY late_prob DESC, {SEQ} LIMIT 5000) t
 ON p.id = t.id""")
 def q_top3(spark, d):
-    """TOP3: the 5000 highest late scores (ties by item order)."""
-    return models.delivery_predictions(run_for(spark, d).rule_scores, RUN_TS, top=5000)
+    """TOP3: the 5000 highest late scores (ties by item order), over the
+    stored narrow lines."""
+    return models.delivery_predictions(run_for(spark, d, materialize=False).rule_scores, RUN_TS, top=5000)
 
 
 @register("mld6b_mld7_inventory_predictions", with_(PREDS) + f"\nSELECT {PRED_COLS} FROM ipred")
