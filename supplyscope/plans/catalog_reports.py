@@ -10,6 +10,7 @@ from supplyscope.operators import conflicts, models, reports, tables
 from supplyscope.plans.catalog import feats, flagged, inventory, weekly
 from supplyscope.plans.catalog_alerts import A_COLS, agent_alerts, all_alerts, conflict_alerts
 from supplyscope.plans.catalog_models import all_preds
+from supplyscope.plans.context import run_for
 from supplyscope.plans.registry import register
 from supplyscope.plans.sqlparts import SEQ, with_
 from supplyscope.plans.sqlparts_alerts import CONFLICTS
@@ -129,6 +130,16 @@ def dview(spark, d):
     return reports.delivery_view(all_preds(spark, d), all_alerts(spark, d))
 
 
+def risk_view(spark, d):
+    """The delivery view for those who read its orders and risks only.
+
+    Its predictions and alerts are those of a run that stores narrow lines and
+    nothing else: the view's filters on the kind go down to each agent's rows,
+    so no other agent's lines are computed to be left out, and no texts."""
+    run = run_for(spark, d, materialize=False)
+    return reports.delivery_view(run.preds, run.all_alerts)
+
+
 @register("jon2_delivery_view", W + DELIVERY_VIEW + "\nSELECT * FROM dv")
 def q_jon2(spark, d):
     """JON2 + PRJ23: predictions left-joined to delivery alerts, all rows."""
@@ -141,7 +152,7 @@ SELECT count(*) FILTER (WHERE risk_prob >= 0.85) AS critical,
        count(*) FILTER (WHERE risk_prob < 0.70) AS medium FROM dv""")
 def q_agg15(spark, d):
     """AGG15 + FLT6."""
-    return reports.risk_tiers(dview(spark, d))
+    return reports.risk_tiers(risk_view(spark, d))
 
 
 @register("agg16_risk_histogram", W + """,
@@ -371,11 +382,11 @@ def q_flagship(spark, d):
 SELECT order_id, risk_prob FROM dv WHERE risk_prob >= 0.85""")
 def q_flt6(spark, d):
     """FLT6: rows of the critical band (>= .85) of the delivery view."""
-    return reports.risk_band(dview(spark, d), "critical").select("order_id", "risk_prob")
+    return reports.risk_band(risk_view(spark, d), "critical").select("order_id", "risk_prob")
 
 
 @register("flt6_risk_band_high", W + DELIVERY_VIEW + """
 SELECT order_id, risk_prob FROM dv WHERE risk_prob >= 0.70 AND risk_prob < 0.85""")
 def q_flt6h(spark, d):
     """FLT6: the half-open high band [.70, .85)."""
-    return reports.risk_band(dview(spark, d), "high").select("order_id", "risk_prob")
+    return reports.risk_band(risk_view(spark, d), "high").select("order_id", "risk_prob")
