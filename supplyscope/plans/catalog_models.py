@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from supplyscope.operators import encode, models, sinks, tables
 from supplyscope.operators.reuse import Records, content_digest, step_key
 from supplyscope.plans.catalog import KEYS, PRJ19_SQL, feats, inventory, weekly
-from supplyscope.plans.context import run_for
+from supplyscope.plans.context import narrow_run, run_for
 from supplyscope.plans.registry import register
 from supplyscope.plans.sqlparts import SEQ, SEQ_TEXT, with_
 from supplyscope.plans.sqlparts_alerts import PREDS, RUN_TS, hid
@@ -61,7 +61,7 @@ ON p.id = t.id""")
 def q_top3(spark, d):
     """TOP3: the 5000 highest late scores (ties by item order), over the
     stored narrow lines."""
-    return models.delivery_predictions(run_for(spark, d, materialize=False).rule_scores, RUN_TS, top=5000)
+    return models.delivery_predictions(narrow_run(spark, d).rule_scores, RUN_TS, top=5000)
 
 
 @register("mld6b_mld7_inventory_predictions", with_(PREDS) + f"\nSELECT {PRED_COLS} FROM ipred")

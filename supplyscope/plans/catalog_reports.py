@@ -10,7 +10,7 @@ from supplyscope.operators import conflicts, models, reports, tables
 from supplyscope.plans.catalog import feats, flagged, inventory, weekly
 from supplyscope.plans.catalog_alerts import A_COLS, agent_alerts, all_alerts, conflict_alerts
 from supplyscope.plans.catalog_models import all_preds
-from supplyscope.plans.context import run_for
+from supplyscope.plans.context import narrow_run
 from supplyscope.plans.registry import register
 from supplyscope.plans.sqlparts import SEQ, with_
 from supplyscope.plans.sqlparts_alerts import CONFLICTS
@@ -136,7 +136,7 @@ def risk_view(spark, d):
     Its predictions and alerts are those of a run that stores narrow lines and
     nothing else: the view's filters on the kind go down to each agent's rows,
     so no other agent's lines are computed to be left out, and no texts."""
-    run = run_for(spark, d, materialize=False)
+    run = narrow_run(spark, d)
     return reports.delivery_view(run.preds, run.all_alerts)
 
 
