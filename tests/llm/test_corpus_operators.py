@@ -392,3 +392,25 @@ def test_repeats_of_planted_passages(spark):
     removed = {d: n for d, _, n, _, _ in want}
     assert any(removed[3 * k] for k in range(24)) and any(not removed[3 * k] for k in range(24))
     assert not any(removed[3 * k + 2] for k in range(24))
+
+
+def test_repeats_of_texts_alike_in_every_power_of_an_odd_base(spark, pairs):
+    """Two words in Thue-Morse order and in the opposite one: polynomials
+    modulo 2^64 can't tell these 400 bytes apart, and none is repeated."""
+    order = [i.bit_count() & 1 for i in range(64)]
+    one, two = ("abcd" * 36 + "".join(("TgER", "CYet")[k ^ flip] for k in order) for flip in (0, 1))
+    texts = [one, two, one[:300] + "x" * 200, two[:300] + "y" * 200, "é" * 90]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.n_removed for r in repeats.remove_repeats(df).collect()] == [0] * 5
+    check_repeats(df.repartition(3), pairs)
+
+
+def test_fingerprints_are_polynomials_of_the_window():
+    rng = np.random.default_rng(3)
+    data = np.concatenate([rng.integers(0, 256, 2 * repeats.BLOCK), np.full(900, 255), np.zeros(500)]).astype(np.uint8)
+    start = np.array([0, 5, repeats.BLOCK - 1, repeats.BLOCK, 2 * repeats.BLOCK - 1, 2 * repeats.BLOCK + 7, len(data) - 400])
+    for key, factor in (*repeats.drawn_keys(), (repeats.PRIME - 1, repeats.PRIME - 2)):
+        got = repeats.Fingerprints(key, factor, 400).at(data, start, 400)
+        want = [factor * sum((int(c) + 1) * pow(key, i, repeats.PRIME) for i, c in enumerate(data[s:s + 400])) % repeats.PRIME
+                for s in start]
+        assert got.tolist() == want
