@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from supplyscope.operators import alerts, conflicts, encode, models, quality, reports, tables
 from supplyscope.operators.boosting import Boosted
+from supplyscope.operators.forest import BINS
 from supplyscope.operators.reuse import Records, content_digest, step_key
 from supplyscope.operators.sinks import TableStore
 from supplyscope.plans.catalog import orders_table
@@ -32,7 +33,7 @@ def _learned_predictions(store: TableStore, run: Run, records: Records, digests:
     of each.  Models of the same input, features and parameters are used again;
     for new ones label codes, held-out reports and importances are stored."""
     spark = run.spark
-    forest_key = step_key("delivery_forest", digests["lines"], models.DELIVERY_FEATURES, models.FOREST_PARAMETERS)
+    forest_key = step_key("delivery_forest", digests["lines"], models.DELIVERY_FEATURES, models.FOREST_PARAMETERS | {"bins": BINS})
     boost_key = step_key("inventory_boosted", digests["inventory"], models.INVENTORY_FEATURES, models.BOOST_PARAMETERS)
     codes, _ = records.model("label_codes", step_key("label_codes", digests["lines"], ENCODED, {}), run.run_ts, spark.read.parquet,
                              lambda: encode.fit_label_codes(run.feats, ENCODED), lambda m, path: m.write.parquet(path))
