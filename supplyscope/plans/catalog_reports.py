@@ -10,7 +10,7 @@ from supplyscope.operators import conflicts, models, reports, tables
 from supplyscope.plans.catalog import feats, flagged, inventory, weekly
 from supplyscope.plans.catalog_alerts import A_COLS, agent_alerts, all_alerts, conflict_alerts
 from supplyscope.plans.catalog_models import all_preds
-from supplyscope.plans.context import narrow_run
+from supplyscope.plans.context import narrow_run, run_for
 from supplyscope.plans.registry import register
 from supplyscope.plans.sqlparts import SEQ, with_
 from supplyscope.plans.sqlparts_alerts import CONFLICTS
@@ -62,7 +62,7 @@ FROM feat""")
 def q_agg6(spark, d):
     """AGG6: dashboard KPI row."""
     p = all_preds(spark, d)
-    return reports.kpis(feats(spark, d), p, all_alerts(spark, d), models.next_week_forecast(p))
+    return reports.kpis(run_for(spark, d).feats, p, all_alerts(spark, d), models.next_week_forecast(p))
 
 
 @register("agg7_summary", W + """
@@ -71,7 +71,9 @@ SELECT count(*) AS total_orders, count(*) FILTER (WHERE fraud_label = 1) AS frau
        (SELECT count(*) FROM inventory_t WHERE status = 'CRITICAL') AS critical_stock
 FROM feat""")
 def q_agg7(spark, d):
-    return reports.summary(feats(spark, d), all_alerts(spark, d), inventory(spark, d))
+    """AGG7, from the run's stored tables."""
+    run = run_for(spark, d)
+    return reports.summary(run.feats, run.all_alerts, run.inventory)
 
 
 @register("agg8_open_alerts_by_category", W + """
